@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .plans import reports
 from .plans.dims import dim_dates_for
@@ -84,3 +85,126 @@ TEST_TOP_PRODUCTS_MIN_TIMES = 30
 register("rpt_top_products_min30")(_report("rpt_top_products", min_times=TEST_TOP_PRODUCTS_MIN_TIMES))
 
 __all__ = ["REGISTRY", "register", "models", "customer_360", "reports"]
+
+
+# --- data quality -------------------------------------------------------------
+class _SuiteTables:
+    """Table name → DataFrame view over one model graph (raw tables by their
+    source names, models by model name)."""
+
+    RAW = {"orders", "order_products_prior", "order_products_train", "products", "aisles", "departments"}
+
+    def __init__(self, m: Models):
+        self.m = m
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self.m.raw[name] if name in self.RAW else getattr(self.m, name)
+
+
+@register("dq_suite")
+def dq_suite(spark, sf_dir):
+    """Every declared check over every table of the graph: one report row
+    per check (73 rows)."""
+    from .operators.quality import dq_suite as suite
+    return suite(_SuiteTables(models(spark, sf_dir)))
+
+
+@register("dq_reorder_rate_range")
+def dq_reorder_rate_range(spark, sf_dir):
+    """The singular assertion: customers whose reorder rate is outside
+    [0, 1] (zero rows = pass)."""
+    from .operators.quality import dq_range
+    return dq_range(models(spark, sf_dir).customer_360, "reorder_rate", 0, 1, keep=["user_id"])
+
+
+# Fixed check time for reproducible freshness results: 30 hours after the
+# fixture load time (between the warn and error thresholds).
+FRESHNESS_NOW = "2024-01-02 12:00:00"
+
+
+@register("dq_freshness")
+def dq_freshness(spark, sf_dir):
+    """Load-time freshness of the six raw tables."""
+    from .operators.quality import dq_freshness as fresh
+    m = models(spark, sf_dir)
+    parts = [fresh(m.raw[t], "_loaded_at", FRESHNESS_NOW).select(F.lit(t).alias("table_name"), "*")
+             for t in _SuiteTables.RAW]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+# --- incremental runs -----------------------------------------------------------
+# Fixed values of the two-load scenario: orders placed on or after the cutoff
+# arrive in a second load one day after the first.
+SECOND_LOAD = ("1998-08-01", "2024-01-02 06:00:00")
+# SCD2 scenario: products of size >= SCD2_MIN_SIZE are re-filed under
+# department SCD2_DEPARTMENT in a snapshot effective SCD2_EFFECTIVE.
+SCD2_MIN_SIZE, SCD2_DEPARTMENT = 45, 1
+SCD2_EFFECTIVE, SCD2_AS_OF = "2019-07-01", "2019-08-01"
+PRODUCT_TRACKED = ["product_name", "aisle_id", "aisle_name", "department_id", "department_name"]
+
+
+def two_load_models(spark: SparkSession, sf_dir: str) -> Models:
+    from .sources.fixtures import DEFAULT_RUN_TS, raw_from_parquet
+    return Models(spark, raw_from_parquet(spark, sf_dir, DEFAULT_RUN_TS, SECOND_LOAD), DEFAULT_RUN_TS)
+
+
+@register("fact_orders_incremental")
+def fact_orders_incremental(spark, sf_dir):
+    """Version 1 holds the orders of the first load; the incremental run
+    selects orders loaded after the target's watermark and upserts them on
+    order_id. The result equals a full build over both loads."""
+    from .plans import facts
+    m = two_load_models(spark, sf_dir)
+    first_ts = F.to_timestamp(F.lit(m.run_ts))
+    v1 = facts.fact_orders_build(m.stg_orders.filter(F.col("loaded_at") == first_ts),
+                                 m.stg_order_products, m.dim_users, m.line_stats)
+    return facts.fact_orders(m.stg_orders, m.stg_order_products, m.dim_users, target=v1,
+                             line_stats=m.line_stats)
+
+
+@register("fact_order_products_incremental")
+def fact_order_products_incremental(spark, sf_dir):
+    """Version 1 holds the lines of first-load orders; the incremental run
+    adds lines of orders not yet in the target (anti join on order_id) and
+    upserts them on order_product_id."""
+    from .plans import facts
+    m = two_load_models(spark, sf_dir)
+    first_ts = F.to_timestamp(F.lit(m.run_ts))
+    first_orders = m.stg_orders.filter(F.col("loaded_at") == first_ts).select("order_id")
+    v1 = facts.fact_order_products_build(m.stg_order_products.join(first_orders, "order_id", "left_semi"),
+                                         m.dim_products, m.stg_orders, m.dim_users)
+    return facts.fact_order_products(m.stg_order_products, m.dim_products, m.stg_orders, m.dim_users,
+                                     target=v1)
+
+
+def product_snapshot(spark: SparkSession, sf_dir: str, m: Models) -> DataFrame:
+    """A later catalog snapshot: large products re-filed under one department."""
+    part = spark.read.parquet(f"{sf_dir}/part.parquet").select(
+        F.col("p_partkey").cast("long").alias("product_id"), "p_size")
+    moved = (m.stg_products.join(part, "product_id", "left")
+             .withColumn("department_id",
+                         F.when(F.col("p_size") >= SCD2_MIN_SIZE, F.lit(SCD2_DEPARTMENT).cast("long"))
+                         .otherwise(F.col("department_id")))
+             .drop("department_name", "p_size"))
+    return moved.join(m.stg_departments, "department_id", "left").select(
+        "product_id", "product_name", "aisle_id", "aisle_name", "department_id", "department_name")
+
+
+@register("dim_products_scd2")
+def dim_products_scd2(spark, sf_dir):
+    """SCD2 merge of the snapshot into the initial product dimension: moved
+    products get a closed version and a new current one."""
+    from .operators.incremental import scd2_merge
+    m = models(spark, sf_dir)
+    return scd2_merge(m.dim_products, product_snapshot(spark, sf_dir, m), "product_id", PRODUCT_TRACKED,
+                      SCD2_EFFECTIVE, m.run_ts)
+
+
+@register("dim_products_as_of")
+def dim_products_as_of(spark, sf_dir):
+    """Product versions valid on a date after the re-filing."""
+    from .operators.incremental import scd2_as_of
+    return scd2_as_of(dim_products_scd2(spark, sf_dir), SCD2_AS_OF)

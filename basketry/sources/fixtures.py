@@ -38,9 +38,21 @@ REORDER_ORDER_MUL, REORDER_PART_MUL, REORDER_MOD = 31, 17, 100
 REORDER_PART_MOD, REORDER_USER_MOD = 50, 51
 
 
-def _audit(df: DataFrame, run_ts: str, source_file: str) -> DataFrame:
+def _load_time(run_ts: str, second_load: tuple[str, str] | None):
+    """Load time of a row: ``run_ts``, or with ``second_load = (cutoff_date,
+    second_ts)`` the second load's time for rows of orders placed on or after
+    the cutoff (a two-day load history derived from the order dates)."""
+    first = F.to_timestamp(F.lit(run_ts))
+    if second_load is None:
+        return first
+    cutoff, second_ts = second_load
+    return F.when(F.col("order_date") >= F.to_date(F.lit(cutoff)), F.to_timestamp(F.lit(second_ts))) \
+        .otherwise(first)
+
+
+def _audit(df: DataFrame, run_ts: str, source_file: str, loaded_at=None) -> DataFrame:
     return df.withColumns({
-        "_loaded_at": F.to_timestamp(F.lit(run_ts)),
+        "_loaded_at": F.to_timestamp(F.lit(run_ts)) if loaded_at is None else loaded_at,
         "_source_file": F.lit(source_file),
     })
 
@@ -63,7 +75,8 @@ def numbered_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbered.join(prior, ["user_id", "order_number"], "left")
 
 
-def raw_orders(numbered: DataFrame, run_ts: str = DEFAULT_RUN_TS) -> DataFrame:
+def raw_orders(numbered: DataFrame, run_ts: str = DEFAULT_RUN_TS,
+               second_load: tuple[str, str] | None = None) -> DataFrame:
     out = numbered.select(
         "order_id",
         "user_id",
@@ -73,8 +86,9 @@ def raw_orders(numbered: DataFrame, run_ts: str = DEFAULT_RUN_TS) -> DataFrame:
         .alias("order_hour_of_day"),
         (F.datediff("order_date", "prior_date") % GAP_MODULUS).cast("double")
         .alias("days_since_prior_order"),
+        _load_time(run_ts, second_load).alias("_loaded_at"),
     )
-    return _audit(out, run_ts, "orders.parquet")
+    return _audit(out, run_ts, "orders.parquet", F.col("_loaded_at"))
 
 
 def raw_lines(spark: SparkSession, sf_dir: str, numbered: DataFrame) -> DataFrame:
@@ -88,7 +102,7 @@ def raw_lines(spark: SparkSession, sf_dir: str, numbered: DataFrame) -> DataFram
     carted = group_row_number(dedup, ["order_id"], [sort_key("line_rank"), sort_key("product_id")],
                               out="add_to_cart_order")
     owners = numbered.select(
-        "order_id", "user_id",
+        "order_id", "user_id", "order_date",
         (F.col("order_number") == F.col("user_orders")).alias("is_last"),
     )
     lines = carted.join(owners, "order_id", "left")
@@ -100,6 +114,7 @@ def raw_lines(spark: SparkSession, sf_dir: str, numbered: DataFrame) -> DataFram
         F.col("add_to_cart_order").cast("int").alias("add_to_cart_order"),
         reordered.cast("int").alias("reordered"),
         F.coalesce(F.col("is_last"), F.lit(False)).alias("is_train"),
+        "order_date",
     )
 
 
@@ -128,8 +143,10 @@ class FixtureTables:
     """The six raw tables derived from ``sf_dir``, each built on first use
     (``tables["orders"]`` ...); shared intermediate frames are built once."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, run_ts: str = DEFAULT_RUN_TS):
+    def __init__(self, spark: SparkSession, sf_dir: str, run_ts: str = DEFAULT_RUN_TS,
+                 second_load: tuple[str, str] | None = None):
         self.spark, self.sf_dir, self.run_ts = spark, sf_dir, run_ts
+        self.second_load = second_load
         self._cache: dict[str, DataFrame] = {}
 
     def _get(self, key: str, build):
@@ -149,11 +166,13 @@ class FixtureTables:
     def _line_set(self, train: bool) -> DataFrame:
         cols = ["order_id", "product_id", "add_to_cart_order", "reordered"]
         flag = F.col("is_train") if train else ~F.col("is_train")
-        return _audit(self._lines().filter(flag).select(*cols), self.run_ts, "lineitem.parquet")
+        lines = self._lines().filter(flag)
+        return _audit(lines.select(*cols, _load_time(self.run_ts, self.second_load).alias("_loaded_at")),
+                      self.run_ts, "lineitem.parquet", F.col("_loaded_at"))
 
     def __getitem__(self, name: str) -> DataFrame:
         builders = {
-            "orders": lambda: raw_orders(self._numbered(), self.run_ts),
+            "orders": lambda: raw_orders(self._numbered(), self.run_ts, self.second_load),
             "order_products_prior": lambda: self._line_set(False),
             "order_products_train": lambda: self._line_set(True),
             "products": lambda: self._catalog()[0],
@@ -167,7 +186,8 @@ class FixtureTables:
                 "departments"]
 
 
-def raw_from_parquet(spark: SparkSession, sf_dir: str, run_ts: str = DEFAULT_RUN_TS) -> FixtureTables:
+def raw_from_parquet(spark: SparkSession, sf_dir: str, run_ts: str = DEFAULT_RUN_TS,
+                     second_load: tuple[str, str] | None = None) -> FixtureTables:
     """The six raw tables (with audit columns) derived from ``sf_dir``,
     built lazily by name."""
-    return FixtureTables(spark, sf_dir, run_ts)
+    return FixtureTables(spark, sf_dir, run_ts, second_load)
