@@ -7,8 +7,8 @@ child rows with a non-NULL key missing from the parent; a range assertion
 counts violating rows. A check passes with zero failures.
 
 The suite runs all NULL and accepted-value checks of one table in a single
-aggregation pass; uniqueness is a map-side-combined ``groupBy``; foreign
-keys are anti joins (AQE broadcasts a small parent).
+aggregation pass and all uniqueness checks of one table in a single
+shuffle; foreign keys are anti joins (AQE broadcasts a small parent).
 """
 
 from __future__ import annotations
@@ -151,6 +151,23 @@ def _tag(df: DataFrame, check: Check) -> DataFrame:
                      F.lit(check.kind).alias("check_name"), F.col("failures").cast("long"))
 
 
+def _unique_failures(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """Every uniqueness check of one table in one shuffle: rows are expanded
+    to (check, value-as-text) pairs, duplicated pairs are counted per check.
+    The text form is exact for the key types used (integers, dates, text)."""
+    pairs = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("check"), F.col(c.column).cast("string").alias("value"))
+        for i, c in enumerate(checks)])).alias("p")).select("p.*").filter(F.col("value").isNotNull())
+    dups = (pairs.groupBy("check", "value").agg(F.count(F.lit(1)).alias("n"))
+            .groupBy("check").agg(F.count_if(F.col("n") > 1).alias("failures")))
+    labels = df.sparkSession.createDataFrame(
+        [(i, c.table, c.column, c.kind) for i, c in enumerate(checks)],
+        "check int, table_name string, column_name string, check_name string")
+    return (labels.join(dups, "check", "left")
+            .select("table_name", "column_name", "check_name",
+                    F.coalesce(F.col("failures"), F.lit(0)).cast("long").alias("failures")))
+
+
 def dq_suite(tables: Mapping[str, DataFrame], checks: Sequence[Check] = CHECKS) -> DataFrame:
     """All checks over the given tables → one report row per check
     (table_name, column_name, check_name, failures, status)."""
@@ -171,10 +188,11 @@ def dq_suite(tables: Mapping[str, DataFrame], checks: Sequence[Check] = CHECKS)
                 F.struct(F.lit(c.table).alias("table_name"), F.lit(c.column).alias("column_name"),
                          F.lit(c.kind).alias("check_name"), F.col(f"c{i}").cast("long").alias("failures"))
                 for i, c in enumerate(scans)])).alias("r")).select("r.*"))
+        uniques = [c for c in tchecks if c.kind == "unique"]
+        if uniques:
+            parts.append(_unique_failures(df, uniques))
         for c in tchecks:
-            if c.kind == "unique":
-                parts.append(_tag(dq_unique(df, c.column), c))
-            elif c.kind == "relationships":
+            if c.kind == "relationships":
                 parent, parent_col = c.arg
                 parts.append(_tag(dq_relationship(df, c.column, tables[parent], parent_col), c))
             elif c.kind == "range":

@@ -23,9 +23,10 @@ from measured sizes.
 Correctness note: the tagged frame is consumed twice (counts and
 positions) and both must see the same range bounds. Catalyst prunes columns
 per consumer, so two range exchanges would differ and each would draw its
-own sample. The tagged frame is therefore checkpointed (reliably, to the
-shared ``spark.checkpoint.dir``): both consumers read the same written rows,
-lineage and plan size are cut, and a lost executor costs no recomputation.
+own sample. The tagged frame is therefore written once as Parquet under the
+shared ``spark.checkpoint.dir`` (:func:`basketry.session.cut_lineage`): both
+consumers read the same written rows, lineage and plan size are cut, and a
+lost executor costs no recomputation.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import cut_lineage
 
 _MID, _PID, _POS = "__bk_mid", "__bk_pid", "__bk_pos"
 _N, _OFF, _TOTAL = "__bk_n", "__bk_off", "__bk_total"
@@ -61,8 +62,8 @@ def _num_partitions(df: DataFrame, requested: int | None) -> int:
 
 def release() -> None:
     """Kept for callers that free numbering state after an action; the
-    checkpointed anchors need no release (their files live in the shared
-    checkpoint folder, cleaned with it)."""
+    written anchors need no release (their files live in the shared
+    checkpoint folder and are cleaned with it)."""
 
 
 def global_row_number(df: DataFrame, order: Sequence[Column], out: str = "rn",
@@ -76,8 +77,7 @@ def global_row_number(df: DataFrame, order: Sequence[Column], out: str = "rn",
     tagged = (df.repartitionByRange(n, *order)
               .sortWithinPartitions(*order)
               .withColumn(_MID, F.monotonically_increasing_id()))
-    ensure_checkpoint_dir(df.sparkSession)
-    tagged = tagged.checkpoint(eager=True)
+    tagged = cut_lineage(tagged, "rownum")
     tagged = tagged.select(
         "*",
         F.shiftright(F.col(_MID), _POS_BITS).alias(_PID),

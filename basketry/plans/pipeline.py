@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import ranking
 from ..sources import tables
+from ..schemas import RAW_TABLES
 from ..sources.fixtures import DEFAULT_RUN_TS, raw_from_parquet
 from . import customers, dims, facts, products, reports, staging
 
@@ -122,11 +123,23 @@ class Models:
         raise KeyError(name)
 
 
-def materialize(models: Models, root: str, names=MODEL_ORDER) -> dict[str, str]:
-    """Write each model as the next version of ``root/<name>`` (in
-    dependency order) and continue from the written table. Returns the
-    written paths."""
+def load_raw(models: Models, root: str) -> dict[str, str]:
+    """The load step: write the six raw tables as tables of ``root`` and
+    continue from the written tables."""
     written = {}
+    loaded = {}
+    for table in RAW_TABLES:
+        written[f"raw_{table}"] = tables.commit(models.raw[table], root, f"raw_{table}")
+        loaded[table] = tables.read(models.spark, root, f"raw_{table}")
+    models.raw = loaded
+    return written
+
+
+def materialize(models: Models, root: str, names=MODEL_ORDER, load: bool = True) -> dict[str, str]:
+    """Write each model as the next version of ``root/<name>`` (in
+    dependency order, after the raw tables when ``load``) and continue from
+    the written table. Returns the written paths."""
+    written = load_raw(models, root) if load else {}
     for name in names:
         df = getattr(models, name)
         path = tables.commit(df, root, name)

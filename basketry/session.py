@@ -82,3 +82,16 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     tables that cut lineage)."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return "/".join([root, *parts]) if not root.startswith("/") else os.path.join(root, *parts)
+
+
+def cut_lineage(df, label: str = "anchor"):
+    """Write ``df`` as Parquet to a new folder under the shared checkpoint
+    folder and return the read-back frame: one job, lineage and plan cut,
+    and the rows are on shared storage (no recomputation after an executor
+    is lost). Columnar files are far cheaper to write and re-read than an
+    RDD checkpoint of serialized rows."""
+    import uuid
+    spark = df.sparkSession
+    path = shared_path(spark, "basketry-anchors", f"{label}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ranking import global_row_number, group_row_number, sort_key
+from ..session import cut_lineage
 
 # Fixed load timestamp of reproducible fixture runs (UTC).
 DEFAULT_RUN_TS = "2024-01-01 06:00:00"
@@ -158,7 +159,10 @@ class FixtureTables:
         return self._get("numbered", lambda: numbered_orders(self.spark, self.sf_dir))
 
     def _lines(self) -> DataFrame:
-        return self._get("lines", lambda: raw_lines(self.spark, self.sf_dir, self._numbered()))
+        # Both line tables (prior, train) read this frame: write it once to
+        # the shared checkpoint folder instead of deriving it twice.
+        return self._get("lines", lambda: cut_lineage(
+            raw_lines(self.spark, self.sf_dir, self._numbered()), "lines"))
 
     def _catalog(self):
         return self._get("catalog", lambda: raw_products(self.spark, self.sf_dir, self.run_ts))

@@ -3,43 +3,56 @@
 Layout of a table ``root/name``::
 
     data/version=000001/part-*.parquet   one complete table version
-    _log/part-*.parquet                  one (version, committed_at) row per commit
+    _versions/000001                     empty marker, created after the data
 
 A commit writes the new version to its own folder (Spark's job commit makes
-it appear whole) and only then appends its row to ``_log``. Readers take the
-highest logged version, so they never see a partial version, and a version
-being read is never overwritten. A crash between the two steps leaves an
-unlogged folder that the next commit overwrites. One writer per table.
+it appear whole) and only then creates the version's marker file. Readers
+take the highest marker, so they never see a partial version, and a version
+being read is never overwritten or deleted. Nothing is renamed or
+overwritten, which also holds on object stores. A crash between the two
+steps leaves an unmarked folder that the next commit overwrites. One writer
+per table.
+
+Markers go through the Hadoop FileSystem of the path (HDFS, object store or
+local), so bookkeeping costs no Spark job.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-_LOG_SCHEMA = T.StructType([
-    T.StructField("version", T.LongType(), False),
-    T.StructField("committed_at", T.TimestampType(), False),
-])
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
-def _log_path(root: str, name: str) -> str:
-    return f"{root.rstrip('/')}/{name}/_log"
+
+def _markers(root: str, name: str) -> str:
+    return f"{root.rstrip('/')}/{name}/_versions"
 
 
 def version_path(root: str, name: str, version: int) -> str:
     return f"{root.rstrip('/')}/{name}/data/version={version:06d}"
 
 
+def versions(spark: SparkSession, root: str, name: str) -> list[int]:
+    """Committed versions, ascending."""
+    fs, p = _fs(spark, _markers(root, name))
+    if not fs.exists(p):
+        return []
+    found = []
+    for status in fs.listStatus(p):
+        n = status.getPath().getName()
+        if n.isdigit():
+            found.append(int(n))
+    return sorted(found)
+
+
 def current_version(spark: SparkSession, root: str, name: str) -> int | None:
     """Highest committed version, or None if the table has none."""
-    try:
-        log = spark.read.schema(_LOG_SCHEMA).parquet(_log_path(root, name))
-    except AnalysisException:
-        return None
-    return log.agg(F.max("version").alias("v")).first()["v"]
+    vs = versions(spark, root, name)
+    return vs[-1] if vs else None
 
 
 def commit(df: DataFrame, root: str, name: str) -> str:
@@ -49,9 +62,8 @@ def commit(df: DataFrame, root: str, name: str) -> str:
     version = 1 if current is None else current + 1
     path = version_path(root, name, version)
     df.write.mode("overwrite").parquet(path)
-    entry = spark.createDataFrame([(version,)], "version long").select(
-        "version", F.current_timestamp().alias("committed_at"))
-    entry.coalesce(1).write.mode("append").parquet(_log_path(root, name))
+    fs, marker = _fs(spark, f"{_markers(root, name)}/{version:06d}")
+    fs.create(marker, False).close()
     return path
 
 
