@@ -72,13 +72,28 @@ def customer_history(stg_orders: DataFrame, stg_order_products: DataFrame,
     )
 
 
+def order_modes(stg_orders: DataFrame) -> DataFrame:
+    """Most frequent order day and hour per user over non-first orders (the
+    mode; ties go to the lowest value). The customer mart itself keeps the
+    MAX() definition of ``most_common_order_day/hour``; this is the variant
+    with the meaning the names suggest. ``mode`` aggregates map-side."""
+    repeat = stg_orders.filter(~F.col("is_first_order"))
+    return repeat.groupBy("user_id").agg(
+        F.mode("order_day_name", deterministic=True).alias("most_common_order_day_mode"),
+        F.mode("order_hour_of_day", deterministic=True).alias("most_common_order_hour_mode"),
+    )
+
+
 def rfm_scores(history: DataFrame) -> DataFrame:
-    """Recency, frequency and monetary quartiles (NTILE 4) over all users.
+    """(user_id, recency_score, frequency_score, monetary_score): quartiles
+    (NTILE 4) over all users.
 
     Recency: shorter average gap scores higher (DESC, NULLs last); frequency
-    and monetary: ascending, NULLs last. Ties are broken by ``user_id``.
+    and monetary: ascending, NULLs last. Ties are broken by ``user_id``. The
+    three distributed NTILE passes run on the four key columns only.
     """
-    scored = global_ntile(history, NTILE_BUCKETS,
+    keys = history.select("user_id", "avg_days_between_orders", "total_orders", "total_items_ordered")
+    scored = global_ntile(keys, NTILE_BUCKETS,
                           [sort_key("avg_days_between_orders", False, True), sort_key("user_id")],
                           "recency_score")
     scored = global_ntile(scored, NTILE_BUCKETS,
@@ -87,12 +102,13 @@ def rfm_scores(history: DataFrame) -> DataFrame:
     scored = global_ntile(scored, NTILE_BUCKETS,
                           [sort_key("total_items_ordered", True, True), sort_key("user_id")],
                           "monetary_score")
-    return scored
+    return scored.select("user_id", "recency_score", "frequency_score", "monetary_score")
 
 
 def customer_360(history: DataFrame) -> DataFrame:
-    """RFM mart: one row per user of ``history``."""
-    s = rfm_scores(history)
+    """RFM mart: one row per user of ``history`` (scores joined 1:1 on
+    user_id)."""
+    s = history.join(rfm_scores(history), "user_id", "left")
     return s.select(
         "user_id",
         "total_orders",

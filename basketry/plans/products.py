@@ -30,6 +30,17 @@ def product_metrics(stg_order_products: DataFrame) -> DataFrame:
     )
 
 
+def product_ranks(joined: DataFrame) -> DataFrame:
+    """(product_id, dept_reorder_rank, overall_popularity_rank), computed on
+    the four key columns only and joined back 1:1 by the caller."""
+    keys = joined.select("product_id", "department_id", "reorder_rate", "times_ordered")
+    ranked = group_rank(keys, ["department_id"], "reorder_rate", ascending=False,
+                        tie_cols=["product_id"], out="dept_reorder_rank")
+    ranked = global_rank(ranked, "times_ordered", ascending=False, tie_cols=["product_id"],
+                         out="overall_popularity_rank")
+    return ranked.select("product_id", "dept_reorder_rank", "overall_popularity_rank")
+
+
 def product_performance(stg_order_products: DataFrame, stg_products: DataFrame) -> DataFrame:
     """One row per product with at least one line and a catalog entry.
 
@@ -42,10 +53,7 @@ def product_performance(stg_order_products: DataFrame, stg_products: DataFrame)
     products = stg_products.select("product_id", "product_name", "aisle_id", "aisle_name",
                                    "department_id", "department_name")
     joined = join_small(metrics, products, "product_id", "inner")
-    ranked = group_rank(joined, ["department_id"], "reorder_rate", ascending=False,
-                        tie_cols=["product_id"], out="dept_reorder_rank")
-    ranked = global_rank(ranked, "times_ordered", ascending=False, tie_cols=["product_id"],
-                         out="overall_popularity_rank")
+    ranked = joined.join(product_ranks(joined), "product_id", "left")
     return ranked.select(
         "product_id", "product_name", "aisle_id", "aisle_name", "department_id", "department_name",
         "times_ordered", "unique_orders", "times_reordered",

@@ -123,3 +123,45 @@ def rpt_peak_times(fact_orders: DataFrame, limit: int = PEAK_TIMES_LIMIT) -> Dat
             .orderBy(F.col("order_count").desc(), F.col("order_day_name").asc(),
                      F.col("order_hour_of_day").asc())
             .limit(limit))
+
+
+# --- documented business questions without shipped SQL --------------------------
+FIRST_IN_CART_LIMIT = 20
+FIRST_CART_POSITION = 1
+
+
+def rpt_basket_by_segment(fact_orders: DataFrame, dim_users: DataFrame) -> DataFrame:
+    """How basket size varies by customer segment: orders, customers and
+    average items per order for each segment. Orders are pre-aggregated per
+    user before the join, so the join runs at user grain."""
+    per_user = (fact_orders.filter(F.col("user_key").isNotNull())
+                .groupBy("user_key")
+                .agg(F.count(F.lit(1)).alias("orders"), F.sum("total_items").alias("items")))
+    joined = per_user.join(dim_users.select("user_key", "customer_segment"), "user_key", "inner")
+    return (joined.groupBy("customer_segment")
+            .agg(F.sum("orders").alias("orders"),
+                 F.count(F.lit(1)).alias("customers"),
+                 round_n(F.sum("items") / F.sum("orders"), 2).alias("avg_basket_size"))
+            .orderBy(F.col("avg_basket_size").desc(), F.col("customer_segment").asc()))
+
+
+def rpt_first_in_cart(fact_order_products: DataFrame, dim_products: DataFrame,
+                      limit: int = FIRST_IN_CART_LIMIT) -> DataFrame:
+    """Products most often added first to the cart: share of a product's
+    lines at cart position 1 (top-k, ties by count then product id). Lines
+    are aggregated per product before the catalog join."""
+    per_product = (fact_order_products.groupBy("product_key")
+                   .agg(F.count(F.lit(1)).alias("times_ordered"),
+                        F.count_if(F.col("add_to_cart_order") == FIRST_CART_POSITION).alias("times_first")))
+    current = dim_products.filter(F.col("is_current") == F.lit(True)).select(
+        "product_key", "product_id", "product_name", "department_name")
+    joined = join_small(per_product, current, "product_key", "inner")
+    return (joined.select("product_id", "product_name", "department_name", "times_ordered", "times_first",
+                          round_n(F.col("times_first") / F.col("times_ordered"), 4).alias("pct_first_in_cart"))
+            .orderBy(F.col("pct_first_in_cart").desc(), F.col("times_first").desc(), F.col("product_id").asc())
+            .limit(limit))
+
+
+def upper_columns(df: DataFrame) -> DataFrame:
+    """Result columns upper-cased, as the dashboard presents them."""
+    return df.toDF(*[c.upper() for c in df.columns])
