@@ -11,8 +11,8 @@ These operators avoid both:
 2. ``monotonically_increasing_id`` on the sorted partition encodes
    (partition index, position within partition).
 3. Per-partition row counts form a table of at most P rows (P = number of
-   range partitions, a configuration value): the only broadcast, with a
-   proven size bound. Its running sum gives each partition's offset, so
+   range partitions, at most ``spark.sql.shuffle.partitions``): the only
+   broadcast, with a proven size bound. Its running sum gives each partition's offset, so
    ``row number = offset + position + 1``.
 
 RANK and per-group numbering are derived from global row numbers with
@@ -54,12 +54,6 @@ def sort_key(col, ascending: bool = True, nulls_last: bool | None = None) -> Col
     return c.desc_nulls_last() if nulls_last else c.desc_nulls_first()
 
 
-def _num_partitions(df: DataFrame, requested: int | None) -> int:
-    if requested:
-        return int(requested)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def release() -> None:
     """Kept for callers that free numbering state after an action; the
     written anchors need no release (their files live in the shared
@@ -73,8 +67,11 @@ def global_row_number(df: DataFrame, order: Sequence[Column], out: str = "rn",
     ``order`` should be a total order (end with a unique column); with ties
     the numbering among tied rows is arbitrary, as for ROW_NUMBER.
     """
-    n = _num_partitions(df, num_partitions)
-    tagged = (df.repartitionByRange(n, *order)
+    # Without an explicit count AQE may coalesce adjacent range partitions
+    # (order is kept); the single written anchor makes any layout consistent.
+    ranged = (df.repartitionByRange(int(num_partitions), *order) if num_partitions
+              else df.repartitionByRange(*order))
+    tagged = (ranged
               .sortWithinPartitions(*order)
               .withColumn(_MID, F.monotonically_increasing_id()))
     tagged = cut_lineage(tagged, "rownum")

@@ -33,8 +33,10 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     scratch = tempfile.mkdtemp(prefix="bk-bench-")
-    spark = get_session(f"local[{cpus}]", app_name="basketry-bench", shuffle_partitions=cpus * 2,
-                        extra={"spark.checkpoint.dir": os.path.join(scratch, "ckpt")})
+    extra = {"spark.checkpoint.dir": os.path.join(scratch, "ckpt")}
+    if os.environ.get("BENCH_EVENT_LOG"):
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]})
+    spark = get_session(f"local[{cpus}]", app_name="basketry-bench", shuffle_partitions=cpus * 2, extra=extra)
     root = os.path.join(scratch, "warehouse")
     times: dict[str, float] = {}
 
