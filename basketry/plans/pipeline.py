@@ -109,6 +109,16 @@ class Models:
         return facts.fact_order_products(self.stg_order_products, self.dim_products, self.stg_orders,
                                          self.dim_users)
 
+    def incremental(self, name: str, target: DataFrame) -> DataFrame:
+        """Next version of an incremental fact given its current version."""
+        if name == "fact_orders":
+            return facts.fact_orders(self.stg_orders, self.stg_order_products, self.dim_users,
+                                     target=target, line_stats=self.line_stats)
+        if name == "fact_order_products":
+            return facts.fact_order_products(self.stg_order_products, self.dim_products, self.stg_orders,
+                                             self.dim_users, target=target)
+        raise KeyError(name)
+
     # reports -------------------------------------------------------------
     def report(self, name: str, **kw) -> DataFrame:
         fn = getattr(reports, name)
@@ -137,13 +147,23 @@ def load_raw(models: Models, root: str) -> dict[str, str]:
     return written
 
 
-def materialize(models: Models, root: str, names=MODEL_ORDER, load: bool = True) -> dict[str, str]:
+# Facts built incrementally when a previous version exists.
+INCREMENTAL_MODELS = ("fact_orders", "fact_order_products")
+
+
+def materialize(models: Models, root: str, names=MODEL_ORDER, load: bool = True,
+                full_refresh: bool = False) -> dict[str, str]:
     """Write each model as the next version of ``root/<name>`` (in
     dependency order, after the raw tables when ``load``) and continue from
-    the written table. Returns the written paths."""
+    the written table. Facts with a previous version are built
+    incrementally from it unless ``full_refresh``; every other model is
+    rebuilt (tables, SCD1). Returns the written paths."""
     written = load_raw(models, root) if load else {}
     for name in names:
-        df = getattr(models, name)
+        if name in INCREMENTAL_MODELS and not full_refresh and tables.exists(models.spark, root, name):
+            df = models.incremental(name, tables.read(models.spark, root, name))
+        else:
+            df = getattr(models, name)
         path = tables.commit(df, root, name)
         ranking.release()
         models.use(name, tables.read(models.spark, root, name))
