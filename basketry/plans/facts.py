@@ -16,6 +16,10 @@ from ..operators.incremental import newer_than, unseen, upsert
 from ..operators.joins import join_small
 from .customers import order_line_stats
 
+# Upsert keys of the incremental facts.
+FACT_ORDERS_KEY = ["order_id"]
+FACT_ORDER_PRODUCTS_KEY = ["order_product_id"]
+
 
 def fact_orders_build(stg_orders: DataFrame, stg_order_products: DataFrame, dim_users: DataFrame,
                       line_stats: DataFrame | None = None) -> DataFrame:
@@ -58,9 +62,17 @@ def fact_orders(stg_orders: DataFrame, stg_order_products: DataFrame, dim_users:
     ``order_id``; new columns are appended."""
     if target is None:
         return fact_orders_build(stg_orders, stg_order_products, dim_users, line_stats)
+    updates = fact_orders_updates(stg_orders, stg_order_products, dim_users, target, line_stats,
+                                  watermark_null_loads_all)
+    return upsert(target, updates, FACT_ORDERS_KEY, append_new_columns=True)
+
+
+def fact_orders_updates(stg_orders: DataFrame, stg_order_products: DataFrame, dim_users: DataFrame,
+                        target: DataFrame, line_stats: DataFrame | None = None,
+                        watermark_null_loads_all: bool = True) -> DataFrame:
+    """Order fact rows of orders loaded after the target's watermark."""
     fresh = newer_than(stg_orders, target, "loaded_at", null_loads_all=watermark_null_loads_all)
-    updates = fact_orders_build(fresh, stg_order_products, dim_users, line_stats)
-    return upsert(target, updates, ["order_id"], append_new_columns=True)
+    return fact_orders_build(fresh, stg_order_products, dim_users, line_stats)
 
 
 def fact_order_products_build(stg_order_products: DataFrame, dim_products: DataFrame,
@@ -99,7 +111,16 @@ def fact_order_products(stg_order_products: DataFrame, dim_products: DataFrame,
     ``order_product_id``."""
     if target is None:
         return fact_order_products_build(stg_order_products, dim_products, stg_orders, dim_users)
+    updates = fact_order_products_updates(stg_order_products, dim_products, stg_orders, dim_users,
+                                          target, line_grain)
+    return upsert(target, updates, FACT_ORDER_PRODUCTS_KEY)
+
+
+def fact_order_products_updates(stg_order_products: DataFrame, dim_products: DataFrame,
+                                stg_orders: DataFrame, dim_users: DataFrame, target: DataFrame,
+                                line_grain: bool = False) -> DataFrame:
+    """Line fact rows of orders (or, with ``line_grain``, lines) not yet in
+    the target."""
     key = "order_product_id" if line_grain else "order_id"
     fresh = unseen(stg_order_products, target, key)
-    updates = fact_order_products_build(fresh, dim_products, stg_orders, dim_users)
-    return upsert(target, updates, ["order_product_id"])
+    return fact_order_products_build(fresh, dim_products, stg_orders, dim_users)

@@ -109,14 +109,17 @@ class Models:
         return facts.fact_order_products(self.stg_order_products, self.dim_products, self.stg_orders,
                                          self.dim_users)
 
-    def incremental(self, name: str, target: DataFrame) -> DataFrame:
-        """Next version of an incremental fact given its current version."""
+    def incremental(self, name: str, target: DataFrame):
+        """(update rows, key, append_new_columns) of an incremental fact given
+        its current version."""
         if name == "fact_orders":
-            return facts.fact_orders(self.stg_orders, self.stg_order_products, self.dim_users,
-                                     target=target, line_stats=self.line_stats)
+            return (facts.fact_orders_updates(self.stg_orders, self.stg_order_products, self.dim_users,
+                                              target, self.line_stats),
+                    facts.FACT_ORDERS_KEY, True)
         if name == "fact_order_products":
-            return facts.fact_order_products(self.stg_order_products, self.dim_products, self.stg_orders,
-                                             self.dim_users, target=target)
+            return (facts.fact_order_products_updates(self.stg_order_products, self.dim_products,
+                                                      self.stg_orders, self.dim_users, target),
+                    facts.FACT_ORDER_PRODUCTS_KEY, False)
         raise KeyError(name)
 
     # reports -------------------------------------------------------------
@@ -161,10 +164,10 @@ def materialize(models: Models, root: str, names=MODEL_ORDER, load: bool = True,
     written = load_raw(models, root) if load else {}
     for name in names:
         if name in INCREMENTAL_MODELS and not full_refresh and tables.exists(models.spark, root, name):
-            df = models.incremental(name, tables.read(models.spark, root, name))
+            updates, key, new_cols = models.incremental(name, tables.read(models.spark, root, name))
+            path = tables.upsert_commit(updates, root, name, key, append_new_columns=new_cols)
         else:
-            df = getattr(models, name)
-        path = tables.commit(df, root, name)
+            path = tables.commit(getattr(models, name), root, name)
         ranking.release()
         models.use(name, tables.read(models.spark, root, name))
         written[name] = path

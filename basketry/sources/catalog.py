@@ -25,13 +25,12 @@ def register_views(frames: Mapping[str, DataFrame]) -> list[str]:
 
 
 def publish(spark: SparkSession, root: str, names: Iterable[str], schema: str) -> list[str]:
-    """Point ``schema.<name>`` at the current version of each written table
-    (external tables: dropping or re-pointing never deletes data)."""
+    """Define ``schema.<name>`` as a view over the segments of the current
+    version of each written table (re-pointing never touches data)."""
     ensure_schema(spark, schema)
     published = []
     for name in names:
-        path = tables.version_path(root, name, tables.current_version(spark, root, name))
-        spark.sql(f"DROP TABLE IF EXISTS `{schema}`.`{name}`")
-        spark.catalog.createTable(f"{schema}.{name}", path=path, source="parquet")
+        parts = " UNION ALL ".join(f"SELECT * FROM parquet.`{p}`" for p in tables.paths(spark, root, name))
+        spark.sql(f"CREATE OR REPLACE VIEW `{schema}`.`{name}` AS {parts}")
         published.append(f"{schema}.{name}")
     return published

@@ -2,16 +2,24 @@
 
 Layout of a table ``root/name``::
 
-    data/version=000001/part-*.parquet   one complete table version
-    _versions/000001                     empty marker, created after the data
-
-A commit writes the new version to its own folder (Spark's job commit makes
-it appear whole) and only then creates the version's marker file. Readers
-take the highest marker, so they never see a partial version, and a version
-being read is never overwritten or deleted. Nothing is renamed or
-overwritten, which also holds on object stores. A crash between the two
-steps leaves an unmarked folder that the next commit overwrites. One writer
-per table.
+    data/seg=000001/part-*.parquet   a segment: rows written by one commit
+    data/seg=000003/part-*.parquet
+    _versions/000003                 marker: the segments of version 3
+
+A commit writes its rows to a new segment folder (Spark's job commit makes
+it appear whole) and only then creates the version's marker, listing the
+segments that make up the version. Readers take the highest marker, so they
+never see a partial version, and a segment being read is never overwritten
+or deleted. Nothing is renamed, which also holds on object stores. A crash
+between the two steps leaves an unlisted folder that the next commit
+overwrites. One writer per table.
+
+* :func:`commit` writes a whole new version (one segment).
+* :func:`append` adds rows as one more segment: an incremental load costs
+  the size of the batch, not of the table. Past ``MAX_SEGMENTS`` the table
+  is compacted into a single segment.
+* :func:`upsert_commit` appends when no update key is already present (the
+  usual daily case), else writes the merged table as a new version.
 
 Markers go through the Hadoop FileSystem of the path (HDFS, object store or
 local), so bookkeeping costs no Spark job.
@@ -19,34 +27,36 @@ local), so bookkeeping costs no Spark job.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
+MAX_SEGMENTS = 32
+
+
+def _jvm(spark: SparkSession):
+    return spark.sparkContext._jvm
+
 
 def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
+    p = _jvm(spark).org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _markers(root: str, name: str) -> str:
-    return f"{root.rstrip('/')}/{name}/_versions"
+def _base(root: str, name: str) -> str:
+    return f"{root.rstrip('/')}/{name}"
 
 
-def version_path(root: str, name: str, version: int) -> str:
-    return f"{root.rstrip('/')}/{name}/data/version={version:06d}"
+def segment_path(root: str, name: str, segment: int) -> str:
+    return f"{_base(root, name)}/data/seg={segment:06d}"
 
 
 def versions(spark: SparkSession, root: str, name: str) -> list[int]:
     """Committed versions, ascending."""
-    fs, p = _fs(spark, _markers(root, name))
+    fs, p = _fs(spark, f"{_base(root, name)}/_versions")
     if not fs.exists(p):
         return []
-    found = []
-    for status in fs.listStatus(p):
-        n = status.getPath().getName()
-        if n.isdigit():
-            found.append(int(n))
-    return sorted(found)
+    return sorted(int(s.getPath().getName()) for s in fs.listStatus(p) if s.getPath().getName().isdigit())
 
 
 def current_version(spark: SparkSession, root: str, name: str) -> int | None:
@@ -55,25 +65,91 @@ def current_version(spark: SparkSession, root: str, name: str) -> int | None:
     return vs[-1] if vs else None
 
 
+def exists(spark: SparkSession, root: str, name: str) -> bool:
+    return current_version(spark, root, name) is not None
+
+
+def segments(spark: SparkSession, root: str, name: str, version: int | None = None) -> list[int]:
+    """Segment numbers that make up a version (default: the current one)."""
+    v = version if version is not None else current_version(spark, root, name)
+    if v is None:
+        raise FileNotFoundError(f"table {name} has no committed version under {root}")
+    fs, p = _fs(spark, f"{_base(root, name)}/_versions/{v:06d}")
+    stream = fs.open(p)
+    try:
+        text = _jvm(spark).org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return [int(x) for x in text.split()]
+
+
+def paths(spark: SparkSession, root: str, name: str, version: int | None = None) -> list[str]:
+    return [segment_path(root, name, s) for s in segments(spark, root, name, version)]
+
+
+def _mark(spark: SparkSession, root: str, name: str, version: int, segs: Sequence[int]) -> None:
+    fs, p = _fs(spark, f"{_base(root, name)}/_versions/{version:06d}")
+    out = fs.create(p, False)
+    try:
+        out.write(bytearray("\n".join(str(s) for s in segs).encode()))
+    finally:
+        out.close()
+
+
 def commit(df: DataFrame, root: str, name: str) -> str:
-    """Write ``df`` as the next version of ``root/name``; returns its path."""
+    """Write ``df`` as the whole next version of ``root/name``; returns the
+    segment path."""
     spark = df.sparkSession
     current = current_version(spark, root, name)
     version = 1 if current is None else current + 1
-    path = version_path(root, name, version)
+    path = segment_path(root, name, version)
     df.write.mode("overwrite").parquet(path)
-    fs, marker = _fs(spark, f"{_markers(root, name)}/{version:06d}")
-    fs.create(marker, False).close()
+    _mark(spark, root, name, version, [version])
     return path
 
 
-def read(spark: SparkSession, root: str, name: str, version: int | None = None) -> DataFrame:
-    """The given or latest committed version of ``root/name``."""
-    v = version if version is not None else current_version(spark, root, name)
-    if v is None:
-        raise FileNotFoundError(f"table {name} has no committed version under {root}")
-    return spark.read.parquet(version_path(root, name, v))
+def append(df: DataFrame, root: str, name: str) -> str:
+    """Add ``df``'s rows to ``root/name`` as a new segment (same columns as
+    the table). Compacts into one segment past ``MAX_SEGMENTS``."""
+    spark = df.sparkSession
+    current = current_version(spark, root, name)
+    if current is None:
+        return commit(df, root, name)
+    segs = segments(spark, root, name, current)
+    if len(segs) + 1 > MAX_SEGMENTS:
+        return commit(read(spark, root, name).unionByName(df), root, name)
+    version = current + 1
+    path = segment_path(root, name, version)
+    df.write.mode("overwrite").parquet(path)
+    if spark.read.parquet(path).isEmpty():
+        # Nothing new: keep the current version (the unlisted folder is
+        # overwritten by the next commit).
+        return paths(spark, root, name, current)[-1]
+    _mark(spark, root, name, version, segs + [version])
+    return path
 
 
-def exists(spark: SparkSession, root: str, name: str) -> bool:
-    return current_version(spark, root, name) is not None
+def read(spark: SparkSession, root: str, name: str, version: int | None = None) -> DataFrame:
+    """The given or latest committed version of ``root/name``."""
+    return spark.read.parquet(*paths(spark, root, name, version))
+
+
+def upsert_commit(updates: DataFrame, root: str, name: str, key: Sequence[str],
+                  append_new_columns: bool = False) -> str:
+    """Upsert ``updates`` into ``root/name`` on ``key``.
+
+    When no update key is in the table yet (checked with a semi join that
+    reads only the key columns) and no column is new, the updates are
+    appended as one segment; otherwise the merged table is written as a new
+    version."""
+    from ..operators.incremental import upsert
+    spark = updates.sparkSession
+    if not exists(spark, root, name):
+        return commit(updates, root, name)
+    target = read(spark, root, name)
+    key = list(key)
+    new_cols = [c for c in updates.columns if c not in target.columns]
+    collides = not target.select(*key).join(updates.select(*key), key, "left_semi").isEmpty()
+    if collides or (new_cols and append_new_columns):
+        return commit(upsert(target, updates, key, append_new_columns), root, name)
+    return append(updates.select(*target.columns), root, name)

@@ -16,7 +16,6 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.incremental import upsert
 from ..schemas import RAW_FILES
 from ..sources import tables
 
@@ -54,11 +53,8 @@ def _upsert_batch(root: str, table: str, key: list[str]):
         now = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
         cols = [c for c in batch.columns if c != "_source_file"]
         stamped = batch.select(*cols, F.to_timestamp(F.lit(now)).alias("_loaded_at"), "_source_file")
-        if tables.exists(spark, root, table):
-            nxt = upsert(tables.read(spark, root, table), stamped, key)
-        else:
-            nxt = stamped
-        tables.commit(nxt, root, table)
+        # Appends the batch as a segment unless a key is already present.
+        tables.upsert_commit(stamped, root, table, key)
     return apply
 
 

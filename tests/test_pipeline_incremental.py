@@ -24,8 +24,10 @@ def test_daily_runs_upsert_facts(spark, scratch):
     assert n1 < inc.count() == full.count()
     assert inc.select("order_id").exceptAll(full.select("order_id")).count() == 0
     lines = tables.read(spark, scratch, "fact_order_products")
-    assert lines.count() == full.sparkSession.read.parquet(
-        tables.version_path(scratch, "stg_order_products", 2)).count()
+    assert lines.count() == tables.read(spark, scratch, "stg_order_products").count()
+    # the day-2 facts were appended as a segment, not rewritten
+    assert tables.segments(spark, scratch, "fact_orders") == [1, 2]
+    assert tables.segments(spark, scratch, "fact_order_products") == [1, 2]
     # day 3, nothing new: the facts keep their rows
     materialize(Models(spark, {t: raw[t] for t in raw.keys()}), scratch)
     assert tables.read(spark, scratch, "fact_orders").count() == inc.count()

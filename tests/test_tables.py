@@ -2,13 +2,33 @@ from basketry.sources import tables
 
 
 def test_versions_and_read_while_writing(spark, scratch):
-    t1 = spark.range(5)
-    p1 = tables.commit(t1, scratch, "t")
-    assert p1.endswith("version=000001")
+    p1 = tables.commit(spark.range(5), scratch, "t")
+    assert p1.endswith("seg=000001")
     current = tables.read(spark, scratch, "t")
     # the next version is computed from the current one and written beside it
-    p2 = tables.commit(current.union(spark.range(5, 8)), scratch, "t")
-    assert p2.endswith("version=000002")
+    tables.commit(current.union(spark.range(5, 8)), scratch, "t")
     assert tables.read(spark, scratch, "t").count() == 8
     assert tables.read(spark, scratch, "t", version=1).count() == 5
     assert tables.current_version(spark, scratch, "missing") is None
+
+
+def test_append_and_upsert_commit(spark, scratch):
+    tables.commit(spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string"), scratch, "u")
+    tables.upsert_commit(spark.createDataFrame([(3, "c")], "k long, v string"), scratch, "u", ["k"])
+    assert tables.segments(spark, scratch, "u") == [1, 2]          # appended, nothing rewritten
+    tables.upsert_commit(spark.createDataFrame([], "k long, v string"), scratch, "u", ["k"])
+    assert tables.current_version(spark, scratch, "u") == 2         # empty batch: no new version
+    tables.upsert_commit(spark.createDataFrame([(2, "B"), (4, "d")], "k long, v string"), scratch, "u", ["k"])
+    assert tables.segments(spark, scratch, "u") == [3]             # key 2 existed: merged rewrite
+    got = sorted(tuple(r) for r in tables.read(spark, scratch, "u").collect())
+    assert got == [(1, "a"), (2, "B"), (3, "c"), (4, "d")]
+    assert sorted(tuple(r) for r in tables.read(spark, scratch, "u", version=2).collect()) == \
+        [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_compaction_bounds_segments(spark, scratch, monkeypatch):
+    monkeypatch.setattr(tables, "MAX_SEGMENTS", 3)
+    for i in range(5):
+        tables.append(spark.range(i * 10, i * 10 + 10), scratch, "c")
+    assert len(tables.segments(spark, scratch, "c")) <= 3
+    assert tables.read(spark, scratch, "c").count() == 50
