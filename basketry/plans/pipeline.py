@@ -20,13 +20,19 @@ from ..schemas import RAW_TABLES
 from ..sources.fixtures import DEFAULT_RUN_TS, raw_from_parquet
 from . import customers, dims, facts, products, reports, staging
 
-# Build order of the materialised models (dependency order).
-MODEL_ORDER = [
-    "stg_orders", "stg_order_products", "stg_products", "stg_aisles", "stg_departments",
-    "customer_history", "customer_360", "product_performance",
-    "dim_dates", "dim_users", "dim_departments", "dim_products",
-    "fact_orders", "fact_order_products",
-]
+# The models in dependency order with their materialisation,
+# as the reference configures them: staging as views, the intermediate
+# history ephemeral (inlined), marts and dimensions as tables rebuilt each
+# run, facts incremental.
+MATERIALIZATION = {
+    "stg_orders": "view", "stg_order_products": "view", "stg_products": "view",
+    "stg_aisles": "view", "stg_departments": "view",
+    "customer_history": "ephemeral",
+    "customer_360": "table", "product_performance": "table",
+    "dim_dates": "table", "dim_users": "table", "dim_departments": "table", "dim_products": "table",
+    "fact_orders": "incremental", "fact_order_products": "incremental",
+}
+MODEL_ORDER = list(MATERIALIZATION)
 
 
 class Models:
@@ -150,20 +156,22 @@ def load_raw(models: Models, root: str) -> dict[str, str]:
     return written
 
 
-# Facts built incrementally when a previous version exists.
-INCREMENTAL_MODELS = ("fact_orders", "fact_order_products")
-
-
 def materialize(models: Models, root: str, names=MODEL_ORDER, load: bool = True,
                 full_refresh: bool = False) -> dict[str, str]:
-    """Write each model as the next version of ``root/<name>`` (in
-    dependency order, after the raw tables when ``load``) and continue from
-    the written table. Facts with a previous version are built
-    incrementally from it unless ``full_refresh``; every other model is
-    rebuilt (tables, SCD1). Returns the written paths."""
+    """Build the models in dependency order (after writing the raw tables
+    when ``load``): views are registered as temp views, ephemeral models
+    stay inline, tables are written as the next version of ``root/<name>``
+    (rebuilt: SCD1 for dimensions) and incremental facts with a previous
+    version get only their new rows (unless ``full_refresh``). Later models
+    read the written tables. Returns the written paths."""
     written = load_raw(models, root) if load else {}
     for name in names:
-        if name in INCREMENTAL_MODELS and not full_refresh and tables.exists(models.spark, root, name):
+        kind = MATERIALIZATION[name]
+        if kind in ("view", "ephemeral"):
+            if kind == "view":
+                getattr(models, name).createOrReplaceTempView(name)
+            continue
+        if kind == "incremental" and not full_refresh and tables.exists(models.spark, root, name):
             updates, key, new_cols = models.incremental(name, tables.read(models.spark, root, name))
             path = tables.upsert_commit(updates, root, name, key, append_new_columns=new_cols)
         else:
