@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,13 +41,9 @@ def read_raw_csv(spark: SparkSession, path: str, schema, run_ts, strict: bool =
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    if "://" not in path:
-        return os.path.exists(path)
-    try:
-        spark.read.text(path).limit(0).collect()
-        return True
-    except Exception:  # noqa: BLE001 - any read failure means absent here
-        return False
+    """File or folder present (through the path's Hadoop FileSystem)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
 def load_raw_csv(spark: SparkSession, data_dir: str, root: str, run_ts=None,

@@ -53,8 +53,13 @@ def _upsert_batch(root: str, table: str, key: list[str]):
         now = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
         cols = [c for c in batch.columns if c != "_source_file"]
         stamped = batch.select(*cols, F.to_timestamp(F.lit(now)).alias("_loaded_at"), "_source_file")
-        # Appends the batch as a segment unless a key is already present.
-        tables.upsert_commit(stamped, root, table, key)
+        # The batch is read twice (key collision check, then the write).
+        stamped.persist()
+        try:
+            # Appends the batch as a segment unless a key is already present.
+            tables.upsert_commit(stamped, root, table, key)
+        finally:
+            stamped.unpersist()
     return apply
 
 
