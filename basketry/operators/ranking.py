@@ -54,10 +54,11 @@ def sort_key(col, ascending: bool = True, nulls_last: bool | None = None) -> Col
     return c.desc_nulls_last() if nulls_last else c.desc_nulls_first()
 
 
-def release() -> None:
-    """Kept for callers that free numbering state after an action; the
-    written anchors need no release (their files live in the shared
-    checkpoint folder and are cleaned with it)."""
+def release(spark) -> int:
+    """Delete the numbering anchors written so far (see
+    :func:`basketry.session.release_anchors`)."""
+    from ..session import release_anchors
+    return release_anchors(spark)
 
 
 def global_row_number(df: DataFrame, order: Sequence[Column], out: str = "rn",

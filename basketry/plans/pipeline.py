@@ -14,7 +14,6 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import ranking
 from ..sources import tables
 from ..schemas import RAW_TABLES
 from ..sources.fixtures import DEFAULT_RUN_TS, raw_from_parquet
@@ -176,7 +175,6 @@ def materialize(models: Models, root: str, names=MODEL_ORDER, load: bool = True,
             path = tables.upsert_commit(updates, root, name, key, append_new_columns=new_cols)
         else:
             path = tables.commit(getattr(models, name), root, name)
-        ranking.release()
         models.use(name, tables.read(models.spark, root, name))
         written[name] = path
     return written

@@ -84,6 +84,9 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([root, *parts]) if not root.startswith("/") else os.path.join(root, *parts)
 
 
+_ANCHORS: list[str] = []
+
+
 def cut_lineage(df, label: str = "anchor"):
     """Write ``df`` as Parquet to a new folder under the shared checkpoint
     folder and return the read-back frame: one job, lineage and plan cut,
@@ -94,4 +97,19 @@ def cut_lineage(df, label: str = "anchor"):
     spark = df.sparkSession
     path = shared_path(spark, "basketry-anchors", f"{label}-{uuid.uuid4().hex}")
     df.write.parquet(path)
+    _ANCHORS.append(path)
     return spark.read.parquet(path)
+
+
+def release_anchors(spark) -> int:
+    """Delete the lineage anchors written so far by this process. Call only
+    when no DataFrame that reads them is used again (e.g. at the end of a
+    run whose models were written as tables); otherwise they are removed
+    with the checkpoint folder. Returns the count."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while _ANCHORS:
+        p = jvm.org.apache.hadoop.fs.Path(_ANCHORS.pop())
+        p.getFileSystem(conf).delete(p, True)
+        n += 1
+    return n

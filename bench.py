@@ -24,7 +24,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from basketry.operators import quality  # noqa: E402
 from basketry.plans.pipeline import MATERIALIZATION, MODEL_ORDER, Models, load_raw, materialize  # noqa: E402
-from basketry.session import get_session  # noqa: E402
+from basketry.session import get_session, release_anchors  # noqa: E402
 
 REPORTS = ["rpt_kpi", "rpt_segments", "rpt_loyalty", "rpt_frequency", "rpt_segment_rate", "rpt_hourly",
            "rpt_daily", "rpt_departments", "rpt_top_reordered", "rpt_peak_times", "rpt_top_products"]
@@ -67,6 +67,7 @@ def main() -> None:
     quality.dq_suite(_T()).collect()
     times["dq_suite"] = round(time.time() - t, 3)
     total = time.time() - t_all
+    release_anchors(spark)  # the run is over: nothing reads the numbering anchors any more
 
     sf = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
