@@ -168,9 +168,16 @@ def _unique_failures(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
                     F.coalesce(F.col("failures"), F.lit(0)).cast("long").alias("failures")))
 
 
-def dq_suite(tables: Mapping[str, DataFrame], checks: Sequence[Check] = CHECKS) -> DataFrame:
+# Source tables with a freshness rule on their load time.
+FRESHNESS_TABLES = ["orders", "order_products_prior", "order_products_train", "products", "aisles",
+                    "departments"]
+
+
+def dq_suite(tables: Mapping[str, DataFrame], checks: Sequence[Check] = CHECKS, now=None) -> DataFrame:
     """All checks over the given tables → one report row per check
-    (table_name, column_name, check_name, failures, status)."""
+    (table_name, column_name, check_name, failures, status). With ``now``,
+    the sources' freshness rows are added (failures 0 / 1, status pass /
+    warn / error)."""
     parts: list[DataFrame] = []
     by_table: dict[str, list[Check]] = {}
     for c in checks:
@@ -201,4 +208,12 @@ def dq_suite(tables: Mapping[str, DataFrame], checks: Sequence[Check] = CHECKS)
     report = parts[0]
     for p in parts[1:]:
         report = report.unionByName(p)
-    return report.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))
+    report = report.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))
+    if now is not None:
+        for t in FRESHNESS_TABLES:
+            fresh = dq_freshness(tables[t], "_loaded_at", now).select(
+                F.lit(t).alias("table_name"), F.lit("_loaded_at").alias("column_name"),
+                F.lit("freshness").alias("check_name"),
+                F.when(F.col("status") == "pass", 0).otherwise(1).cast("long").alias("failures"), "status")
+            report = report.unionByName(fresh)
+    return report

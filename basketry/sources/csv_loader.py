@@ -50,7 +50,8 @@ def load_raw_csv(spark: SparkSession, data_dir: str, root: str, run_ts=None,
                  files: dict | None = None) -> tuple[dict[str, DataFrame], DataFrame]:
     """Load every configured file into ``root``; returns the loaded tables
     (read back from storage) and a summary DataFrame with one row per file
-    (table_name, source_file, rows, status, error)."""
+    (table_name, source_file, rows, status, error) plus a TOTAL row naming
+    the skipped or failed files."""
     run_ts = run_ts or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
     files = files or RAW_FILES
     loaded: dict[str, DataFrame] = {}
@@ -70,6 +71,10 @@ def load_raw_csv(spark: SparkSession, data_dir: str, root: str, run_ts=None,
         except Exception as e:  # noqa: BLE001 - a failing file is reported, others go on
             log.error("failed to load %s: %s", file_name, e)
             summary.append((table, file_name, None, "failed", str(e).splitlines()[0][:500]))
+    failed = [t for t, _, _, status, _ in summary if status != "loaded"]
+    total = sum(r[2] or 0 for r in summary)
+    summary.append(("TOTAL", None, total, "loaded" if not failed else "partial",
+                    ("skipped/failed: " + ", ".join(failed)) if failed else None))
     return loaded, spark.createDataFrame(summary, SUMMARY_SCHEMA)
 
 

@@ -12,6 +12,7 @@ def test_round_trip_and_summary(spark, scratch):
     write_raw_csv(raw, landing)
     loaded, summary = load_raw_csv(spark, landing, os.path.join(scratch, "wh"), "2024-01-01 06:00:00")
     s = {r.table_name: (r.rows, r.status) for r in summary.collect()}
+    assert s["TOTAL"] == (sum(raw[t].count() for t in raw.keys()), "loaded")
     for t in raw.keys():
         assert s[t] == (raw[t].count(), "loaded")
         cols = [c for c in raw[t].columns if not c.startswith("_")]
@@ -35,7 +36,9 @@ def test_quotes_missing_and_bad_files(spark, scratch):
     loaded, summary = load_raw_csv(spark, landing, os.path.join(scratch, "wh"), "2024-01-01 06:00:00")
     s = {r.table_name: r.status for r in summary.collect()}
     assert s == {"orders": "loaded", "products": "loaded", "aisles": "failed", "departments": "missing",
-                 "order_products_prior": "missing", "order_products_train": "missing"}
+                 "order_products_prior": "missing", "order_products_train": "missing", "TOTAL": "partial"}
+    total = [r for r in summary.collect() if r.table_name == "TOTAL"][0]
+    assert total.rows == 4 and "aisles" in total.error
     p = {r.product_id: (r.product_name, r.aisle_id, r.department_id) for r in loaded["products"].collect()}
     assert p[1] == ('Chocolate "Sandwich" Cookies, family size', 61, 19)
     o = {r.order_id: (r.order_hour_of_day, r.days_since_prior_order) for r in loaded["orders"].collect()}

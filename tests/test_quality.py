@@ -48,3 +48,13 @@ def test_suite_flags_broken_table(spark):
     checks = [Q.Check("orders", "order_id", "unique"), Q.Check("orders", "order_dow", "accepted_values", Q.DOW_VALUES)]
     got = {r.check_name: (r.failures, r.status) for r in Q.dq_suite({"orders": broken}, checks).collect()}
     assert got == {"unique": (1, "fail"), "accepted_values": (1, "fail")}
+
+
+def test_suite_with_freshness(spark):
+    df = spark.createDataFrame([(1,)], "order_id long").select(
+        "order_id", F.to_timestamp(F.lit("2024-01-01 06:00:00")).alias("_loaded_at"))
+    tables = {t: df for t in Q.FRESHNESS_TABLES}
+    rows = {(r.table_name, r.check_name): r.status
+            for r in Q.dq_suite(tables, [Q.Check("orders", "order_id", "not_null")], now="2024-01-02 12:00:00").collect()}
+    assert rows[("orders", "not_null")] == "pass"
+    assert rows[("departments", "freshness")] == "warn"
