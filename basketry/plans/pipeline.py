@@ -47,6 +47,12 @@ class Models:
     def from_fixtures(cls, spark: SparkSession, sf_dir: str, run_ts: str = DEFAULT_RUN_TS) -> "Models":
         return cls(spark, raw_from_parquet(spark, sf_dir, run_ts), run_ts)
 
+    @classmethod
+    def from_tables(cls, spark: SparkSession, root: str, run_ts: str = DEFAULT_RUN_TS) -> "Models":
+        """The graph over raw tables already loaded into ``root`` (by the CSV
+        loader, the streaming load or :func:`load_raw`)."""
+        return cls(spark, {t: tables.read(spark, root, f"raw_{t}") for t in RAW_TABLES}, run_ts)
+
     def use(self, name: str, df: DataFrame) -> None:
         """Replace a model by an already materialised table."""
         self._overrides[name] = df

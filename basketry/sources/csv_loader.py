@@ -48,7 +48,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def load_raw_csv(spark: SparkSession, data_dir: str, root: str, run_ts=None,
                  files: dict | None = None) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Load every configured file into ``root``; returns the loaded tables
+    """Load every configured file into ``root`` (as ``raw_<table>``); returns the loaded tables
     (read back from storage) and a summary DataFrame with one row per file
     (table_name, source_file, rows, status, error) plus a TOTAL row naming
     the skipped or failed files."""
@@ -63,8 +63,8 @@ def load_raw_csv(spark: SparkSession, data_dir: str, root: str, run_ts=None,
             summary.append((table, file_name, None, "missing", None))
             continue
         try:
-            tables.commit(read_raw_csv(spark, path, schema, run_ts), root, table)
-            loaded[table] = tables.read(spark, root, table)
+            tables.commit(read_raw_csv(spark, path, schema, run_ts), root, f"raw_{table}")
+            loaded[table] = tables.read(spark, root, f"raw_{table}")
             rows = loaded[table].count()
             summary.append((table, file_name, rows, "loaded", None))
             log.info("%s: %d rows loaded into %s", file_name, rows, table)

@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.ranking import global_row_number, group_row_number, sort_key
+from ..operators.ranking import group_row_number, sort_key
 from ..session import cut_lineage
 
 # Fixed load timestamp of reproducible fixture runs (UTC).
@@ -125,10 +125,16 @@ def raw_products(spark: SparkSession, sf_dir: str, run_ts: str = DEFAULT_RUN_TS)
         F.col("p_name").alias("product_name"),
         "p_brand", "p_type",
     )
-    aisles = global_row_number(part.select(F.col("p_brand").alias("aisle")).distinct(),
-                               [sort_key("aisle")], "aisle_id")
-    departments = global_row_number(part.select(F.col("p_type").alias("department")).distinct(),
-                                    [sort_key("department")], "department_id")
+    # Dense ids of brands (aisles) and types (departments) in one numbering
+    # pass over the union of both distinct value sets, numbered per kind.
+    values = (part.select(F.lit("aisle").alias("kind"), F.col("p_brand").alias("value"))
+              .unionByName(part.select(F.lit("department").alias("kind"), F.col("p_type").alias("value")))
+              .distinct())
+    ids = group_row_number(values, ["kind"], [sort_key("value")], "id")
+    aisles = ids.filter(F.col("kind") == "aisle").select(F.col("value").alias("aisle"),
+                                                         F.col("id").alias("aisle_id"))
+    departments = ids.filter(F.col("kind") == "department").select(F.col("value").alias("department"),
+                                                                   F.col("id").alias("department_id"))
     products = (part
                 .join(aisles, part["p_brand"] == aisles["aisle"], "left")
                 .join(departments, part["p_type"] == departments["department"], "left")

@@ -32,7 +32,8 @@ RAW_KEYS = {
 
 def start_daily_load(spark: SparkSession, landing_dir: str, root: str, checkpoint_root: str,
                      table: str = "orders", available_now: bool = True):
-    """Start the load stream of one raw table; returns the StreamingQuery."""
+    """Start the load stream of one raw table (written as ``raw_<table>``);
+    returns the StreamingQuery."""
     file_name, schema = RAW_FILES[table]
     source = (spark.readStream.schema(schema)
               .option("header", True)
@@ -41,7 +42,7 @@ def start_daily_load(spark: SparkSession, landing_dir: str, root: str, checkpoin
               .select("*", F.col("_metadata.file_name").alias("_source_file")))
     # Raw tables keep the audit columns last, as the batch loader writes them.
     writer = (source.writeStream
-              .foreachBatch(_upsert_batch(root, table, RAW_KEYS[table]))
+              .foreachBatch(_upsert_batch(root, f"raw_{table}", RAW_KEYS[table]))
               .option("checkpointLocation", f"{checkpoint_root.rstrip('/')}/{table}"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 hour")
     return writer.start()

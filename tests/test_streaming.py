@@ -14,12 +14,12 @@ def test_available_now_daily_load_upserts(spark, scratch):
     with open(os.path.join(landing, "day1.csv"), "w") as f:
         f.write(HEADER + "1,1,1,0,9,\n2,1,2,1,10,3.0\n")
     run_daily_load(spark, os.path.join(scratch, "landing"), root, ckpt, ["orders"])
-    assert tables.read(spark, root, "orders").count() == 2
+    assert tables.read(spark, root, "raw_orders").count() == 2
     with open(os.path.join(landing, "day2.csv"), "w") as f:
         f.write(HEADER + "2,1,2,1,11,3.0\n3,2,1,5,12,\n")
     run_daily_load(spark, os.path.join(scratch, "landing"), root, ckpt, ["orders"])
-    got = {r.order_id: r.order_hour_of_day for r in tables.read(spark, root, "orders").collect()}
+    got = {r.order_id: r.order_hour_of_day for r in tables.read(spark, root, "raw_orders").collect()}
     assert got == {1: 9, 2: 11, 3: 12}
     # a rerun with nothing new keeps the table as it is
     run_daily_load(spark, os.path.join(scratch, "landing"), root, ckpt, ["orders"])
-    assert tables.read(spark, root, "orders").count() == 3
+    assert tables.read(spark, root, "raw_orders").count() == 3
