@@ -35,7 +35,7 @@ CUSTOMER_SEGMENTS = ["Champion", "Loyal Customer", "New Customer", "At Risk",
 SURROGATE_KEY_SEPARATOR = "-"
 SURROGATE_KEY_NULL = "_dbt_utils_surrogate_key_null_"
 # Rounding carrier: doubles are rounded through this decimal type.
-ROUND_CARRIER = "decimal(28,10)"
+ROUND_CARRIER = "decimal(38,10)"
 
 
 def _c(x) -> Column:
