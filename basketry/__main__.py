@@ -2,7 +2,8 @@
 
     python -m basketry load   DATA_DIR ROOT          typed CSV load into ROOT (raw_<table>), summary
     python -m basketry stream LANDING ROOT CKPT      availableNow streaming load of new CSV files
-    python -m basketry build  ROOT [--full-refresh]  staging views, marts, dims, incremental facts
+    python -m basketry build  ROOT [--full-refresh] [--scd2-products]
+                                                     staging views, marts, dims, incremental facts
     python -m basketry test   ROOT [--now TS]        data-quality report; exit 1 on a failing check
     python -m basketry report ROOT NAME              one report (e.g. rpt_segments)
 
@@ -34,6 +35,7 @@ def main(argv=None) -> int:
     p = sub.add_parser("load"); p.add_argument("data_dir"); p.add_argument("root")
     p = sub.add_parser("stream"); p.add_argument("landing"); p.add_argument("root"); p.add_argument("checkpoint")
     p = sub.add_parser("build"); p.add_argument("root"); p.add_argument("--full-refresh", action="store_true")
+    p.add_argument("--scd2-products", action="store_true")
     p = sub.add_parser("test"); p.add_argument("root"); p.add_argument("--now")
     p = sub.add_parser("report"); p.add_argument("root"); p.add_argument("name")
     args = ap.parse_args(argv)
@@ -50,7 +52,9 @@ def main(argv=None) -> int:
         return 0
     m = Models.from_tables(spark, args.root)
     if args.cmd == "build":
-        for name, path in materialize(m, args.root, load=False, full_refresh=args.full_refresh).items():
+        written = materialize(m, args.root, load=False, full_refresh=args.full_refresh,
+                              scd2_products=args.scd2_products)
+        for name, path in written.items():
             print(f"{name}\t{path}")
         return 0
     if args.cmd == "test":

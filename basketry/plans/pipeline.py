@@ -161,14 +161,21 @@ def load_raw(models: Models, root: str) -> dict[str, str]:
     return written
 
 
+# Tracked attributes of the type-2 product dimension.
+PRODUCT_TRACKED = ["product_name", "aisle_id", "aisle_name", "department_id", "department_name"]
+
+
 def materialize(models: Models, root: str, names=MODEL_ORDER, load: bool = True,
-                full_refresh: bool = False) -> dict[str, str]:
+                full_refresh: bool = False, scd2_products: bool = False) -> dict[str, str]:
     """Build the models in dependency order (after writing the raw tables
     when ``load``): views are registered as temp views, ephemeral models
     stay inline, tables are written as the next version of ``root/<name>``
     (rebuilt: SCD1 for dimensions) and incremental facts with a previous
-    version get only their new rows (unless ``full_refresh``). Later models
-    read the written tables. Returns the written paths."""
+    version get only their new rows (unless ``full_refresh``). With
+    ``scd2_products`` an existing product dimension is merged with the
+    current catalog as a type-2 dimension (changed products get a closed and
+    a new version, effective on the run date) instead of rebuilt. Later
+    models read the written tables. Returns the written paths."""
     written = load_raw(models, root) if load else {}
     for name in names:
         kind = MATERIALIZATION[name]
@@ -176,9 +183,15 @@ def materialize(models: Models, root: str, names=MODEL_ORDER, load: bool = True,
             if kind == "view":
                 getattr(models, name).createOrReplaceTempView(name)
             continue
-        if kind == "incremental" and not full_refresh and tables.exists(models.spark, root, name):
+        exists = not full_refresh and tables.exists(models.spark, root, name)
+        if kind == "incremental" and exists:
             updates, key, new_cols = models.incremental(name, tables.read(models.spark, root, name))
             path = tables.upsert_commit(updates, root, name, key, append_new_columns=new_cols)
+        elif name == "dim_products" and scd2_products and exists:
+            from ..operators.incremental import scd2_merge
+            merged = scd2_merge(tables.read(models.spark, root, name), models.stg_products, "product_id",
+                                PRODUCT_TRACKED, models.run_ts[:10], models.run_ts)
+            path = tables.commit(merged, root, name)
         else:
             path = tables.commit(getattr(models, name), root, name)
         models.use(name, tables.read(models.spark, root, name))

@@ -37,7 +37,7 @@ def main() -> None:
     extra = {"spark.checkpoint.dir": os.path.join(scratch, "ckpt")}
     if os.environ.get("BENCH_EVENT_LOG"):
         extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]})
-    spark = get_session(f"local[{cpus}]", app_name="basketry-bench", shuffle_partitions=cpus * 2, extra=extra)
+    spark = get_session(f"local[{cpus}]", app_name="basketry-bench", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus * 2)), extra=extra)
     root = os.path.join(scratch, "warehouse")
     times: dict[str, float] = {}
 

@@ -32,3 +32,22 @@ def test_daily_runs_upsert_facts(spark, scratch):
     # day 3, nothing new: the facts keep their rows
     materialize(Models(spark, {t: raw[t] for t in raw.keys()}), scratch)
     assert tables.read(spark, scratch, "fact_orders").count() == inc.count()
+
+
+def test_scd2_product_dimension_across_runs(spark, scratch):
+    raw = raw_from_parquet(spark, SF)
+    base = {t: raw[t] for t in raw.keys()}
+    materialize(Models(spark, base, "2024-01-01 06:00:00"), scratch, names=["stg_products", "dim_products"],
+                scd2_products=True)
+    moved = dict(base)
+    moved["products"] = base["products"].withColumn(
+        "department_id", F.when(F.col("product_id") <= 3, F.lit(1).cast("long")).otherwise(F.col("department_id")))
+    materialize(Models(spark, moved, "2024-03-01 06:00:00"), scratch, names=["stg_products", "dim_products"],
+                scd2_products=True)
+    dim = tables.read(spark, scratch, "dim_products")
+    changed = base["products"].filter("product_id <= 3 AND department_id <> 1").count()
+    assert dim.filter("NOT is_current").count() == changed
+    assert dim.filter("is_current").count() == base["products"].count()
+    assert dim.filter("is_current AND product_id <= 3").select("department_id").distinct().collect()[0][0] == 1
+    closed = dim.filter("NOT is_current").select("valid_to").distinct().collect()
+    assert [str(r.valid_to) for r in closed] in ([], ["2024-03-01"])
