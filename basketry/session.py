@@ -113,3 +113,31 @@ def release_anchors(spark) -> int:
         p.getFileSystem(conf).delete(p, True)
         n += 1
     return n
+
+
+# Sizing rule for clusters: shuffle partitions of about TARGET_PARTITION_BYTES
+# of input each (AQE coalesces small ones and splits skewed join partitions);
+# input splits of the same size; broadcast only small measured sides.
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 100_000
+
+
+def cluster_conf(input_bytes: int) -> dict[str, str]:
+    """Spark settings sized for ``input_bytes`` of input (e.g. 100 TB:
+    ~400k splits of 256 MB, shuffle partitions capped at 100k).
+
+    Shuffle partitions bound the numbering operators' per-partition count
+    table (their only broadcast) as well."""
+    parts = max(200, min(MAX_SHUFFLE_PARTITIONS, input_bytes // TARGET_PARTITION_BYTES))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(TARGET_PARTITION_BYTES),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(TARGET_PARTITION_BYTES * 4),
+        "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+        "spark.sql.session.timeZone": "UTC",
+    }
