@@ -81,3 +81,15 @@ def test_surrogate_key_matches_md5_convention(spark):
     assert lit == hashlib.md5(b"1-2019-01-01").hexdigest()
     single = df.select(S.surrogate_key("a")).first()[0]
     assert single == hashlib.md5(b"1").hexdigest()
+
+
+def test_join_small_measures_and_falls_back(spark):
+    from basketry.operators.joins import join_small, measured_bytes
+    small = spark.createDataFrame([(1, "abcd"), (2, None)], "k long, name string")
+    assert measured_bytes(small) == 2 * 16 + 4 * 4
+    big = spark.range(10).withColumnRenamed("id", "k")
+    hinted = join_small(big, small, "k", "left")
+    assert "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
+    assert hinted.count() == 10
+    shuffled = join_small(big, small, "k", "left", max_bytes=10)
+    assert shuffled.count() == 10
