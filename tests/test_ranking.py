@@ -78,3 +78,21 @@ def test_row_number_total_order(spark):
     ours = global_row_number(df, [sort_key("v"), sort_key("id")], "rn")
     native = df.withColumn("rn", F.row_number().over(Window.orderBy(sort_key("v"), sort_key("id"))).cast("long"))
     assert same(ours, native)
+
+
+def test_hot_user_is_split_across_range_partitions(spark):
+    # user 1 holds a third of all orders
+    rows = [(i, 1 if i % 3 == 0 else 2 + i % 50, i // 7) for i in range(6000)]
+    df = spark.createDataFrame(rows, "order_id long, user_id long, day long")
+    numbered = group_row_number(df, ["user_id"], [sort_key("day"), sort_key("order_id")], "n",
+                                "size", num_partitions=8)
+    hot = numbered.filter("user_id = 1")
+    # the hot user's rows were numbered by several range partitions (tasks)
+    from basketry import session
+    anchor = spark.read.parquet(session._ANCHORS[-1])
+    tasks = anchor.filter("user_id = 1").select(F.shiftright("__bk_mid", 33)).distinct().count()
+    assert tasks >= 3
+    expected = df.withColumn("n", F.row_number().over(
+        Window.partitionBy("user_id").orderBy("day", "order_id")))
+    got = numbered.select("order_id", "n").exceptAll(expected.select("order_id", "n"))
+    assert got.count() == 0 and hot.agg(F.max("n")).first()[0] == 2000
