@@ -63,17 +63,22 @@ def get_session(master: str | None = None, app_name: str = "basketry",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """Return the shared checkpoint folder the cluster names.
 
-    On a cluster this setting names shared storage and is used as is. Only
-    when it is unset (local tests) a scratch folder is created and set.
+    Looked up in the session conf, then the SparkContext conf, then the
+    context's checkpoint directory. Only when none is set (local tests) is a
+    scratch folder created, and it is then set in the session.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    current = (spark.conf.get("spark.checkpoint.dir", None)
+               or sc.getConf().get("spark.checkpoint.dir", None)
+               or sc.getCheckpointDir())
     if not current:
         current = tempfile.mkdtemp(prefix="basketry-ckpt-")
+    if spark.conf.get("spark.checkpoint.dir", None) != current:
         spark.conf.set("spark.checkpoint.dir", current)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(current)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(current)
     return current
 
 
