@@ -72,15 +72,16 @@ def global_row_number(df: DataFrame, order: Sequence[Column], out: str = "rn",
     # (order is kept); the single written anchor makes any layout consistent.
     ranged = (df.repartitionByRange(int(num_partitions), *order) if num_partitions
               else df.repartitionByRange(*order))
+    # Documented contract of monotonically_increasing_id: the partition index
+    # in the upper bits, the record number within the partition in the lower
+    # 33 bits; evaluated right after the sort, it is the sorted position.
     tagged = (ranged
               .sortWithinPartitions(*order)
-              .withColumn(_MID, F.monotonically_increasing_id()))
+              .select("*", F.spark_partition_id().cast("long").alias(_PID),
+                      F.monotonically_increasing_id().alias(_MID)))
     tagged = cut_lineage(tagged, "rownum")
     tagged = tagged.select(
-        "*",
-        F.shiftright(F.col(_MID), _POS_BITS).alias(_PID),
-        F.col(_MID).bitwiseAND(F.lit((1 << _POS_BITS) - 1)).alias(_POS),
-    ).drop(_MID)
+        "*", (F.col(_MID) - F.shiftleft(F.col(_PID), _POS_BITS)).alias(_POS)).drop(_MID)
 
     counts = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_N))
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
