@@ -12,7 +12,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .plans import reports
 from .plans.dims import dim_dates_for
 from .plans.pipeline import Models
 
@@ -127,9 +126,6 @@ def customer_order_modes(spark, sf_dir):
 TEST_TOP_PRODUCTS_MIN_TIMES = 30
 register("rpt_top_products_min30")(_report("rpt_top_products", min_times=TEST_TOP_PRODUCTS_MIN_TIMES))
 
-__all__ = ["REGISTRY", "register", "models", "customer_360", "reports"]
-
-
 # --- data quality -------------------------------------------------------------
 class _SuiteTables:
     """Table name → DataFrame view over one model graph (raw tables by their
@@ -250,3 +246,6 @@ def dim_products_as_of(spark, sf_dir):
     """Product versions valid on a date after the re-filing."""
     from .operators.incremental import scd2_as_of
     return scd2_as_of(dim_products_scd2(spark, sf_dir), SCD2_AS_OF)
+
+
+__all__ = ["REGISTRY", "register", "models", "customer_360"]

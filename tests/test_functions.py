@@ -1,6 +1,5 @@
 import hashlib
 
-import pytest
 from pyspark.sql import functions as F
 
 from basketry.functions import scalar as S

@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from basketry.operators.incremental import newer_than, scd2_as_of, scd2_merge, unseen, upsert
 from basketry.plans.dims import dim_products

@@ -1,5 +1,4 @@
 import os
-import shutil
 
 from basketry.sources import tables
 from basketry.streaming.daily_load import run_daily_load
