@@ -5,11 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import (count_if, customer_segment, loyalty_tier, order_frequency_bucket,
-                                rfm_average, round_n, safe_divide)
+from ..functions.scalar import (DAY_NAMES, count_if, customer_segment, loyalty_tier,
+                                order_frequency_bucket, rfm_average, round_n, safe_divide)
 from ..operators.ranking import global_ntile, sort_key
 
 NTILE_BUCKETS = 4
+# Day names in text order: MAX over a name's position in this list equals
+# MAX over the names as text, with an integer aggregation buffer (Spark's
+# hash aggregation keeps no strings in its buffers; a string MAX would force
+# a sort-based aggregation over all orders).
+_DAY_NAMES_BY_TEXT = sorted(DAY_NAMES)
+
+
+def _text_position(name):
+    expr = None
+    for i, n in enumerate(_DAY_NAMES_BY_TEXT):
+        expr = F.when(name == n, i) if expr is None else expr.when(name == n, i)
+    return expr
+
+
+def _name_at(position):
+    expr = None
+    for i, n in enumerate(_DAY_NAMES_BY_TEXT):
+        expr = F.when(position == i, n) if expr is None else expr.when(position == i, n)
+    return expr
 
 
 def order_line_stats(stg_order_products: DataFrame) -> DataFrame:
@@ -49,7 +68,7 @@ def customer_history(stg_orders: DataFrame, stg_order_products: DataFrame,
         F.avg(F.when(repeat, F.col("days_since_prior_order"))).alias("avg_days_between_orders"),
         F.min(F.when(repeat, F.col("days_since_prior_order"))).alias("min_days_between_orders"),
         F.max(F.when(repeat, F.col("days_since_prior_order"))).alias("max_days_between_orders"),
-        F.max(F.when(repeat, F.col("order_day_name"))).alias("most_common_order_day"),
+        F.max(F.when(repeat, _text_position(F.col("order_day_name")))).alias("max_day_position"),
         F.max(F.when(repeat, F.col("order_hour_of_day"))).alias("most_common_order_hour"),
         F.sum("total_items").alias("total_items_ordered"),
         F.count(F.when(F.col("total_items").isNotNull(), F.col("order_id"))).alias("orders_with_lines"),
@@ -62,7 +81,7 @@ def customer_history(stg_orders: DataFrame, stg_order_products: DataFrame,
         "avg_days_between_orders",
         "min_days_between_orders",
         "max_days_between_orders",
-        "most_common_order_day",
+        _name_at(F.col("max_day_position")).alias("most_common_order_day"),
         "most_common_order_hour",
         "total_items_ordered",
         safe_divide("total_items_ordered", "orders_with_lines").alias("avg_basket_size"),
