@@ -21,23 +21,26 @@ def condensed(df) -> str:
     plan = df._jdf.queryExecution().executedPlan().toString()
     out = []
     for line in plan.splitlines():
-        m = re.match(r"^([\s:+|-]*)(\w[\w ]*?)(\s|\(|\[|$)", line)
-        if not m:
+        prefix = re.match(r"^[\s:+|-]*", line).group(0)
+        rest = re.sub(r"^\*\(\d+\) ", "", line[len(prefix):])
+        m = re.match(r"[A-Za-z]+", rest)
+        if not m or m.group(0) in ("ColumnarToRow", "InputAdapter", "WholeStageCodegen"):
             continue
-        head = line[:len(m.group(1))] + m.group(2)
-        extra = ""
-        if "FileScan parquet" in line or "Scan parquet" in line:
-            pf = re.search(r"PushedFilters: \[(.*?)\]", line)
-            rs = re.search(r"ReadSchema: struct<(.*?)>", line)
-            extra = f"  filters=[{pf.group(1) if pf else ''}] read=<{rs.group(1) if rs else ''}>"
-        elif "Exchange" in m.group(2):
-            part = re.search(r"(hashpartitioning|rangepartitioning|SinglePartition|RoundRobinPartitioning)"
-                             r"(\(([^,)]*))?", line)
-            extra = f" {part.group(0)}" if part else ""
-        elif "Join" in m.group(2):
-            jt = re.search(r"(Inner|LeftOuter|LeftAnti|LeftSemi|FullOuter|RightOuter)", line)
+        name, extra = m.group(0), ""
+        if name == "FileScan":
+            pf = re.search(r"PushedFilters: \[(.*?)\]", rest)
+            rs = re.search(r"ReadSchema: struct<([^>]*)", rest)
+            extra = f" parquet filters=[{pf.group(1) if pf else ''}] read=<{rs.group(1) if rs else ''}>"
+        elif name == "Exchange":
+            part = re.search(r"(hashpartitioning\([^,]*|rangepartitioning\([^,]*|SinglePartition)", rest)
+            extra = f" {part.group(0)}" + (")" if part and "(" in part.group(0) else "") if part else ""
+        elif "Join" in name:
+            jt = re.search(r"(Inner|LeftOuter|LeftAnti|LeftSemi|FullOuter|RightOuter)", rest)
             extra = f" {jt.group(0)}" if jt else ""
-        out.append(re.sub(r"#\d+L?", "", head + extra))
+        elif name in ("HashAggregate", "ObjectHashAggregate", "SortAggregate"):
+            keys = re.search(r"keys=\[([^\]]*)\]", rest)
+            extra = f" keys=[{keys.group(1)}]" if keys else ""
+        out.append(re.sub(r"#\d+L?", "", prefix + name + extra))
     return "\n".join(out)
 
 
@@ -46,7 +49,8 @@ def main():
     scratch = tempfile.mkdtemp(prefix="bk-plans-")
     spark = get_session("local[8]", shuffle_partitions=16,
                         extra={"spark.checkpoint.dir": os.path.join(scratch, "ckpt"),
-                               "spark.sql.adaptive.enabled": "false"})
+                               "spark.sql.adaptive.enabled": "false",
+                               "spark.sql.maxMetadataStringLength": "1000"})
     m = Models.from_fixtures(spark, sf)
     load_raw(m, os.path.join(scratch, "wh"))
     print("# Physical plans\n")
