@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.scalar import (DAY_NAMES, count_if, customer_segment, loyalty_tier,
                                 order_frequency_bucket, rfm_average, round_n, safe_divide)
 from ..operators.ranking import global_ntile, sort_key
+from ..session import cut_lineage
 
 NTILE_BUCKETS = 4
 # Day names in text order: MAX over a name's position in this list equals
@@ -126,7 +127,11 @@ def rfm_scores(history: DataFrame) -> DataFrame:
 
 def customer_360(history: DataFrame) -> DataFrame:
     """RFM mart: one row per user of ``history`` (scores joined 1:1 on
-    user_id)."""
+    user_id).
+
+    The history is read twice (scores, join back); it is written once at
+    user grain, so the orders and lines behind it are aggregated once."""
+    history = cut_lineage(history, "history")
     s = history.join(rfm_scores(history), "user_id", "left")
     return s.select(
         "user_id",

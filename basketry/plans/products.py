@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.scalar import count_if, popularity_tier, reorder_tier, round_n, safe_divide
 from ..operators.joins import join_small
 from ..operators.ranking import global_rank, group_rank
+from ..session import cut_lineage
 
 
 def product_metrics(stg_order_products: DataFrame) -> DataFrame:
@@ -52,7 +53,9 @@ def product_performance(stg_order_products: DataFrame, stg_products: DataFrame)
     metrics = product_metrics(stg_order_products)
     products = stg_products.select("product_id", "product_name", "aisle_id", "aisle_name",
                                    "department_id", "department_name")
-    joined = join_small(metrics, products, "product_id", "inner")
+    # Read twice (ranks, join back): written once at product grain, so the
+    # lines behind the metrics are aggregated once.
+    joined = cut_lineage(join_small(metrics, products, "product_id", "inner"), "product_metrics")
     ranked = joined.join(product_ranks(joined), "product_id", "left")
     return ranked.select(
         "product_id", "product_name", "aisle_id", "aisle_name", "department_id", "department_name",

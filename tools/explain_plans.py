@@ -32,8 +32,9 @@ def condensed(df) -> str:
             rs = re.search(r"ReadSchema: struct<([^>]*)", rest)
             extra = f" parquet filters=[{pf.group(1) if pf else ''}] read=<{rs.group(1) if rs else ''}>"
         elif name == "Exchange":
-            part = re.search(r"(hashpartitioning\([^,]*|rangepartitioning\([^,]*|SinglePartition)", rest)
-            extra = f" {part.group(0)}" + (")" if part and "(" in part.group(0) else "") if part else ""
+            part = re.search(r"(hashpartitioning|rangepartitioning)\((.*?), \d+\)|SinglePartition", rest)
+            extra = f" {part.group(1)}({part.group(2)})" if part and part.group(1) else (
+                " SinglePartition" if part else "")
         elif "Join" in name:
             jt = re.search(r"(Inner|LeftOuter|LeftAnti|LeftSemi|FullOuter|RightOuter)", rest)
             extra = f" {jt.group(0)}" if jt else ""
