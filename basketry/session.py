@@ -67,17 +67,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     Looked up in the session conf, then the SparkContext conf, then the
     context's checkpoint directory. Only when none is set (local tests) is a
-    scratch folder created, and it is then set in the session.
+    scratch folder created, and it is then set in the session. Without a
+    reachable SparkContext (Spark Connect) only the session conf is used.
     """
-    sc = spark.sparkContext
-    current = (spark.conf.get("spark.checkpoint.dir", None)
-               or sc.getConf().get("spark.checkpoint.dir", None)
-               or sc.getCheckpointDir())
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        sc = None
+    current = spark.conf.get("spark.checkpoint.dir", None)
+    if not current and sc is not None:
+        current = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
         current = tempfile.mkdtemp(prefix="basketry-ckpt-")
     if spark.conf.get("spark.checkpoint.dir", None) != current:
         spark.conf.set("spark.checkpoint.dir", current)
-    if sc.getCheckpointDir() is None:
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(current)
     return current
 
