@@ -37,7 +37,7 @@ def models(spark: SparkSession, sf_dir: str, second_load=None) -> Models:
     session share the load step instead of re-deriving it.
     """
     from .sources.fixtures import DEFAULT_RUN_TS, raw_from_parquet
-    key = (spark.sparkContext.applicationId, sf_dir, second_load)
+    key = (spark.conf.get("spark.app.id", None) or id(spark), sf_dir, second_load)
     if key not in _GRAPHS:
         _GRAPHS[key] = Models(spark, raw_from_parquet(spark, sf_dir, DEFAULT_RUN_TS, second_load),
                               DEFAULT_RUN_TS)
