@@ -249,3 +249,30 @@ def dim_products_as_of(spark, sf_dir):
 
 
 __all__ = ["REGISTRY", "register", "models", "customer_360"]
+
+
+# --- streaming ---------------------------------------------------------------
+@register("stream_daily_load")
+def stream_daily_load(spark, sf_dir):
+    """The raw orders arrive as CSV files in two daily drops (the two-load
+    split of the order dates); after each drop the availableNow stream
+    loads what arrived into the raw table (append, or upsert on collision).
+    Returns the loaded table's data columns."""
+    import uuid
+
+    from .schemas import ORDERS
+    from .session import shared_path
+    from .sources import tables
+    from .streaming.daily_load import run_daily_load
+
+    m = two_load_models(spark, sf_dir)
+    base = shared_path(spark, "basketry-stream", uuid.uuid4().hex)
+    landing, root, ckpt = f"{base}/landing", f"{base}/warehouse", f"{base}/checkpoint"
+    cols = [f.name for f in ORDERS.fields]
+    first_ts = F.to_timestamp(F.lit(m.run_ts))
+    raw = m.raw["orders"]
+    for drop in (raw.filter(F.col("_loaded_at") == first_ts), raw.filter(F.col("_loaded_at") != first_ts)):
+        (drop.select(*cols).write.mode("append").option("header", True).option("escape", '"')
+         .csv(f"{landing}/orders.csv"))
+        run_daily_load(spark, landing, root, ckpt, ["orders"])
+    return tables.read(spark, root, "raw_orders").select(*cols)
