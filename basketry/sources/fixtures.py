@@ -24,6 +24,8 @@ customer or order never lands in a single task.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -155,12 +157,24 @@ class FixtureTables:
         self.spark, self.sf_dir, self.run_ts = spark, sf_dir, run_ts
         self.second_load = second_load
         self._cache: dict[str, DataFrame] = {}
+        self._locks: dict[str, threading.Lock] = {}
+        self._guard = threading.Lock()
 
     def _get(self, key: str, build):
-        if key not in self._cache:
-            self._cache[key] = build()
+        # One build per key even when several threads ask at once.
+        with self._guard:
+            lock = self._locks.setdefault(key, threading.Lock())
+        with lock:
+            if key not in self._cache:
+                self._cache[key] = build()
         return self._cache[key]
 
+    def prepare(self, pool) -> None:
+        """Build the two independent chains (orders → lines, and the
+        catalog) concurrently on ``pool``."""
+        for f in [pool.submit(self._lines), pool.submit(self._catalog)]:
+            f.result()
+
     def _numbered(self) -> DataFrame:
         return self._get("numbered", lambda: numbered_orders(self.spark, self.sf_dir))
 
