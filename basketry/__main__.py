@@ -17,7 +17,7 @@ import argparse
 import datetime as dt
 import sys
 
-from .operators.quality import dq_suite
+from .operators.quality import run_dq_suite
 from .plans.pipeline import Models, materialize
 from .session import get_session
 
@@ -65,7 +65,7 @@ def main(argv=None) -> int:
         for name in ("customer_360", "product_performance", "dim_dates", "dim_users", "dim_departments",
                      "dim_products", "fact_orders", "fact_order_products"):
             m.use(name, tables.read(spark, args.root, name))
-        report = dq_suite(_suite_tables(m), now=now).cache()
+        report = run_dq_suite(_suite_tables(m), now=now).cache()
         report.orderBy("table_name", "column_name", "check_name").show(200, truncate=False)
         return 1 if report.filter("status IN ('fail', 'error')").count() else 0
     if args.cmd == "report":

@@ -173,11 +173,9 @@ FRESHNESS_TABLES = ["orders", "order_products_prior", "order_products_train", "p
                     "departments"]
 
 
-def dq_suite(tables: Mapping[str, DataFrame], checks: Sequence[Check] = CHECKS, now=None) -> DataFrame:
-    """All checks over the given tables → one report row per check
-    (table_name, column_name, check_name, failures, status). With ``now``,
-    the sources' freshness rows are added (failures 0 / 1, status pass /
-    warn / error)."""
+def dq_parts(tables: Mapping[str, DataFrame], checks: Sequence[Check] = CHECKS) -> list[DataFrame]:
+    """One small report DataFrame per table (and check family): the pieces
+    of :func:`dq_suite`, each runnable on its own."""
     parts: list[DataFrame] = []
     by_table: dict[str, list[Check]] = {}
     for c in checks:
@@ -205,15 +203,48 @@ def dq_suite(tables: Mapping[str, DataFrame], checks: Sequence[Check] = CHECKS,
             elif c.kind == "range":
                 lo, hi = c.arg
                 parts.append(_tag(dq_range(df, c.column, lo, hi).agg(F.count(F.lit(1)).alias("failures")), c))
+    return parts
+
+
+def dq_suite(tables: Mapping[str, DataFrame], checks: Sequence[Check] = CHECKS, now=None) -> DataFrame:
+    """All checks over the given tables → one report row per check
+    (table_name, column_name, check_name, failures, status). With ``now``,
+    the sources' freshness rows are added (failures 0 / 1, status pass /
+    warn / error)."""
+    parts = dq_parts(tables, checks)
     report = parts[0]
     for p in parts[1:]:
         report = report.unionByName(p)
     report = report.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))
     if now is not None:
-        for t in FRESHNESS_TABLES:
-            fresh = dq_freshness(tables[t], "_loaded_at", now).select(
-                F.lit(t).alias("table_name"), F.lit("_loaded_at").alias("column_name"),
-                F.lit("freshness").alias("check_name"),
-                F.when(F.col("status") == "pass", 0).otherwise(1).cast("long").alias("failures"), "status")
-            report = report.unionByName(fresh)
+        report = report.unionByName(_freshness_rows(tables, now))
+    return report
+
+
+def _freshness_rows(tables: Mapping[str, DataFrame], now) -> DataFrame:
+    rows = None
+    for t in FRESHNESS_TABLES:
+        fresh = dq_freshness(tables[t], "_loaded_at", now).select(
+            F.lit(t).alias("table_name"), F.lit("_loaded_at").alias("column_name"),
+            F.lit("freshness").alias("check_name"),
+            F.when(F.col("status") == "pass", 0).otherwise(1).cast("long").alias("failures"), "status")
+        rows = fresh if rows is None else rows.unionByName(fresh)
+    return rows
+
+
+def run_dq_suite(tables: Mapping[str, DataFrame], checks: Sequence[Check] = CHECKS, now=None,
+                 threads: int = 4) -> DataFrame:
+    """Execute the suite with each table's checks as its own query, several
+    at a time (many small independent plans instead of one large union),
+    and return the report (one row per check) as a small DataFrame."""
+    from concurrent.futures import ThreadPoolExecutor
+    parts = dq_parts(tables, checks)
+    spark = parts[0].sparkSession
+    with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+        rows = [r for chunk in pool.map(lambda p: p.collect(), parts) for r in chunk]
+    report = spark.createDataFrame([tuple(r) for r in rows],
+                                   "table_name string, column_name string, check_name string, failures long")
+    report = report.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))
+    if now is not None:
+        report = report.unionByName(_freshness_rows(tables, now))
     return report

@@ -74,7 +74,7 @@ def main() -> None:
             return m.raw[k] if k in m.raw else getattr(m, k)
 
     t = time.time()
-    quality.dq_suite(_T()).collect()
+    quality.run_dq_suite(_T(), threads=BUILD_THREADS).collect()
     times["dq_suite"] = round(time.time() - t, 3)
     total = time.time() - t_all
     release_anchors(spark)  # the run is over: nothing reads the numbering anchors any more

@@ -58,3 +58,14 @@ def test_suite_with_freshness(spark):
             for r in Q.dq_suite(tables, [Q.Check("orders", "order_id", "not_null")], now="2024-01-02 12:00:00").collect()}
     assert rows[("orders", "not_null")] == "pass"
     assert rows[("departments", "freshness")] == "warn"
+
+
+def test_parallel_runner_equals_union_suite(spark):
+    import __spark_entry__ as E
+    from basketry.queries import _SuiteTables, models
+    tables = _SuiteTables(models(spark, "/root/testdata/sf0.001"))
+    lazy = sorted(tuple(r) for r in Q.dq_suite(tables).collect())
+    run = sorted(tuple(r) for r in Q.run_dq_suite(tables, threads=4).collect())
+    assert lazy == run and len(run) == 73
+    with_fresh = Q.run_dq_suite(tables, now="2024-01-02 12:00:00").filter("check_name = 'freshness'")
+    assert {r.status for r in with_fresh.collect()} == {"warn"}
