@@ -94,16 +94,21 @@ def raw_orders(numbered: DataFrame, run_ts: str = DEFAULT_RUN_TS,
     return _audit(out, run_ts, "orders.parquet", F.col("_loaded_at"))
 
 
-def raw_lines(spark: SparkSession, sf_dir: str, numbered: DataFrame) -> DataFrame:
-    """Deduplicated lines with cart position, reorder flag and train flag."""
+def carted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deduplicated lines with their cart position (independent of the
+    order numbering, so both can be built at the same time)."""
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
         F.col("l_orderkey").cast("long").alias("order_id"),
         F.col("l_partkey").cast("long").alias("product_id"),
         "l_linenumber",
     )
     dedup = li.groupBy("order_id", "product_id").agg(F.min("l_linenumber").alias("line_rank"))
-    carted = group_row_number(dedup, ["order_id"], [sort_key("line_rank"), sort_key("product_id")],
-                              out="add_to_cart_order")
+    return group_row_number(dedup, ["order_id"], [sort_key("line_rank"), sort_key("product_id")],
+                            out="add_to_cart_order")
+
+
+def raw_lines(carted: DataFrame, numbered: DataFrame) -> DataFrame:
+    """Lines with cart position, reorder flag and train flag."""
     owners = numbered.select(
         "order_id", "user_id", "order_date",
         (F.col("order_number") == F.col("user_orders")).alias("is_last"),
@@ -170,10 +175,11 @@ class FixtureTables:
         return self._cache[key]
 
     def prepare(self, pool) -> None:
-        """Build the two independent chains (orders → lines, and the
-        catalog) concurrently on ``pool``."""
-        for f in [pool.submit(self._lines), pool.submit(self._catalog)]:
+        """Build the independent parts (order numbering, cart numbering,
+        catalog) concurrently on ``pool``, then the lines from the first two."""
+        for f in [pool.submit(self._numbered), pool.submit(self._carted), pool.submit(self._catalog)]:
             f.result()
+        self._lines()
 
     def _numbered(self) -> DataFrame:
         return self._get("numbered", lambda: numbered_orders(self.spark, self.sf_dir))
@@ -181,8 +187,10 @@ class FixtureTables:
     def _lines(self) -> DataFrame:
         # Both line tables (prior, train) read this frame: write it once to
         # the shared checkpoint folder instead of deriving it twice.
-        return self._get("lines", lambda: cut_lineage(
-            raw_lines(self.spark, self.sf_dir, self._numbered()), "lines"))
+        return self._get("lines", lambda: cut_lineage(raw_lines(self._carted(), self._numbered()), "lines"))
+
+    def _carted(self) -> DataFrame:
+        return self._get("carted", lambda: carted_lines(self.spark, self.sf_dir))
 
     def _catalog(self):
         return self._get("catalog", lambda: raw_products(self.spark, self.sf_dir, self.run_ts))
