@@ -174,12 +174,24 @@ class Models:
         raise KeyError(name)
 
 
-def load_raw(models: Models, root: str, threads: int = BUILD_THREADS) -> dict[str, str]:
+# Raw tables at order grain: bucketed by order_id when requested.
+ORDER_GRAIN_RAW = ("orders", "order_products_prior", "order_products_train")
+
+
+def load_raw(models: Models, root: str, threads: int = BUILD_THREADS,
+             bucket_by_order: int | None = None) -> dict[str, str]:
     """The load step: write the six raw tables as tables of ``root``
-    (concurrently) and continue from the written tables."""
+    (concurrently) and continue from the written tables.
+
+    ``bucket_by_order=N`` writes the order-grain tables bucketed by
+    ``order_id`` (N buckets, catalog tables of this session): the per-order
+    aggregation of all lines then reads co-located data and needs no
+    shuffle. Other sessions read the same files without the bucketing."""
     raw = models.raw
 
     def write(table: str) -> tuple[str, str]:
+        if bucket_by_order and table in ORDER_GRAIN_RAW:
+            return table, tables.commit_bucketed(raw[table], root, f"raw_{table}", bucket_by_order, "order_id")
         return table, tables.commit(raw[table], root, f"raw_{table}")
 
     with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:

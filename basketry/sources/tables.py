@@ -129,9 +129,41 @@ def append(df: DataFrame, root: str, name: str) -> str:
     return path
 
 
+def _catalog_name(root: str, name: str, version: int) -> str:
+    import hashlib
+    tag = hashlib.md5(root.rstrip("/").encode()).hexdigest()[:10]
+    return f"{BUCKETED_DB}.{name}_{tag}_v{version:06d}"
+
+
+BUCKETED_DB = "basketry_bucketed"
+
+
+def commit_bucketed(df: DataFrame, root: str, name: str, buckets: int, key: str) -> str:
+    """Like :func:`commit`, with the version written bucketed and sorted by
+    ``key`` and registered in the session catalog, so that readers in this
+    session scan it bucketed: aggregations and joins on ``key`` need no
+    shuffle. Readers without the catalog entry read the plain files."""
+    spark = df.sparkSession
+    current = current_version(spark, root, name)
+    version = 1 if current is None else current + 1
+    path = segment_path(root, name, version)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {BUCKETED_DB}")
+    (df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", path)
+     .saveAsTable(_catalog_name(root, name, version)))
+    _mark(spark, root, name, version, [version])
+    return path
+
+
 def read(spark: SparkSession, root: str, name: str, version: int | None = None) -> DataFrame:
-    """The given or latest committed version of ``root/name``."""
-    return spark.read.parquet(*paths(spark, root, name, version))
+    """The given or latest committed version of ``root/name`` (bucketed when
+    it was committed bucketed in this session)."""
+    v = version if version is not None else current_version(spark, root, name)
+    if v is None:
+        raise FileNotFoundError(f"table {name} has no committed version under {root}")
+    segs = segments(spark, root, name, v)
+    if segs == [v] and spark.catalog.tableExists(_catalog_name(root, name, v)):
+        return spark.table(_catalog_name(root, name, v))
+    return spark.read.parquet(*[segment_path(root, name, s) for s in segs])
 
 
 def upsert_commit(updates: DataFrame, root: str, name: str, key: Sequence[str],

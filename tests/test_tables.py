@@ -32,3 +32,16 @@ def test_compaction_bounds_segments(spark, scratch, monkeypatch):
         tables.append(spark.range(i * 10, i * 10 + 10), scratch, "c")
     assert len(tables.segments(spark, scratch, "c")) <= 3
     assert tables.read(spark, scratch, "c").count() == 50
+
+
+def test_bucketed_commit_reads_without_shuffle(spark, scratch):
+    from pyspark.sql import functions as F
+    df = spark.range(0, 2000).select((F.col("id") % 97).alias("order_id"), F.col("id").alias("v"))
+    tables.commit_bucketed(df, scratch, "b", 8, "order_id")
+    t = tables.read(spark, scratch, "b")
+    agg = t.groupBy("order_id").agg(F.sum("v").alias("s"))
+    assert "Exchange" not in agg._jdf.queryExecution().executedPlan().toString()
+    assert agg.count() == 97 and t.count() == 2000
+    # without the catalog entry the files still read as a plain table
+    plain = spark.read.parquet(*tables.paths(spark, scratch, "b"))
+    assert plain.count() == 2000
