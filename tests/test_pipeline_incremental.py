@@ -51,3 +51,15 @@ def test_scd2_product_dimension_across_runs(spark, scratch):
     assert dim.filter("is_current AND product_id <= 3").select("department_id").distinct().collect()[0][0] == 1
     closed = dim.filter("NOT is_current").select("valid_to").distinct().collect()
     assert [str(r.valid_to) for r in closed] in ([], ["2024-03-01"])
+
+
+def test_bucketed_load_gives_same_models(spark, scratch):
+    from basketry.plans.pipeline import load_raw
+    plain = Models(spark, {t: raw_from_parquet(spark, SF)[t] for t in raw_from_parquet(spark, SF).keys()})
+    bucketed = Models.from_fixtures(spark, SF)
+    load_raw(bucketed, scratch, bucket_by_order=4)
+    hist = bucketed.customer_history._jdf.queryExecution().executedPlan().toString()
+    assert hist.count("Exchange hashpartitioning") == 1          # only the shuffle by user_id
+    for name in ("customer_history", "fact_orders"):
+        a, b = getattr(plain, name), getattr(bucketed, name)
+        assert a.count() == b.count() and a.exceptAll(b.select(*a.columns)).count() == 0
