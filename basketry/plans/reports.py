@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import round_n
+from ..functions.scalar import round_n, safe_divide
 from ..operators.joins import join_small
 
 # The limits and the popularity threshold of the dashboard.
@@ -108,10 +108,16 @@ def rpt_departments(fact_order_products: DataFrame, dim_products: DataFrame) ->
 
 def rpt_top_reordered(fact_order_products: DataFrame, dim_products: DataFrame,
                       limit: int = TOP_REORDERED_LIMIT) -> DataFrame:
-    joined = join_small(fact_order_products.select("product_key", "is_reordered"),
-                        _current_products(dim_products), "product_key", "inner")
+    """Top (product name, department) pairs by average reorder flag over
+    current product versions. Lines are reduced per product first (sum and
+    count of the non-NULL flags: the average is their ratio, NULL when there
+    is none), then joined to the catalog."""
+    per_product = (fact_order_products.groupBy("product_key")
+                   .agg(F.sum(F.col("is_reordered").cast("int")).alias("reordered"),
+                        F.count("is_reordered").alias("flags")))
+    joined = join_small(per_product, _current_products(dim_products), "product_key", "inner")
     return (joined.groupBy("product_name", "department_name")
-            .agg(round_n(F.avg(F.col("is_reordered").cast("int")), 3).alias("reorder_rate"))
+            .agg(round_n(safe_divide(F.sum("reordered"), F.sum("flags")), 3).alias("reorder_rate"))
             .orderBy(F.col("reorder_rate").desc(), F.col("product_name").asc(),
                      F.col("department_name").asc())
             .limit(limit))
