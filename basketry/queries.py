@@ -276,3 +276,21 @@ def stream_daily_load(spark, sf_dir):
          .csv(f"{landing}/orders.csv"))
         run_daily_load(spark, landing, root, ckpt, ["orders"])
     return tables.read(spark, root, "raw_orders").select(*cols)
+
+
+# --- batch CSV load -------------------------------------------------------------
+@register("src_load_summary")
+def src_load_summary(spark, sf_dir):
+    """The six raw tables are dropped as CSV files (the landing layout of
+    the source files) and loaded with their typed schemas and audit
+    columns; returns the load summary (one row per file plus TOTAL)."""
+    import uuid
+
+    from .session import shared_path
+    from .sources.csv_loader import load_raw_csv, write_raw_csv
+
+    m = models(spark, sf_dir)
+    base = shared_path(spark, "basketry-csv", uuid.uuid4().hex)
+    write_raw_csv(m.raw, f"{base}/landing")
+    _, summary = load_raw_csv(spark, f"{base}/landing", f"{base}/warehouse", m.run_ts)
+    return summary
