@@ -31,7 +31,8 @@ def single_partition_feeders(plan: str):
         d = _depth(line)
         for nxt in lines[i + 1:]:
             if _depth(nxt) == d + 3 and re.search(r"[+:]- ", nxt):
-                yield re.sub(r"\(.*", "", nxt[d + 6:]).split(" ")[0]
+                node = re.sub(r"^\*\(\d+\) ", "", nxt[d + 6:])  # whole-stage codegen marker
+                yield re.sub(r"\(.*", "", node).split(" ")[0]
                 break
 
 
