@@ -36,6 +36,7 @@ def main(argv=None) -> int:
     p = sub.add_parser("stream"); p.add_argument("landing"); p.add_argument("root"); p.add_argument("checkpoint")
     p = sub.add_parser("build"); p.add_argument("root"); p.add_argument("--full-refresh", action="store_true")
     p.add_argument("--scd2-products", action="store_true")
+    p.add_argument("--threads", type=int, default=4, help="models built at the same time (default 4)")
     p = sub.add_parser("test"); p.add_argument("root"); p.add_argument("--now")
     p = sub.add_parser("report"); p.add_argument("root"); p.add_argument("name")
     args = ap.parse_args(argv)
@@ -53,7 +54,7 @@ def main(argv=None) -> int:
     m = Models.from_tables(spark, args.root)
     if args.cmd == "build":
         written = materialize(m, args.root, load=False, full_refresh=args.full_refresh,
-                              scd2_products=args.scd2_products)
+                              scd2_products=args.scd2_products, threads=args.threads)
         for name, path in written.items():
             print(f"{name}\t{path}")
         return 0
