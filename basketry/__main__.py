@@ -30,6 +30,7 @@ def _suite_tables(m: Models):
 
 
 def main(argv=None) -> int:
+    """Run one command; returns the process exit code."""
     ap = argparse.ArgumentParser(prog="basketry")
     sub = ap.add_subparsers(dest="cmd", required=True)
     p = sub.add_parser("load"); p.add_argument("data_dir"); p.add_argument("root")

@@ -41,6 +41,7 @@ def dow0(d) -> Column:
 
 
 def season(month) -> Column:
+    """Meteorological season of a month number (NULL outside 1..12)."""
     expr = None
     for name, months in SEASONS:
         cond = month.isin(*months)

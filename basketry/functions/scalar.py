@@ -80,6 +80,7 @@ def day_name(dow) -> Column:
 
 
 def time_of_day(hour) -> Column:
+    """Morning 5-11, Afternoon 12-16, Evening 17-20, else (and NULL) Night."""
     hour = _c(hour)
     expr = None
     for name, lo, hi in TIME_OF_DAY:
@@ -102,6 +103,7 @@ def _threshold_chain(x: Column, table, default: str, op: str) -> Column:
 
 
 def cart_position_bucket(pos) -> Column:
+    """<= 5 staples, <= 15 regular, else (and NULL) 16+ browse."""
     return _threshold_chain(_c(pos), CART_POSITION_BUCKETS, CART_POSITION_DEFAULT, "le")
 
 
@@ -111,14 +113,17 @@ def order_frequency_bucket(avg_days) -> Column:
 
 
 def loyalty_tier(rate) -> Column:
+    """On the unrounded reorder rate: >= 0.7 High, >= 0.4 Medium, else/NULL Low."""
     return _threshold_chain(_c(rate), LOYALTY_TIERS, LOYALTY_DEFAULT, "ge")
 
 
 def reorder_tier(rate) -> Column:
+    """On the unrounded reorder rate: >= 0.7 High, >= 0.4 Medium, else/NULL Low."""
     return _threshold_chain(_c(rate), REORDER_TIERS, REORDER_DEFAULT, "ge")
 
 
 def popularity_tier(rank) -> Column:
+    """Top 100 / Top 500 / Top 1000 / Long Tail by overall popularity rank."""
     return _threshold_chain(_c(rank), POPULARITY_TIERS, POPULARITY_DEFAULT, "le")
 
 

@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Check:
+    """One declared check: table, column, kind and its argument (values,
+    parent table/column or bounds)."""
     table: str
     column: str
     kind: str  # not_null | unique | accepted_values | relationships | range
@@ -91,10 +93,12 @@ SUITE_SCHEMA = "table_name string, column_name string, check_name string, failur
 
 # --- single checks ---------------------------------------------------------
 def not_null_failures(col: str):
+    """Aggregate: rows where ``col`` is NULL."""
     return F.count_if(F.col(col).isNull())
 
 
 def accepted_failures(col: str, values):
+    """Aggregate: distinct non-NULL values of ``col`` outside ``values``."""
     c = F.col(col)
     return F.count_distinct(F.when(~c.isin(*values), c))
 
@@ -112,6 +116,7 @@ def dq_unique(df: DataFrame, col: str) -> DataFrame:
 
 
 def dq_accepted(df: DataFrame, col: str, values) -> DataFrame:
+    """Distinct non-NULL values outside the accepted list (one row)."""
     return df.agg(accepted_failures(col, values).alias("failures"))
 
 

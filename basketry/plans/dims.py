@@ -21,6 +21,8 @@ def _ts(run_ts) -> F.Column:
 
 
 def date_columns(spine: DataFrame) -> DataFrame:
+    """Date-dimension attributes of each ``date_day`` (unpadded names, ISO
+    week, day of week with 0 = Sunday)."""
     d = F.col("date_day")
     dow = dow0(d)
     return spine.select(
@@ -60,6 +62,7 @@ def dim_dates_for(dates: DataFrame, date_col: str) -> DataFrame:
 
 
 def dim_users(customer_360: DataFrame, run_ts=DEFAULT_RUN_TS) -> DataFrame:
+    """User dimension (SCD1): md5 key, mart attributes, rounded measures."""
     return customer_360.select(
         surrogate_key("user_id").alias("user_key"),
         "user_id",
@@ -82,6 +85,7 @@ def dim_users(customer_360: DataFrame, run_ts=DEFAULT_RUN_TS) -> DataFrame:
 
 
 def dim_departments(stg_departments: DataFrame, run_ts=DEFAULT_RUN_TS) -> DataFrame:
+    """Department dimension (SCD1) with md5 key and load times."""
     return stg_departments.select(
         surrogate_key("department_id").alias("department_key"),
         "department_id",

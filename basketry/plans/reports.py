@@ -39,18 +39,22 @@ def _by_customer_attribute(customer_360: DataFrame, col: str) -> DataFrame:
 
 
 def rpt_segments(customer_360: DataFrame) -> DataFrame:
+    """Customers and average reorder % (1 dp) per RFM segment, largest first."""
     return _by_customer_attribute(customer_360, "customer_segment")
 
 
 def rpt_loyalty(customer_360: DataFrame) -> DataFrame:
+    """Customers and average reorder % (1 dp) per loyalty tier, largest first."""
     return _by_customer_attribute(customer_360, "loyalty_tier")
 
 
 def rpt_frequency(customer_360: DataFrame) -> DataFrame:
+    """Customers and average reorder % (1 dp) per order-frequency bucket."""
     return _by_customer_attribute(customer_360, "order_frequency_bucket")
 
 
 def rpt_segment_rate(customer_360: DataFrame) -> DataFrame:
+    """Customers and average reorder rate (3 dp) per RFM segment."""
     return (customer_360.groupBy("customer_segment")
             .agg(F.count(F.lit(1)).alias("customers"),
                  round_n(F.avg("reorder_rate"), 3).alias("avg_reorder_rate"))
@@ -71,6 +75,7 @@ def rpt_top_products(product_performance: DataFrame, min_times: int = TOP_PRODUC
 
 
 def rpt_hourly(fact_orders: DataFrame) -> DataFrame:
+    """Orders per hour of day with an "H:00" label, by hour."""
     return (fact_orders.groupBy("order_hour_of_day")
             .agg(F.count(F.lit(1)).alias("order_count"))
             .select(F.col("order_hour_of_day").alias("hour"), "order_count",
@@ -80,6 +85,7 @@ def rpt_hourly(fact_orders: DataFrame) -> DataFrame:
 
 
 def rpt_daily(fact_orders: DataFrame) -> DataFrame:
+    """Orders per day of week (name and number), by day number."""
     return (fact_orders.groupBy("order_day_name", "order_day_of_week")
             .agg(F.count(F.lit(1)).alias("order_count"))
             .select(F.col("order_day_name").alias("day"), F.col("order_day_of_week").alias("day_num"),
@@ -124,6 +130,7 @@ def rpt_top_reordered(fact_order_products: DataFrame, dim_products: DataFrame,
 
 
 def rpt_peak_times(fact_orders: DataFrame, limit: int = PEAK_TIMES_LIMIT) -> DataFrame:
+    """Busiest (day, hour) pairs: top-k by order count, ties by day and hour."""
     return (fact_orders.groupBy("order_day_name", "order_hour_of_day")
             .agg(F.count(F.lit(1)).alias("order_count"))
             .orderBy(F.col("order_count").desc(), F.col("order_day_name").asc(),

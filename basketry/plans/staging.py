@@ -54,11 +54,13 @@ def stg_order_products(prior: DataFrame, train: DataFrame) -> DataFrame:
 
 
 def stg_aisles(raw_aisles: DataFrame) -> DataFrame:
+    """(aisle_id, aisle_name)."""
     return raw_aisles.select(F.col("aisle_id").cast("long").alias("aisle_id"),
                              F.col("aisle").alias("aisle_name"))
 
 
 def stg_departments(raw_departments: DataFrame) -> DataFrame:
+    """(department_id, department_name)."""
     return raw_departments.select(F.col("department_id").cast("long").alias("department_id"),
                                   F.col("department").alias("department_name"))
 

@@ -20,6 +20,7 @@ REGISTRY: dict[str, QueryFn] = {}
 
 
 def register(name: str):
+    """Decorator adding a query function to :data:`REGISTRY`."""
     def deco(fn: QueryFn) -> QueryFn:
         REGISTRY[name] = fn
         return fn
@@ -186,6 +187,7 @@ PRODUCT_TRACKED = ["product_name", "aisle_id", "aisle_name", "department_id", "d
 
 
 def two_load_models(spark: SparkSession, sf_dir: str) -> Models:
+    """The model graph over the two-load history of the fixture data."""
     return models(spark, sf_dir, SECOND_LOAD)
 
 

@@ -59,4 +59,5 @@ RAW_TABLES = list(RAW_FILES)
 
 
 def with_audit(schema: T.StructType) -> T.StructType:
+    """A raw schema followed by the audit columns."""
     return T.StructType(list(schema.fields) + AUDIT_FIELDS)

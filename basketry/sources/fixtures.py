@@ -80,6 +80,7 @@ def numbered_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_orders(numbered: DataFrame, run_ts: str = DEFAULT_RUN_TS,
                second_load: tuple[str, str] | None = None) -> DataFrame:
+    """The raw orders table with audit columns."""
     out = numbered.select(
         "order_id",
         "user_id",
@@ -127,6 +128,7 @@ def raw_lines(carted: DataFrame, numbered: DataFrame) -> DataFrame:
 
 
 def raw_products(spark: SparkSession, sf_dir: str, run_ts: str = DEFAULT_RUN_TS):
+    """(products, aisles, departments) raw tables from the part table."""
     part = spark.read.parquet(f"{sf_dir}/part.parquet").select(
         F.col("p_partkey").cast("long").alias("product_id"),
         F.col("p_name").alias("product_name"),

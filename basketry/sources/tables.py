@@ -48,6 +48,7 @@ def _base(root: str, name: str) -> str:
 
 
 def segment_path(root: str, name: str, segment: int) -> str:
+    """Folder of one segment of ``root/name``."""
     return f"{_base(root, name)}/data/seg={segment:06d}"
 
 
@@ -66,6 +67,7 @@ def current_version(spark: SparkSession, root: str, name: str) -> int | None:
 
 
 def exists(spark: SparkSession, root: str, name: str) -> bool:
+    """True when ``root/name`` has a committed version."""
     return current_version(spark, root, name) is not None
 
 
@@ -84,6 +86,7 @@ def segments(spark: SparkSession, root: str, name: str, version: int | None = No
 
 
 def paths(spark: SparkSession, root: str, name: str, version: int | None = None) -> list[str]:
+    """Segment folders of a version (default: the current one)."""
     return [segment_path(root, name, s) for s in segments(spark, root, name, version)]
 
 
