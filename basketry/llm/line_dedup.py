@@ -38,21 +38,22 @@ _FIELD = r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*"
 
 
 def masked(line: Column) -> Column:
-    """The line with single blanks and ``<*>`` for tokens that hold a digit."""
-    flat = F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " "))
-    return F.when(flat.rlike("[0-9]"), F.regexp_replace(flat, _FIELD, "<*>")).otherwise(flat)
+    """The line with single blanks and ``<*>`` for tokens that hold a digit.
+    Most lines need neither change; the guards spare them the rewriting."""
+    flat = F.when(line.rlike(r"[\x09-\x0D]|  |^ | $"), F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " "))).otherwise(line)
+    return F.when(line.rlike("[0-9]"), F.regexp_replace(flat, _FIELD, "<*>")).otherwise(flat)
 
 
 def _digest(c: Column) -> Column:
     return F.unhex(F.md5(c))
 
 
-def _lines(docs: DataFrame, min_tokens: int) -> DataFrame:
-    m = (docs.select("__d", F.explode(F.split("__t", "\n")).alias("__l"))
-         .select("__d", masked(F.col("__l")).alias("__m")))
+def _lines(src: DataFrame, min_tokens: int) -> DataFrame:
+    """Rows (``__d``, position ``__p``, masked line ``__m``, tokens ``__n``);
+    masking inside the generated array runs once for each line."""
+    m = src.select("__d", F.posexplode(F.transform(F.split("__t", "\n"), masked)).alias("__p", "__m"))
     n = F.length("__m") - F.length(F.replace(F.col("__m"), F.lit(" "), F.lit(""))) + 1
-    return m.select("__d", "__m", n.alias("__n")).where(
-        (F.col("__m") != "") & (F.col("__n") >= min_tokens))
+    return m.select("__d", "__p", "__m", n.alias("__n")).where(F.col("__n") >= min_tokens)
 
 
 def _leaf(depth: int) -> Column:
@@ -67,36 +68,44 @@ def line_templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if not 0 < depth < min_tokens:
         raise ValueError("min_tokens must exceed depth, depth must be positive")
     src = docs.select(F.col(id_col).alias("__d"), F.col(text_col).alias("__t"))
-    lines = _lines(src, min_tokens)
     occ = cut_lineage(
-        lines.select("__d", _digest(_leaf(depth)).alias("__leaf"), _digest(F.col("__m")).alias("__k"))
-        .distinct(), "op1-lines")
-    per_line = occ.groupBy("__leaf", "__k").agg(F.count(F.lit(1)).alias("__docs"))
+        _lines(src, min_tokens)
+        .select("__d", "__p", _digest(_leaf(depth)).alias("__leaf"), _digest(F.col("__m")).alias("__k"))
+        .groupBy("__d", "__leaf", "__k").agg(F.min("__p").alias("__p")), "op1-lines")
+    # where: one place to read a line's text from again
+    per_line = cut_lineage(occ.groupBy("__leaf", "__k").agg(
+        F.count(F.lit(1)).alias("__docs"), F.min(F.struct("__d", "__p")).alias("__where")), "op1-distinct")
     # leaves with several lines and enough documents to recur
-    contested = cut_lineage(
-        per_line.groupBy("__leaf").agg(F.sum("__docs").alias("__sum"), F.count(F.lit(1)).alias("__lines"))
-        .where((F.col("__lines") > 1) & (F.col("__sum") >= min_docs)).select("__leaf", "__sum"), "op1-leaves")
+    contested = (per_line.groupBy("__leaf").agg(F.sum("__docs").alias("__sum"), F.count(F.lit(1)).alias("__lines"))
+                 .where((F.col("__lines") > 1) & (F.col("__sum") >= min_docs)).select("__leaf", "__sum"))
+    asked = cut_lineage(per_line.join(contested, "__leaf").select(
+        "__leaf", "__sum", "__k", "__docs", F.col("__where.__d").alias("__id"), F.col("__where.__p").alias("__p")), "op1-asked")
+    places = cut_lineage(asked.groupBy("__id").agg(F.concat_ws(",", F.collect_set("__p")).alias("__ps")), "op1-places")
+    there = join_small(src, places, src["__d"].eqNullSafe(places["__id"]), "inner", BROADCAST_BYTES)
+    wanted = F.transform(F.split("__ps", ","), lambda p: F.get(F.split("__t", "\n"), p.cast("int")))
+    lines = (there.select(F.explode(wanted).alias("__l")).where(F.col("__l").isNotNull())
+             .select(masked(F.col("__l")).alias("__m")).distinct()
+             .select(_digest(F.col("__m")).alias("__k"), F.split("__m", " ").alias("__ws")))
     words = cut_lineage(
-        join_small(lines.select("__m", _digest(_leaf(depth)).alias("__leaf")), contested.select("__leaf"),
-                   "__leaf", "left_semi", BROADCAST_BYTES)
-        .distinct().withColumn("__k", _digest(F.col("__m")))
-        .join(per_line, ["__leaf", "__k"])
-        .select("__leaf", "__k", "__docs", F.posexplode(F.split("__m", " ")).alias("__p", "__w"))
+        lines.join(asked.select("__leaf", "__sum", "__k", "__docs"), "__k")
+        .select("__leaf", "__sum", "__k", "__docs", F.posexplode("__ws").alias("__p", "__w"))
         .where(F.col("__p") >= depth), "op1-words")
     # a token that more than half of the leaf's lines (weighted by documents) have at a position
-    votes = (words.groupBy("__leaf", "__p", "__w").agg(F.sum("__docs").alias("__v"))
-             .join(contested, "__leaf").where(F.col("__v") * 2 > F.col("__sum"))
+    votes = (words.groupBy("__leaf", "__p", "__w").agg(F.sum("__docs").alias("__v"), F.first("__sum").alias("__sum"))
+             .where(F.col("__v") * 2 > F.col("__sum"))
              .select("__leaf", "__p", "__w", F.lit(1).alias("__hit")))
     member = (words.join(votes, ["__leaf", "__p", "__w"], "left")
               .groupBy("__leaf", "__k").agg(F.avg(F.coalesce("__hit", F.lit(0))).alias("__sim"))
               .where(F.col("__sim") >= similarity).select("__k", F.col("__leaf").alias("__tpl")))
     # a leaf digest and a line digest never meet: the leaf's text starts with a count
-    tagged = (occ.select("__d", "__k").join(cut_lineage(member, "op1-member"), "__k", "left")
+    member = cut_lineage(member, "op1-member")
+    tagged = (join_small(occ.select("__d", "__k"), member, "__k", "left", BROADCAST_BYTES)
               .withColumn("__tpl", F.coalesce("__tpl", "__k")))
-    recurring = (tagged.select("__d", "__tpl").distinct()
-                 .groupBy("__tpl").agg(F.count(F.lit(1)).alias("__docs"), F.min("__d").alias("__first"))
-                 .where(F.col("__docs") >= min_docs).select("__tpl", "__first"))
-    return (tagged.join(recurring, "__tpl")
+    recurring = cut_lineage(
+        tagged.select("__d", "__tpl").distinct()
+        .groupBy("__tpl").agg(F.count(F.lit(1)).alias("__docs"), F.min("__d").alias("__first"))
+        .where(F.col("__docs") >= min_docs).select("__tpl", "__first"), "op1-recurring")
+    return (join_small(tagged, recurring, "__tpl", "inner", BROADCAST_BYTES)
             .where(F.col("__d").isNull() | (F.col("__d") != F.col("__first")))
             .select("__d", "__k"))
 
@@ -110,7 +119,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .withColumnRenamed("__d", "__id"), "op1-drops")
     mark = docs.drop("n_lines", "n_dropped").withColumn("__id", F.col(id_col))
     on = mark["__id"].eqNullSafe(lists["__id"])
-    got = join_small(mark, lists, on, "left", BROADCAST_BYTES).drop("__id")
+    # texts meet their lists by a shuffle at every size: the lists grow with the documents
+    got = mark.join(lists.hint("shuffle_hash"), on, "left").drop("__id")
     size = 32  # hex digits of a digest
     cut = F.filter(F.split(text_col, "\n"), lambda x: ~F.array_contains(
         F.col("__list"), F.upper(F.md5(masked(x)))))

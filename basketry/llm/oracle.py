@@ -132,4 +132,17 @@ LEFT JOIN b_count AS c ON c.doc_id IS NOT DISTINCT FROM d.doc_id AND c.text = d.
 LEFT JOIN b_list AS l ON l.doc_id IS NOT DISTINCT FROM d.doc_id AND l.text = d.text"""
 
 
-ORACLE = {"op1_line_dedup": OP1, "op3_mixing": OP3, "op4_decontamination": OP4}
+OP10 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i]))::BIGINT AS score
+  FROM v AS q JOIN v AS c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(c.e) = len(q.e))
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+FROM s QUALIFY rank <= 5"""
+
+
+ORACLE = {"op1_line_dedup": OP1, "op3_mixing": OP3, "op4_decontamination": OP4, "op10_top_k": OP10}

@@ -6,10 +6,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import lang_id, lm_score, quality
 from .common import read
 from .decontam import decontaminate
 from .line_dedup import line_dedup
 from .mixing import mix
+from .near_dup import near_duplicates
+from .secrets import new_ledger, secret_scan
+from .suffix_dedup import dedup_substrings
+from .topk import top_k
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +22,11 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op2_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_duplicates(docs).select("doc_id", "class_id", "n_links")
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -29,4 +39,46 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
 
 
-REGISTRY = {f.__name__: f for f in (op1_line_dedup, op3_mixing, op4_decontamination)}
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    got = secret_scan(docs, new_ledger(spark))
+    return got.select("doc_id", "n_assign", "n_access", "n_hex",
+                      F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = lang_id.fit(docs, "doc_id", "text", "lang", ~F.coalesce(held_out, F.lit(False)))
+    got = lang_id.identify(docs.select("doc_id", "text"), model)
+    return got.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_substrings(docs).drop("kept")
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, read(spark, sf_dir, "labels"))
+    return quality.rate(docs, model).drop("text")
+
+
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = lm_score.fit(docs, "text", held)
+    if model is None:
+        return docs.select("doc_id", F.lit(False).alias("held_out"), *[F.lit(0).cast("long").alias(c) for c in ("n_tokens", "n_known", "train_tokens")],
+                           F.lit(0.0).alias("base_score"), F.lit(0.0).alias("score"))
+    return lm_score.score(docs, model, "doc_id", "text", held).drop("perplexity")
+
+
+def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(read(spark, sf_dir, "embeddings"), F.col("__i") % 50 == 0)
+
+
+REGISTRY = {f.__name__: f for f in (
+    op1_line_dedup, op2_minhash_near_dup, op3_mixing, op4_decontamination, op5_secret_scan,
+    op6_language_id, op7_suffix_dedup, op8_quality, op9_lm_score, op10_top_k)}

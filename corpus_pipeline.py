@@ -1,4 +1,65 @@
+"""Corpus pipeline: rate, clear recurring lines, drop near copies, drop
+benchmark leaks, mix sources. Each stage is written as Parquet to the shared
+folder and read again as the next one's documents.
+
+Stages take ``(spark, docs, sf_dir)``; all but the last return the columns of
+``docs`` (any extra columns pass through; ``n_chars``, where present, follows a
+changed text).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from basketry.llm import quality as rating
+from basketry.llm.common import read
+from basketry.llm.decontam import decontaminate
+from basketry.llm.line_dedup import line_dedup
+from basketry.llm.mixing import mix
+from basketry.llm.near_dup import keep_first
+from basketry.session import cut_lineage
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents the ordinal classifier keeps (P(not toxic) and P(good) at least 0.5)."""
+    model = rating.fit(docs, read(spark, sf_dir, "labels"))
+    return rating.rate(docs, model).where("keep").select(docs.columns)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Recurring lines go from all documents but the first; no document goes."""
+    got = line_dedup(docs)
+    if "n_chars" in docs.columns:
+        got = got.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+    return got.select(docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class stays."""
+    return keep_first(docs).select(docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a benchmark passage go."""
+    return decontaminate(docs, read(spark, sf_dir, "benchmark")).where(~F.col("contaminated")).select(docs.columns)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the mix takes, with the words taken of each."""
+    return mix(docs).where(F.col("taken") > 0).select("doc_id", "source", "size", "source_size", "target", "taken")
+
+
+STAGES = [("quality", quality), ("lines", lines), ("near_duplicates", near_duplicates),
+          ("decontamination", decontamination), ("mixing", mixing)]
+
+# A trained classifier and sampled hashes have no SQL form; tests/llm holds the
+# stages against brute force and the operators' SQL.
 ORACLE_SQL = None
-STAGES = []
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = cut_lineage(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return docs
