@@ -8,9 +8,12 @@
    in text order, give one bucket key. Texts of similarity s share a key with
    probability about s ** ORDER per function: at 0.8 one pair in 300,000 is missed.
 3. *Links.* In each bucket every node is compared with the bucket's centre (the
-   node that shares most keys), not with every other node. Nodes that fail
-   against all centres so far stay in play, and each round doubles the number
-   of centres of what is left, so no bucket is cut off.
+   node that shares most keys), not with every other node. Then the classes
+   found so far are joined up; a bucket whose nodes are all in one class is
+   done; in the others nodes linked to a centre leave, and each round doubles
+   the number of centres and compares nodes of different classes only, so no
+   bucket is cut off. Nodes of which more than 1 - THRESHOLD of the k-mers occur
+   nowhere else cannot be linked and are left out before.
 4. *Banded alignment.* A pair's labelled k-mers are matched inside a diagonal
    band whose width follows from the lengths and the threshold; the longest
    increasing chain L of matches gives the similarity L / (m + n - L), an order-aware
@@ -26,7 +29,6 @@ ids only has a null class id; extra columns pass through.
 from __future__ import annotations
 
 from bisect import bisect_left
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -177,6 +179,8 @@ def _verify(threshold: float):
 
 def components(links: DataFrame) -> DataFrame:
     """Rows (``__c``, ``__l``): the smallest node of each linked node's component."""
+    if links.isEmpty():
+        return links.select(F.col("__a").alias("__c"), F.col("__b").alias("__l"))
     edges = cut_lineage(links.select("__a", "__b").union(links.select("__b", "__a")).distinct(), "op2-edges")
     labels = cut_lineage(edges.groupBy("__a").agg(F.min("__b").alias("__m"))
                          .select(F.col("__a").alias("__c"), F.least("__a", "__m").alias("__l")), "op2-labels")
@@ -206,44 +210,56 @@ def _links(nodes: DataFrame, texts: DataFrame, threshold: float) -> DataFrame |
     found = texts.join(asked.select("__id").distinct().hint("shuffle_hash"), texts["__d"].eqNullSafe(F.col("__id"))).select("__t")
     grams = found.mapInArrow(_kmer_batches, "__c binary, __g array<bigint>")
     grams = cut_lineage(grams.join(asked.select("__c").hint("shuffle_hash"), "__c", "left_semi").dropDuplicates(["__c"]), "op2-grams")
-    links, tested, centres = [], None, 1
+    # a node links only if threshold of its k-mers occur in some other node at all
+    kmers = grams.select("__c", F.size("__g").alias("__m"), F.explode("__g").alias("__g"))
+    often = kmers.groupBy("__g").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1).select("__g")
+    able = (kmers.join(often, "__g").groupBy("__c").agg(F.count(F.lit(1)).alias("__n"), F.first("__m").alias("__m"))
+            .where(F.col("__n") >= threshold * F.col("__m")).select("__c"))
+    members = members.join(able, "__c")
+    many = members.groupBy("__k").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1).select("__k")
+    members = cut_lineage(members.join(many, "__k", "left_semi"), "op2-able")
+    if members.isEmpty():
+        return None
+    links, tested, centres = None, None, 1
     while True:
         if centres == 1:
             top = members.groupBy("__k").agg(F.max(F.struct("__s", "__c")).alias("__top"))
-            chosen = top.select("__k", F.col("__top.__c").alias("__b"))
+            chosen = top.select("__k", F.col("__top.__c").alias("__b"), F.col("__top.__c").alias("__lb"))
+            members = members.withColumn("__l", F.col("__c"))
         else:
             w = Window.partitionBy("__k").orderBy(F.col("__s").desc(), F.col("__c").desc())
             chosen = (members.withColumn("__i", F.row_number().over(w)).where(F.col("__i") <= centres)
-                      .select("__k", F.col("__c").alias("__b")))
-        chosen = cut_lineage(chosen, "op2-centres")
-        met = cut_lineage(members.join(chosen, "__k"), "op2-met")
-        pairs = (met.where(F.col("__c") != F.col("__b"))
+                      .select("__k", F.col("__c").alias("__b"), F.col("__l").alias("__lb")))
+        met = cut_lineage(members.join(cut_lineage(chosen, "op2-centres"), "__k"), "op2-met")
+        # texts that are in one class already need no comparison
+        pairs = (met.where(F.col("__l") != F.col("__lb"))
                  .select(F.least("__c", "__b").alias("__a"), F.greatest("__c", "__b").alias("__b")).distinct())
         if tested is not None:
             pairs = pairs.join(tested, ["__a", "__b"], "left_anti")
         ga, gb = grams.select(F.col("__c").alias("__a"), F.col("__g").alias("__ga")), grams.select(F.col("__c").alias("__b"), F.col("__g").alias("__gb"))
         done = cut_lineage(pairs.join(ga, "__a").join(gb, "__b").mapInArrow(
             _verify(threshold), "__a binary, __b binary, __ok boolean"), "op2-verified")
-        links.append(done.where("__ok").select("__a", "__b"))
+        found = done.where("__ok").select("__a", "__b")
+        links = found if links is None else cut_lineage(links.unionByName(found), "op2-links")
         tested = done if tested is None else cut_lineage(tested.unionByName(done), "op2-tested")
-        # who is linked to a centre of the bucket, or is one, has left it
-        key = met.select("__k", "__c", (F.col("__c") == F.col("__b")).alias("__self"),
-                         F.least("__c", "__b").alias("__a"), F.greatest("__c", "__b").alias("__b"))
-        out = (key.join(tested.where("__ok"), ["__a", "__b"], "left")
-               .where(F.col("__self") | F.col("__ok")).select("__k", "__c").distinct())
-        left = members.join(out, ["__k", "__c"], "left_anti")
-        many = left.groupBy("__k").agg(F.count(F.lit(1)).alias("__m")).where(F.col("__m") > 1)
+        # centres and nodes linked to one leave the bucket; of the rest, buckets of one class are done
+        seen = met.select("__k", "__c", "__b", F.least("__c", "__b").alias("__a1"), F.greatest("__c", "__b").alias("__b1"))
+        tied = done.where("__ok").select(F.col("__a").alias("__a1"), F.col("__b").alias("__b1"), F.lit(True).alias("__tie"))
+        out = (seen.join(tied, ["__a1", "__b1"], "left").where(F.col("__tie") | (F.col("__c") == F.col("__b")))
+               .select("__k", "__c").distinct())
+        left = (members.drop("__l").join(out, ["__k", "__c"], "left_anti")
+                .join(components(links), "__c", "left").withColumn("__l", F.coalesce("__l", "__c")))
+        many = left.groupBy("__k").agg(F.min("__l").alias("__m"), F.max("__l").alias("__n")).where(F.col("__m") != F.col("__n"))
         members = cut_lineage(left.join(many.select("__k"), "__k", "left_semi"), "op2-left")
         if members.isEmpty():
-            break
+            return links
         centres *= 2
-    return reduce(DataFrame.unionByName, links)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
                     threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with ``class_id`` (smallest id of the class), ``n_links``
-    (verified links of the row's text to different texts) and ``text_key``
+    (links verified on the way from the row's text to different texts) and ``text_key``
     (digest of the word sequence, null without words)."""
     texts = docs.select(F.col(id_col).alias("__d"), F.col(text_col).alias("__t"))
     kind = texts.schema["__d"].dataType
