@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from . import textkit as tk
 
-FIT_ROWS, FIT_ENTRIES, DIMS, ROUNDS, MIN_ROWS = 14_000, 6_000_000, 1 << 18, 120, 10
+FIT_ROWS, FIT_ENTRIES, DIMS, ROUNDS, MIN_ROWS = 9_000, 4_000_000, 1 << 18, 120, 10
 GRADES = 3
 _U = np.uint64
 _EXTRA = 8
@@ -89,8 +89,6 @@ def _sigmoid(x):
 def fit_ordinal(row: np.ndarray, place: np.ndarray, value: np.ndarray, grade: np.ndarray, *,
                 rounds: int = ROUNDS, rate: float = 0.05, ridge: float = 3e-3) -> tuple[np.ndarray, np.ndarray]:
     """Weights and ordered cuts of the cumulative-link model."""
-    order = np.argsort(place, kind="stable")
-    row, place, value = row[order], place[order], value[order]
     used, column = np.unique(place, return_inverse=True)
     column = column.astype(np.int32)
     n = len(grade)
@@ -170,11 +168,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     value = table.column("__v").chunk(0).flatten().to_numpy()[:len(h)]
     extra = table.column("__x").chunk(0).flatten().to_numpy()[:n * _EXTRA].reshape(n, _EXTRA)
     grade = table.column("__grade").to_numpy()[:n].astype(np.int64)
+    del table, lists
     # words of a few rows only teach the rows themselves
     _, back, seen = np.unique(h, return_inverse=True, return_counts=True)
     common = seen[back] >= MIN_ROWS
-    row = np.repeat(np.arange(n, dtype=np.int32), size[:n])
-    weights, cuts = fit_ordinal(*design(row[common], h[common], value[common], extra), grade)
+    row = np.repeat(np.arange(n, dtype=np.int32), size[:n])[common]
+    h, value = h[common], value[common]
+    del back, seen, common
+    weights, cuts = fit_ordinal(*design(row, h, value, extra), grade)
     return {"weights": weights, "cuts": cuts}
 
 
