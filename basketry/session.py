@@ -79,6 +79,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not current and sc is not None:
         current = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         current = tempfile.mkdtemp(prefix="basketry-ckpt-")
     if spark.conf.get("spark.checkpoint.dir", None) != current:
         spark.conf.set("spark.checkpoint.dir", current)
