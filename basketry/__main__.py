@@ -38,6 +38,7 @@ def main(argv=None) -> int:
     p = sub.add_parser("build"); p.add_argument("root"); p.add_argument("--full-refresh", action="store_true")
     p.add_argument("--scd2-products", action="store_true")
     p.add_argument("--threads", type=int, default=4, help="models built at the same time (default 4)")
+    p.add_argument("--run-ts", help="time stamped on the models, 'YYYY-MM-DD HH:MM:SS' in UTC (default: now)")
     p = sub.add_parser("test"); p.add_argument("root"); p.add_argument("--now")
     p = sub.add_parser("report"); p.add_argument("root"); p.add_argument("name")
     args = ap.parse_args(argv)
@@ -52,7 +53,8 @@ def main(argv=None) -> int:
         from .streaming.daily_load import run_daily_load
         run_daily_load(spark, args.landing, args.root, args.checkpoint)
         return 0
-    m = Models.from_tables(spark, args.root)
+    run_ts = getattr(args, "run_ts", None) or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+    m = Models.from_tables(spark, args.root, run_ts)
     if args.cmd == "build":
         written = materialize(m, args.root, load=False, full_refresh=args.full_refresh,
                               scd2_products=args.scd2_products, threads=args.threads)
