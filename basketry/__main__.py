@@ -17,9 +17,11 @@ import argparse
 import datetime as dt
 import sys
 
+from pyspark.sql import SparkSession
+
 from .operators.quality import run_dq_suite
 from .plans.pipeline import Models, materialize
-from .session import get_session
+from .session import get_session, release_anchors
 
 
 def _suite_tables(m: Models):
@@ -30,7 +32,17 @@ def _suite_tables(m: Models):
 
 
 def main(argv=None) -> int:
-    """Run one command; returns the process exit code."""
+    """Run one command; returns the process exit code. Intermediate tables that
+    the command wrote are removed at its end."""
+    try:
+        return _run(argv)
+    finally:
+        spark = SparkSession.getActiveSession()
+        if spark is not None:
+            release_anchors(spark)
+
+
+def _run(argv=None) -> int:
     ap = argparse.ArgumentParser(prog="basketry")
     sub = ap.add_subparsers(dest="cmd", required=True)
     p = sub.add_parser("load"); p.add_argument("data_dir"); p.add_argument("root")

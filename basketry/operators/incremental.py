@@ -68,6 +68,9 @@ def scd2_merge(dim: DataFrame, snapshot: DataFrame, key: str, tracked: Sequence[
     * a changed row is closed (``valid_to`` = effective date, not current)
       and a new current version opens at the effective date with key
       md5(key-effective_date);
+    * a row changed again on the date its current version opened is replaced
+      in place (same key, no empty version); a change effective before that
+      date is an error;
     * keys new in the snapshot open a first version;
     * current rows missing from the snapshot stay current;
     * closed history rows pass through.
@@ -92,20 +95,24 @@ def scd2_merge(dim: DataFrame, snapshot: DataFrame, key: str, tracked: Sequence[
     for c in tracked:
         same = same & F.col(f"c_{c}").eqNullSafe(F.col(f"s_{c}"))
     both = F.col("c_present").isNotNull() & F.col("s_present").isNotNull()
+    late = F.raise_error(F.concat(F.lit("change effective before the current version of "), F.col(key).cast("string")))
     actions = (F.when(both & same, F.array(F.lit("keep")))
+               .when(both & (F.col("c_from") > eff), late.cast("array<string>"))
+               .when(both & (F.col("c_from") == eff), F.array(F.lit("amend")))
                .when(both, F.array(F.lit("close"), F.lit("open")))
                .when(F.col("c_present").isNotNull(), F.array(F.lit("keep")))
                .otherwise(F.array(F.lit("open"))))
     rows = j.withColumn("action", F.explode(actions))
     is_open = F.col("action") == "open"
+    is_new = F.col("action").isin("open", "amend")
     out = rows.select(
         F.when(is_open, surrogate_key(key, eff.cast("string"))).otherwise(F.col("c_key")).alias(surrogate),
         key,
-        *[F.when(is_open, F.col(f"s_{c}")).otherwise(F.col(f"c_{c}")).alias(c) for c in tracked],
+        *[F.when(is_new, F.col(f"s_{c}")).otherwise(F.col(f"c_{c}")).alias(c) for c in tracked],
         F.when(is_open, eff).otherwise(F.col("c_from")).alias("valid_from"),
         F.when(F.col("action") == "close", eff).otherwise(F.col("c_to")).alias("valid_to"),
         (F.col("action") != "close").alias("is_current"),
-        F.when(is_open, ts).otherwise(F.col("c_created")).alias("created_at"),
+        F.when(is_new, ts).otherwise(F.col("c_created")).alias("created_at"),
     )
     return history.select(*out.columns).unionByName(out)
 

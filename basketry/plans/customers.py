@@ -52,11 +52,11 @@ def customer_history(stg_orders: DataFrame, stg_order_products: DataFrame,
     """One row per user with at least one non-first order.
 
     Order statistics use non-first orders only; item statistics use every
-    order with lines (first orders included). Both come from one aggregation
-    over an order-grain table (orders LEFT JOIN per-order line stats), which
-    is exact because each order belongs to one user (``order_id`` is unique
-    in ``stg_orders``, a checked constraint). Users without any line keep
-    NULL item statistics.
+    order with lines (first orders included). Orders meet their line stats and
+    are reduced to one row per order on the partitioning of that join, with the
+    number of times the order was loaded: an order loaded twice is one order,
+    its rows and lines count twice. Users without any line keep NULL item
+    statistics.
     """
     stats = line_stats if line_stats is not None else order_line_stats(stg_order_products)
     stats = stats.select("order_id", "total_items", "reordered_items", "early_cart_items")
@@ -64,17 +64,27 @@ def customer_history(stg_orders: DataFrame, stg_order_products: DataFrame,
                                "order_day_name", "order_hour_of_day")
     per_order = orders.join(stats, "order_id", "left")
     repeat = ~F.col("is_first_order")
-    agg = per_order.groupBy("user_id").agg(
-        F.count(F.when(repeat, F.col("order_id"))).alias("total_orders"),
-        F.avg(F.when(repeat, F.col("days_since_prior_order"))).alias("avg_days_between_orders"),
-        F.min(F.when(repeat, F.col("days_since_prior_order"))).alias("min_days_between_orders"),
-        F.max(F.when(repeat, F.col("days_since_prior_order"))).alias("max_days_between_orders"),
-        F.max(F.when(repeat, _text_position(F.col("order_day_name")))).alias("max_day_position"),
-        F.max(F.when(repeat, F.col("order_hour_of_day"))).alias("most_common_order_hour"),
-        F.sum("total_items").alias("total_items_ordered"),
+    gap = F.when(repeat, F.col("days_since_prior_order"))
+    one = per_order.groupBy("order_id", "user_id").agg(
+        F.count(F.lit(1)).alias("times"),
+        F.count(F.when(repeat, 1)).alias("repeats"),
+        F.sum(gap).alias("gap_sum"), F.count(gap).alias("gaps"),
+        F.min(gap).alias("gap_min"), F.max(gap).alias("gap_max"),
+        F.max(F.when(repeat, _text_position(F.col("order_day_name")))).alias("day_position"),
+        F.max(F.when(repeat, F.col("order_hour_of_day"))).alias("hour"),
+        *[F.max(c).alias(c) for c in ("total_items", "reordered_items", "early_cart_items")],
+    )
+    agg = one.groupBy("user_id").agg(
+        F.count(F.when(F.col("repeats") > 0, F.col("order_id"))).alias("total_orders"),
+        safe_divide(F.sum("gap_sum"), F.sum("gaps")).alias("avg_days_between_orders"),
+        F.min("gap_min").alias("min_days_between_orders"),
+        F.max("gap_max").alias("max_days_between_orders"),
+        F.max("day_position").alias("max_day_position"),
+        F.max("hour").alias("most_common_order_hour"),
+        F.sum(F.col("total_items") * F.col("times")).alias("total_items_ordered"),
         F.count(F.when(F.col("total_items").isNotNull(), F.col("order_id"))).alias("orders_with_lines"),
-        F.sum("reordered_items").alias("total_reordered_items"),
-        F.sum("early_cart_items").alias("early_items"),
+        F.sum(F.col("reordered_items") * F.col("times")).alias("total_reordered_items"),
+        F.sum(F.col("early_cart_items") * F.col("times")).alias("early_items"),
     )
     return agg.filter(F.col("total_orders") > 0).select(
         "user_id",
@@ -96,12 +106,20 @@ def order_modes(stg_orders: DataFrame) -> DataFrame:
     """Most frequent order day and hour per user over non-first orders (the
     mode; ties go to the lowest value). The customer mart itself keeps the
     MAX() definition of ``most_common_order_day/hour``; this is the variant
-    with the meaning the names suggest. ``mode`` aggregates map-side."""
+    with the meaning the names suggest. Both domains are small, so the modes
+    come from one hash aggregate of conditional counts."""
     repeat = stg_orders.filter(~F.col("is_first_order"))
-    return repeat.groupBy("user_id").agg(
-        F.mode("order_day_name", deterministic=True).alias("most_common_order_day_mode"),
-        F.mode("order_hour_of_day", deterministic=True).alias("most_common_order_hour_mode"),
-    )
+    days, hours = len(_DAY_NAMES_BY_TEXT), 24
+    counts = repeat.groupBy("user_id").agg(
+        *[F.count_if(F.col("order_day_name") == n).alias(f"d{i}") for i, n in enumerate(_DAY_NAMES_BY_TEXT)],
+        *[F.count_if(F.col("order_hour_of_day") == h).alias(f"h{h}") for h in range(hours)])
+
+    def first_most(prefix: str, n: int):
+        at = F.array(*[F.col(f"{prefix}{i}") for i in range(n)])
+        return F.when(F.array_max(at) > 0, (F.array_position(at, F.array_max(at)) - 1).cast("int"))
+
+    return counts.select("user_id", _name_at(first_most("d", days)).alias("most_common_order_day_mode"),
+                         first_most("h", hours).alias("most_common_order_hour_mode"))
 
 
 def rfm_scores(history: DataFrame) -> DataFrame:

@@ -62,17 +62,17 @@ def fact_orders(stg_orders: DataFrame, stg_order_products: DataFrame, dim_users:
     ``order_id``; new columns are appended."""
     if target is None:
         return fact_orders_build(stg_orders, stg_order_products, dim_users, line_stats)
-    updates = fact_orders_updates(stg_orders, stg_order_products, dim_users, target, line_stats,
-                                  watermark_null_loads_all)
+    updates = fact_orders_updates(stg_orders, stg_order_products, dim_users, target, watermark_null_loads_all)
     return upsert(target, updates, FACT_ORDERS_KEY, append_new_columns=True)
 
 
 def fact_orders_updates(stg_orders: DataFrame, stg_order_products: DataFrame, dim_users: DataFrame,
-                        target: DataFrame, line_stats: DataFrame | None = None,
-                        watermark_null_loads_all: bool = True) -> DataFrame:
-    """Order fact rows of orders loaded after the target's watermark."""
+                        target: DataFrame, watermark_null_loads_all: bool = True) -> DataFrame:
+    """Order fact rows of orders loaded after the target's watermark. Only the
+    lines of those orders are aggregated."""
     fresh = newer_than(stg_orders, target, "loaded_at", null_loads_all=watermark_null_loads_all)
-    return fact_orders_build(fresh, stg_order_products, dim_users, line_stats)
+    lines = stg_order_products.join(fresh.select("order_id"), "order_id", "left_semi")
+    return fact_orders_build(fresh, lines, dim_users)
 
 
 def fact_order_products_build(stg_order_products: DataFrame, dim_products: DataFrame,

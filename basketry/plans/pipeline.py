@@ -149,8 +149,7 @@ class Models:
         """(update rows, key, append_new_columns) of an incremental fact given
         its current version."""
         if name == "fact_orders":
-            return (facts.fact_orders_updates(self.stg_orders, self.stg_order_products, self.dim_users,
-                                              target, self.line_stats),
+            return (facts.fact_orders_updates(self.stg_orders, self.stg_order_products, self.dim_users, target),
                     facts.FACT_ORDERS_KEY, True)
         if name == "fact_order_products":
             return (facts.fact_order_products_updates(self.stg_order_products, self.dim_products,

@@ -94,8 +94,10 @@ def rpt_daily(fact_orders: DataFrame) -> DataFrame:
 
 
 def _current_products(dim_products: DataFrame) -> DataFrame:
+    """Current versions by product: a line of an earlier version (whose key the
+    fact keeps) resolves to the product's current one through ``product_id``."""
     return dim_products.filter(F.col("is_current") == F.lit(True)).select(
-        "product_key", "product_name", "department_name")
+        "product_id", "product_name", "department_name")
 
 
 def rpt_departments(fact_order_products: DataFrame, dim_products: DataFrame) -> DataFrame:
@@ -103,8 +105,8 @@ def rpt_departments(fact_order_products: DataFrame, dim_products: DataFrame) ->
     weighted). The catalog side is broadcast behind a size check; the
     distinct order count is Spark's two-level distinct aggregation, so one
     large department is spread over the (department, order) hash space."""
-    joined = join_small(fact_order_products.select("product_key", "order_id", "is_reordered"),
-                        _current_products(dim_products), "product_key", "inner")
+    joined = join_small(fact_order_products.select("product_id", "order_id", "is_reordered"),
+                        _current_products(dim_products), "product_id", "inner")
     return (joined.groupBy("department_name")
             .agg(F.count(F.lit(1)).alias("total_line_items"),
                  round_n(F.avg(F.col("is_reordered").cast("int")) * 100, 1).alias("reorder_pct"),
@@ -118,10 +120,10 @@ def rpt_top_reordered(fact_order_products: DataFrame, dim_products: DataFrame,
     current product versions. Lines are reduced per product first (sum and
     count of the non-NULL flags: the average is their ratio, NULL when there
     is none), then joined to the catalog."""
-    per_product = (fact_order_products.groupBy("product_key")
+    per_product = (fact_order_products.groupBy("product_id")
                    .agg(F.sum(F.col("is_reordered").cast("int")).alias("reordered"),
                         F.count("is_reordered").alias("flags")))
-    joined = join_small(per_product, _current_products(dim_products), "product_key", "inner")
+    joined = join_small(per_product, _current_products(dim_products), "product_id", "inner")
     return (joined.groupBy("product_name", "department_name")
             .agg(round_n(safe_divide(F.sum("reordered"), F.sum("flags")), 3).alias("reorder_rate"))
             .orderBy(F.col("reorder_rate").desc(), F.col("product_name").asc(),
@@ -163,12 +165,10 @@ def rpt_first_in_cart(fact_order_products: DataFrame, dim_products: DataFrame,
     """Products most often added first to the cart: share of a product's
     lines at cart position 1 (top-k, ties by count then product id). Lines
     are aggregated per product before the catalog join."""
-    per_product = (fact_order_products.groupBy("product_key")
+    per_product = (fact_order_products.groupBy("product_id")
                    .agg(F.count(F.lit(1)).alias("times_ordered"),
                         F.count_if(F.col("add_to_cart_order") == FIRST_CART_POSITION).alias("times_first")))
-    current = dim_products.filter(F.col("is_current") == F.lit(True)).select(
-        "product_key", "product_id", "product_name", "department_name")
-    joined = join_small(per_product, current, "product_key", "inner")
+    joined = join_small(per_product, _current_products(dim_products), "product_id", "inner")
     return (joined.select("product_id", "product_name", "department_name", "times_ordered", "times_first",
                           round_n(F.col("times_first") / F.col("times_ordered"), 4).alias("pct_first_in_cart"))
             .orderBy(F.col("pct_first_in_cart").desc(), F.col("times_first").desc(), F.col("product_id").asc())

@@ -253,6 +253,19 @@ def dim_products_as_of(spark, sf_dir):
 __all__ = ["REGISTRY", "register", "models", "customer_360"]
 
 
+# --- reports over a product dimension with history -------------------------------
+def _report_scd2(name: str) -> QueryFn:
+    def q(spark, sf_dir):
+        from .plans import reports
+        return getattr(reports, name)(models(spark, sf_dir).fact_order_products, dim_products_scd2(spark, sf_dir))
+    q.__name__ = f"{name}_scd2"
+    return q
+
+
+for _r in ["rpt_departments", "rpt_top_reordered", "rpt_first_in_cart"]:
+    register(f"{_r}_scd2")(_report_scd2(_r))
+
+
 # --- streaming ---------------------------------------------------------------
 @register("stream_daily_load")
 def stream_daily_load(spark, sf_dir):

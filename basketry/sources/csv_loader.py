@@ -1,6 +1,8 @@
 """Typed CSV load of the six raw files with audit columns and a summary.
 
-Each configured file is scanned with its fixed schema (no inference),
+Each configured file is scanned with its fixed schema (no inference): columns
+are found by their header names, in any order, columns that the schema does not
+declare are left out, and a declared column that is absent fails the file.
 ``_loaded_at`` (the run time) and ``_source_file`` (the file name) are
 added, and the table is written as the next version of ``root/<table>``
 (one distributed write; readers keep seeing the previous version until it
@@ -15,6 +17,7 @@ import logging
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import RAW_FILES
 from . import tables
@@ -24,6 +27,35 @@ log = logging.getLogger(__name__)
 SUMMARY_SCHEMA = "table_name string, source_file string, rows long, status string, error string"
 
 
+def csv_options(strict: bool = True) -> dict[str, str]:
+    """Reader options of the batch and the streaming load. Headers are compared
+    with the schema in every file; ``strict`` fails on a malformed row."""
+    return {"header": "true", "escape": '"', "enforceSchema": "false",
+            "mode": "FAILFAST" if strict else "PERMISSIVE"}
+
+
+def file_schema(spark: SparkSession, path: str, schema: T.StructType) -> T.StructType:
+    """``schema`` in the order of the file's header; columns it does not declare
+    are text. Raises when a declared column is absent."""
+    header = spark.read.options(**csv_options()).csv(path).columns
+    declared = {f.name.lower(): f for f in schema.fields}
+    absent = [f.name for f in schema.fields if f.name.lower() not in {h.strip().lower() for h in header}]
+    if absent:
+        raise ValueError(f"{path}: no column {', '.join(absent)} in the header ({', '.join(header)})")
+    return T.StructType([T.StructField(h, declared[h.strip().lower()].dataType if h.strip().lower() in declared
+                                       else T.StringType()) for h in header])
+
+
+def _cause(e: Exception) -> str:
+    """First line of the innermost cause of a failed load."""
+    java = getattr(e, "java_exception", None)
+    if java is None:
+        return str(e).splitlines()[0][:500]
+    while java.getCause() is not None:
+        java = java.getCause()
+    return str(java.getMessage() or java.toString()).splitlines()[0][:500]
+
+
 def read_raw_csv(spark: SparkSession, path: str, schema, run_ts, strict: bool = True) -> DataFrame:
     """Scan one CSV file (or folder of part files) with ``schema``.
 
@@ -32,12 +64,10 @@ def read_raw_csv(spark: SparkSession, path: str, schema, run_ts, strict: bool =
     ``strict`` fails the load on a malformed row instead of nulling it.
     """
     ts = F.to_timestamp(F.lit(run_ts)) if isinstance(run_ts, str) else F.lit(run_ts)
-    df = (spark.read.schema(schema)
-          .option("header", True)
-          .option("escape", '"')
-          .option("mode", "FAILFAST" if strict else "PERMISSIVE")
-          .csv(path))
-    return df.select("*", ts.alias("_loaded_at"), F.col("_metadata.file_name").alias("_source_file"))
+    df = spark.read.schema(file_schema(spark, path, schema)).options(**csv_options(strict)).csv(path)
+    named = {c.strip().lower(): c for c in df.columns}
+    data = [F.col(f"`{named[f.name.lower()]}`").alias(f.name) for f in schema.fields]
+    return df.select(*data, ts.alias("_loaded_at"), F.col("_metadata.file_name").alias("_source_file"))
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -70,7 +100,7 @@ def load_raw_csv(spark: SparkSession, data_dir: str, root: str, run_ts=None,
             log.info("%s: %d rows loaded into %s", file_name, rows, table)
         except Exception as e:  # noqa: BLE001 - a failing file is reported, others go on
             log.error("failed to load %s: %s", file_name, e)
-            summary.append((table, file_name, None, "failed", str(e).splitlines()[0][:500]))
+            summary.append((table, file_name, None, "failed", _cause(e)))
     failed = [t for t, _, _, status, _ in summary if status != "loaded"]
     total = sum(r[2] or 0 for r in summary)
     summary.append(("TOTAL", None, total, "loaded" if not failed else "partial",

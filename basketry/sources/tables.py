@@ -16,8 +16,8 @@ overwrites. One writer per table.
 
 * :func:`commit` writes a whole new version (one segment).
 * :func:`append` adds rows as one more segment: an incremental load costs
-  the size of the batch, not of the table. Past ``MAX_SEGMENTS`` the table
-  is compacted into a single segment.
+  the size of the batch, not of the table. :func:`compact` rewrites the table
+  into one segment; nothing calls it by itself.
 * :func:`upsert_commit` appends when no update key is already present (the
   usual daily case), else writes the merged table as a new version.
 
@@ -30,8 +30,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-MAX_SEGMENTS = 32
+_END = "end"  # last line of a whole marker
 
 
 def _jvm(spark: SparkSession):
@@ -52,18 +53,38 @@ def segment_path(root: str, name: str, segment: int) -> str:
     return f"{_base(root, name)}/data/seg={segment:06d}"
 
 
-def versions(spark: SparkSession, root: str, name: str) -> list[int]:
-    """Committed versions, ascending."""
+def _numbers(spark: SparkSession, root: str, name: str) -> list[int]:
+    """Numbers of all markers, those of a crashed commit included, ascending."""
     fs, p = _fs(spark, f"{_base(root, name)}/_versions")
     if not fs.exists(p):
         return []
     return sorted(int(s.getPath().getName()) for s in fs.listStatus(p) if s.getPath().getName().isdigit())
 
 
+def _marker(spark: SparkSession, root: str, name: str, version: int) -> list[int] | None:
+    """The segments a marker lists, or None when its writer crashed midway."""
+    fs, p = _fs(spark, f"{_base(root, name)}/_versions/{version:06d}")
+    stream = fs.open(p)
+    try:
+        lines = _jvm(spark).org.apache.commons.io.IOUtils.toString(stream, "UTF-8").split()
+    finally:
+        stream.close()
+    return [int(x) for x in lines[:-1]] if lines[-1:] == [_END] else None
+
+
+def versions(spark: SparkSession, root: str, name: str) -> list[int]:
+    """Committed versions, ascending."""
+    return [v for v in _numbers(spark, root, name) if _marker(spark, root, name, v) is not None]
+
+
 def current_version(spark: SparkSession, root: str, name: str) -> int | None:
     """Highest committed version, or None if the table has none."""
-    vs = versions(spark, root, name)
-    return vs[-1] if vs else None
+    return next((v for v in reversed(_numbers(spark, root, name))
+                 if _marker(spark, root, name, v) is not None), None)
+
+
+def _next_version(spark: SparkSession, root: str, name: str) -> int:
+    return max(_numbers(spark, root, name), default=0) + 1
 
 
 def exists(spark: SparkSession, root: str, name: str) -> bool:
@@ -76,13 +97,10 @@ def segments(spark: SparkSession, root: str, name: str, version: int | None = No
     v = version if version is not None else current_version(spark, root, name)
     if v is None:
         raise FileNotFoundError(f"table {name} has no committed version under {root}")
-    fs, p = _fs(spark, f"{_base(root, name)}/_versions/{v:06d}")
-    stream = fs.open(p)
-    try:
-        text = _jvm(spark).org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-    return [int(x) for x in text.split()]
+    segs = _marker(spark, root, name, v)
+    if segs is None:
+        raise FileNotFoundError(f"version {v} of table {name} under {root} was not committed")
+    return segs
 
 
 def paths(spark: SparkSession, root: str, name: str, version: int | None = None) -> list[str]:
@@ -94,7 +112,7 @@ def _mark(spark: SparkSession, root: str, name: str, version: int, segs: Sequenc
     fs, p = _fs(spark, f"{_base(root, name)}/_versions/{version:06d}")
     out = fs.create(p, False)
     try:
-        out.write(bytearray("\n".join(str(s) for s in segs).encode()))
+        out.write(bytearray("\n".join([*(str(s) for s in segs), _END]).encode()))
     finally:
         out.close()
 
@@ -103,8 +121,7 @@ def commit(df: DataFrame, root: str, name: str) -> str:
     """Write ``df`` as the whole next version of ``root/name``; returns the
     segment path."""
     spark = df.sparkSession
-    current = current_version(spark, root, name)
-    version = 1 if current is None else current + 1
+    version = _next_version(spark, root, name)
     path = segment_path(root, name, version)
     df.write.mode("overwrite").parquet(path)
     _mark(spark, root, name, version, [version])
@@ -113,15 +130,13 @@ def commit(df: DataFrame, root: str, name: str) -> str:
 
 def append(df: DataFrame, root: str, name: str) -> str:
     """Add ``df``'s rows to ``root/name`` as a new segment (same columns as
-    the table). Compacts into one segment past ``MAX_SEGMENTS``."""
+    the table)."""
     spark = df.sparkSession
     current = current_version(spark, root, name)
     if current is None:
         return commit(df, root, name)
     segs = segments(spark, root, name, current)
-    if len(segs) + 1 > MAX_SEGMENTS:
-        return commit(read(spark, root, name).unionByName(df), root, name)
-    version = current + 1
+    version = _next_version(spark, root, name)
     path = segment_path(root, name, version)
     df.write.mode("overwrite").parquet(path)
     if spark.read.parquet(path).isEmpty():
@@ -132,6 +147,19 @@ def append(df: DataFrame, root: str, name: str) -> str:
     return path
 
 
+def compact(spark: SparkSession, root: str, name: str) -> str:
+    """Rewrite the current version as one segment (maintenance, on request)."""
+    return commit(read(spark, root, name), root, name)
+
+
+def one_per_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """One row per ``key``: of several the greatest, compared column by column
+    in table order (nulls first)."""
+    rest = [c for c in df.columns if c not in key]
+    return (df.groupBy(*key).agg(F.max(F.struct(*rest)).alias("__row"))
+            .select(*key, "__row.*").select(*df.columns))
+
+
 def _catalog_name(root: str, name: str, version: int) -> str:
     import hashlib
     tag = hashlib.md5(root.rstrip("/").encode()).hexdigest()[:10]
@@ -147,8 +175,7 @@ def commit_bucketed(df: DataFrame, root: str, name: str, buckets: int, key: str)
     session scan it bucketed: aggregations and joins on ``key`` need no
     shuffle. Readers without the catalog entry read the plain files."""
     spark = df.sparkSession
-    current = current_version(spark, root, name)
-    version = 1 if current is None else current + 1
+    version = _next_version(spark, root, name)
     path = segment_path(root, name, version)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {BUCKETED_DB}")
     (df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", path)
@@ -187,4 +214,5 @@ def upsert_commit(updates: DataFrame, root: str, name: str, key: Sequence[str],
     collides = not target.select(*key).join(updates.select(*key), key, "left_semi").isEmpty()
     if collides or (new_cols and append_new_columns):
         return commit(upsert(target, updates, key, append_new_columns), root, name)
-    return append(updates.select(*target.columns), root, name)
+    return append(updates.select(*[F.col(f.name) if f.name in updates.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                                   for f in target.schema.fields]), root, name)

@@ -17,7 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import RAW_FILES
+from ..session import cut_lineage
 from ..sources import tables
+from ..sources.csv_loader import _exists, csv_options, file_schema
 
 # Upsert keys of the raw tables (line tables by order and product).
 RAW_KEYS = {
@@ -29,17 +31,25 @@ RAW_KEYS = {
     "departments": ["department_id"],
 }
 
+# Input files of one micro-batch: bounds a batch when a backlog has built up.
+FILES_PER_BATCH = 1000
+
 
 def start_daily_load(spark: SparkSession, landing_dir: str, root: str, checkpoint_root: str,
                      table: str = "orders", available_now: bool = True):
     """Start the load stream of one raw table (written as ``raw_<table>``);
-    returns the StreamingQuery."""
+    returns the StreamingQuery. Columns are found by header name as in the batch
+    load; all files of one run share a header, and a file with another one, or
+    with a malformed row, fails the stream."""
     file_name, schema = RAW_FILES[table]
-    source = (spark.readStream.schema(schema)
-              .option("header", True)
-              .option("escape", '"')
-              .csv(f"{landing_dir.rstrip('/')}/{file_name}")
-              .select("*", F.col("_metadata.file_name").alias("_source_file")))
+    path = f"{landing_dir.rstrip('/')}/{file_name}"
+    in_file = file_schema(spark, path, schema) if _exists(spark, path) else schema
+    named = {f.name.strip().lower(): f.name for f in in_file.fields}
+    source = (spark.readStream.schema(in_file).options(**csv_options())
+              .option("maxFilesPerTrigger", FILES_PER_BATCH)
+              .csv(path)
+              .select(*[F.col(f"`{named[f.name.lower()]}`").alias(f.name) for f in schema.fields],
+                      F.col("_metadata.file_name").alias("_source_file")))
     # Raw tables keep the audit columns last, as the batch loader writes them.
     writer = (source.writeStream
               .foreachBatch(_upsert_batch(root, f"raw_{table}", RAW_KEYS[table]))
@@ -54,13 +64,9 @@ def _upsert_batch(root: str, table: str, key: list[str]):
         now = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
         cols = [c for c in batch.columns if c != "_source_file"]
         stamped = batch.select(*cols, F.to_timestamp(F.lit(now)).alias("_loaded_at"), "_source_file")
-        # The batch is read twice (key collision check, then the write).
-        stamped.persist()
-        try:
-            # Appends the batch as a segment unless a key is already present.
-            tables.upsert_commit(stamped, root, table, key)
-        finally:
-            stamped.unpersist()
+        # Read twice (key collision check, then the write): written once instead.
+        # Appended as a segment unless a key is already present.
+        tables.upsert_commit(cut_lineage(tables.one_per_key(stamped, key), f"batch-{table}"), root, table, key)
     return apply
 
 

@@ -43,3 +43,33 @@ def test_quotes_missing_and_bad_files(spark, scratch):
     assert p[1] == ('Chocolate "Sandwich" Cookies, family size', 61, 19)
     o = {r.order_id: (r.order_hour_of_day, r.days_since_prior_order) for r in loaded["orders"].collect()}
     assert o == {1: (8, None), 2: (7, 15.0)}
+
+
+def test_columns_by_header_name(spark, scratch):
+    landing = os.path.join(scratch, "landing")
+    os.makedirs(landing)
+    with open(os.path.join(landing, "orders.csv"), "w") as f:
+        f.write('user_id,order_id,eval_set,order_number,order_dow,order_hour_of_day,days_since_prior_order\n')
+        f.write('7,1,prior,1,2,08,\n')
+    with open(os.path.join(landing, "aisles.csv"), "w") as f:
+        f.write('aisle_id,name\n1,x\n')
+    with open(os.path.join(landing, "departments.csv"), "w") as f:
+        f.write('department_id,department\nabc,x\n')
+    loaded, summary = load_raw_csv(spark, landing, os.path.join(scratch, "wh"), "2024-01-01 06:00:00")
+    r = loaded["orders"].first()
+    assert (r.order_id, r.user_id, r.order_hour_of_day, r._source_file) == (1, 7, 8, "orders.csv")
+    assert loaded["orders"].columns[:2] == ["order_id", "user_id"] and "eval_set" not in loaded["orders"].columns
+    errors = {r.table_name: r.error for r in summary.collect()}
+    assert "no column aisle" in errors["aisles"] and "abc" in errors["departments"]
+
+
+def test_malformed_streamed_row_fails(spark, scratch):
+    import pytest
+    from basketry.streaming.daily_load import run_daily_load
+    folder = os.path.join(scratch, "landing", "aisles.csv")
+    os.makedirs(folder)
+    with open(os.path.join(folder, "one.csv"), "w") as f:
+        f.write('aisle_id,aisle\nabc,x\n')
+    with pytest.raises(Exception):
+        run_daily_load(spark, os.path.join(scratch, "landing"), os.path.join(scratch, "wh"),
+                       os.path.join(scratch, "ckpt"), ["aisles"])

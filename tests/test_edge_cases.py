@@ -76,3 +76,16 @@ def test_quality_reports_the_gaps(m):
     assert rows[("fact_order_products", "product_key", "not_null")] == 1
     assert rows[("fact_order_products", "product_key", "relationships")] == 0
     assert rows[("customer_360", "reorder_rate", "range")] == 0
+
+
+def test_history_with_an_order_loaded_twice(spark):
+    from basketry.plans.customers import customer_history
+    orders = spark.createDataFrame(
+        [(1, 10, False, 7.0, "Monday", 9)] * 2 + [(2, 10, True, None, "Sunday", 8)],
+        "order_id long, user_id long, is_first_order boolean, days_since_prior_order double, "
+        "order_day_name string, order_hour_of_day int")
+    lines = spark.createDataFrame(
+        [(1, 5, 1, True, True)],
+        "order_id long, product_id long, add_to_cart_order int, is_reordered boolean, is_early_cart_addition boolean")
+    r = customer_history(orders, lines).first()
+    assert (r.total_orders, r.total_items_ordered, r.avg_basket_size, r.avg_days_between_orders) == (1, 2, 2.0, 7.0)

@@ -66,6 +66,20 @@ def test_scd2_merge_closes_and_opens_versions(spark):
     assert before == {1: 1, 2: 2} and after == {1: 1, 2: 3, 3: 1}
 
 
+def test_scd2_same_date_replaces_and_earlier_date_fails(spark):
+    import pytest
+    dim = dim_products(_catalog(spark, [(1, "milk", 2, "dairy", 2, "dairy")]), "2019-01-01", "2024-01-01 00:00:00")
+    frozen = _catalog(spark, [(1, "milk", 2, "dairy", 3, "frozen")])
+    drinks = _catalog(spark, [(1, "milk", 2, "dairy", 4, "drinks")])
+    once = scd2_merge(dim, frozen, "product_id", TRACKED, "2019-07-01", "2024-07-01 00:00:00")
+    twice = scd2_merge(once, drinks, "product_id", TRACKED, "2019-07-01", "2024-07-01 12:00:00")
+    rows = sorted((str(r.valid_from), str(r.valid_to), r.department_id, r.is_current) for r in twice.collect())
+    assert rows == [("2019-01-01", "2019-07-01", 2, False), ("2019-07-01", "None", 4, True)]
+    assert twice.select("product_key").distinct().count() == 2
+    with pytest.raises(Exception, match="change effective before"):
+        scd2_merge(once, drinks, "product_id", TRACKED, "2019-06-01", "2024-07-01 12:00:00").collect()
+
+
 def test_two_load_fact_equals_full_build(spark):
     import __spark_entry__ as E
     full = E.queries()["fact_orders"](spark, "/root/testdata/sf0.001").drop("loaded_at")

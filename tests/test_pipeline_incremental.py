@@ -50,7 +50,16 @@ def test_scd2_product_dimension_across_runs(spark, scratch):
     assert dim.filter("is_current").count() == base["products"].count()
     assert dim.filter("is_current AND product_id <= 3").select("department_id").distinct().collect()[0][0] == 1
     closed = dim.filter("NOT is_current").select("valid_to").distinct().collect()
-    assert [str(r.valid_to) for r in closed] in ([], ["2024-03-01"])
+    assert changed > 0 and [str(r.valid_to) for r in closed] == ["2024-03-01"]
+    again = dict(base)
+    again["products"] = base["products"].withColumn(
+        "department_id", F.when(F.col("product_id") <= 3, F.lit(2).cast("long")).otherwise(F.col("department_id")))
+    materialize(Models(spark, again, "2024-03-01 18:00:00"), scratch, names=["stg_products", "dim_products"],
+                scd2_products=True)
+    dim = tables.read(spark, scratch, "dim_products")
+    assert dim.select("product_key").distinct().count() == dim.count()
+    assert dim.where("valid_from = valid_to").count() == 0
+    assert [r.department_id for r in dim.where("is_current AND product_id <= 3").collect()] == [2, 2, 2]
 
 
 def test_bucketed_load_gives_same_models(spark, scratch):

@@ -26,14 +26,34 @@ def test_append_and_upsert_commit(spark, scratch):
         [(1, "a"), (2, "b"), (3, "c")]
 
 
-def test_compaction_bounds_segments(spark, scratch, monkeypatch):
-    monkeypatch.setattr(tables, "MAX_SEGMENTS", 3)
+def test_appends_never_rewrite_and_compaction_is_on_request(spark, scratch):
     for i in range(5):
         tables.append(spark.range(i * 10, i * 10 + 10), scratch, "c")
-    assert len(tables.segments(spark, scratch, "c")) <= 3
+    assert tables.segments(spark, scratch, "c") == [1, 2, 3, 4, 5]
+    tables.compact(spark, scratch, "c")
+    assert tables.segments(spark, scratch, "c") == [6]
     assert tables.read(spark, scratch, "c").count() == 50
 
 
+def test_marker_of_a_crashed_commit_is_ignored(spark, scratch):
+    tables.commit(spark.range(5), scratch, "m")
+    for n, text in ((2, ""), (3, "1\n2")):
+        with open(f"{scratch}/m/_versions/{n:06d}", "w") as f:
+            f.write(text)
+    assert tables.current_version(spark, scratch, "m") == 1 and tables.versions(spark, scratch, "m") == [1]
+    assert tables.read(spark, scratch, "m").count() == 5
+    tables.append(spark.range(5, 7), scratch, "m")
+    assert tables.segments(spark, scratch, "m") == [1, 4] and tables.read(spark, scratch, "m").count() == 7
+
+
+def test_one_row_per_key_and_missing_columns(spark, scratch):
+    rows = spark.createDataFrame([(1, "a", None), (1, "b", 2), (2, "c", 1)], "k long, v string, w int")
+    assert sorted(map(tuple, tables.one_per_key(rows, ["k"]).collect())) == [(1, "b", 2), (2, "c", 1)]
+    tables.commit(rows.where("k = 2"), scratch, "w")
+    tables.upsert_commit(spark.createDataFrame([(3, "d")], "k long, v string"), scratch, "w", ["k"])
+    assert sorted(map(tuple, tables.read(spark, scratch, "w").collect())) == [(2, "c", 1), (3, "d", None)]
+
+
 def test_bucketed_commit_reads_without_shuffle(spark, scratch):
     from pyspark.sql import functions as F
     df = spark.range(0, 2000).select((F.col("id") % 97).alias("order_id"), F.col("id").alias("v"))
