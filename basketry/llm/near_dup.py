@@ -7,13 +7,14 @@
    ``SKETCHES`` hash functions the ``ORDER`` smallest labelled k-mers, put back
    in text order, give one bucket key. Texts of similarity s share a key with
    probability about s ** ORDER per function: at 0.8 one pair in 300,000 is missed.
-3. *Links.* In each bucket every node is compared with the bucket's centre (the
-   node that shares most keys), not with every other node. Then the classes
-   found so far are joined up; a bucket whose nodes are all in one class is
-   done; in the others nodes linked to a centre leave, and each round doubles
-   the number of centres and compares nodes of different classes only, so no
-   bucket is cut off. Nodes of which more than 1 - THRESHOLD of the k-mers occur
-   nowhere else cannot be linked and are left out before.
+3. *Links.* In each bucket every node is compared with the bucket's centres,
+   not with every other node. A centre has then met all its bucket and leaves
+   it; the classes found so far are joined up; a bucket whose nodes are all in
+   one class is done; the others go on with more centres, the smallest classes
+   first, until no node is left, so no bucket is cut off. Only nodes of
+   different classes meet, and only if their k-mers can reach the threshold:
+   a k-mer that occurs in no other node is in no chain, so a node with c others of its m
+   k-mers links only with nodes of at most c * (1 + t) / t - m k-mers (exact).
 4. *Banded alignment.* A pair's labelled k-mers are matched inside a diagonal
    band whose width follows from the lengths and the threshold; the longest
    increasing chain L of matches gives the similarity L / (m + n - L), an order-aware
@@ -40,6 +41,7 @@ from ..session import cut_lineage
 from . import textkit as tk
 
 K, ORDER, SKETCHES, THRESHOLD = 5, 4, 24, 0.8
+FORMING = 4  # up to so many centres of a bucket are its nodes that share most keys
 _U = np.uint64
 _TOP = _U(0xFFFFFFFFFFFFFFFF)
 _SEEDS = np.random.default_rng(20240229).integers(1, 2 ** 63, (SKETCHES, 2), dtype=np.uint64) * _U(2) + _U(1)
@@ -213,27 +215,30 @@ def _links(nodes: DataFrame, texts: DataFrame, threshold: float) -> DataFrame |
     # a node links only if threshold of its k-mers occur in some other node at all
     kmers = grams.select("__c", F.size("__g").alias("__m"), F.explode("__g").alias("__g"))
     often = kmers.groupBy("__g").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1).select("__g")
+    # and only with a node of m k-mers, m at most __hi: the chain is no longer than those k-mers
     able = (kmers.join(often, "__g").groupBy("__c").agg(F.count(F.lit(1)).alias("__n"), F.first("__m").alias("__m"))
-            .where(F.col("__n") >= threshold * F.col("__m")).select("__c"))
-    members = members.join(able, "__c")
-    many = members.groupBy("__k").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1).select("__k")
-    members = cut_lineage(members.join(many, "__k", "left_semi"), "op2-able")
+            .select("__c", "__m", (F.col("__n") * ((1 + threshold) / threshold) - F.col("__m") + 1e-6).alias("__hi"))
+            .where(F.col("__hi") >= threshold * F.col("__m")))
+    members = _open(members.join(able, "__c").withColumn("__l", F.col("__c")), "op2-able")
     if members.isEmpty():
         return None
     links, tested, centres = None, None, 1
     while True:
         if centres == 1:
-            top = members.groupBy("__k").agg(F.max(F.struct("__s", "__c")).alias("__top"))
-            chosen = top.select("__k", F.col("__top.__c").alias("__b"), F.col("__top.__c").alias("__lb"))
-            members = members.withColumn("__l", F.col("__c"))
+            top = members.groupBy("__k").agg(F.max(F.struct("__s", "__c", "__m", "__hi")).alias("__top")).select("__k", "__top.*")
+            members = members.withColumn("__z", F.lit(1).cast("long"))
+            chosen = top.withColumn("__l", F.col("__c"))
         else:
-            w = Window.partitionBy("__k").orderBy(F.col("__s").desc(), F.col("__c").desc())
-            chosen = (members.withColumn("__i", F.row_number().over(w)).where(F.col("__i") <= centres)
-                      .select("__k", F.col("__c").alias("__b"), F.col("__l").alias("__lb")))
-        met = cut_lineage(members.join(cut_lineage(chosen, "op2-centres"), "__k"), "op2-met")
-        # texts that are in one class already need no comparison
-        pairs = (met.where(F.col("__l") != F.col("__lb"))
-                 .select(F.least("__c", "__b").alias("__a"), F.greatest("__c", "__b").alias("__b")).distinct())
+            # first nodes that share most keys, then nodes of the smallest classes
+            order = [F.col("__s").desc()] if centres <= FORMING else [F.col("__z"), F.col("__s").desc()]
+            w = Window.partitionBy("__k").orderBy(*order, F.col("__c").desc())
+            chosen = members.withColumn("__i", F.row_number().over(w)).where(F.col("__i") <= centres)
+        chosen = cut_lineage(chosen.select("__k", F.col("__c").alias("__b"), F.col("__l").alias("__lb"),
+                                           F.col("__m").alias("__mb"), F.col("__hi").alias("__hb")), "op2-centres")
+        # texts that are in one class already, or whose k-mers cannot reach the threshold, need no comparison
+        met = members.join(chosen, (members["__k"] == chosen["__k"]) & (F.col("__l") != F.col("__lb"))
+                           & (F.col("__m") <= F.col("__hb")) & (F.col("__mb") <= F.col("__hi")))
+        pairs = met.select(F.least("__c", "__b").alias("__a"), F.greatest("__c", "__b").alias("__b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["__a", "__b"], "left_anti")
         ga, gb = grams.select(F.col("__c").alias("__a"), F.col("__g").alias("__ga")), grams.select(F.col("__c").alias("__b"), F.col("__g").alias("__gb"))
@@ -241,19 +246,32 @@ def _links(nodes: DataFrame, texts: DataFrame, threshold: float) -> DataFrame |
             _verify(threshold), "__a binary, __b binary, __ok boolean"), "op2-verified")
         found = done.where("__ok").select("__a", "__b")
         links = found if links is None else cut_lineage(links.unionByName(found), "op2-links")
-        tested = done if tested is None else cut_lineage(tested.unionByName(done), "op2-tested")
-        # centres and nodes linked to one leave the bucket; of the rest, buckets of one class are done
-        seen = met.select("__k", "__c", "__b", F.least("__c", "__b").alias("__a1"), F.greatest("__c", "__b").alias("__b1"))
-        tied = done.where("__ok").select(F.col("__a").alias("__a1"), F.col("__b").alias("__b1"), F.lit(True).alias("__tie"))
-        out = (seen.join(tied, ["__a1", "__b1"], "left").where(F.col("__tie") | (F.col("__c") == F.col("__b")))
-               .select("__k", "__c").distinct())
-        left = (members.drop("__l").join(out, ["__k", "__c"], "left_anti")
-                .join(components(links), "__c", "left").withColumn("__l", F.coalesce("__l", "__c")))
-        many = left.groupBy("__k").agg(F.min("__l").alias("__m"), F.max("__l").alias("__n")).where(F.col("__m") != F.col("__n"))
-        members = cut_lineage(left.join(many.select("__k"), "__k", "left_semi"), "op2-left")
+        tested = done.select("__a", "__b") if tested is None else cut_lineage(tested.unionByName(done.select("__a", "__b")), "op2-tested")
+        # a centre has met all its bucket and leaves it
+        left = (members.drop("__l", "__z").join(chosen.select("__k", F.col("__b").alias("__c")), ["__k", "__c"], "left_anti")
+                .join(_classes(links), "__c", "left")
+                .withColumns({"__l": F.coalesce("__l", "__c"), "__z": F.coalesce("__z", F.lit(1).cast("long"))}))
+        members = _open(left, "op2-left")
         if members.isEmpty():
             return links
-        centres *= 2
+        centres *= 4
+
+
+def _open(members: DataFrame, tag: str) -> DataFrame:
+    """``members`` without buckets of one class and without nodes that can
+    reach the threshold with no size in their bucket."""
+    members = cut_lineage(members, tag)
+    per = (members.groupBy("__k").agg(F.min("__l").alias("__l0"), F.max("__l").alias("__l1"),
+                                      F.min("__m").alias("__m0"), F.max("__hi").alias("__h1"))
+           .where(F.col("__l0") != F.col("__l1")).select("__k", "__m0", "__h1"))
+    kept = members.join(per, "__k").where((F.col("__m0") <= F.col("__hi")) & (F.col("__m") <= F.col("__h1")))
+    return cut_lineage(kept.drop("__m0", "__h1"), tag)
+
+
+def _classes(links: DataFrame) -> DataFrame:
+    """Rows (``__c``, class ``__l``, its size ``__z``) of linked nodes."""
+    found = components(links)
+    return found.join(found.groupBy("__l").agg(F.count(F.lit(1)).alias("__z")), "__l")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
