@@ -42,6 +42,7 @@ from . import textkit as tk
 
 K, ORDER, SKETCHES, THRESHOLD = 5, 4, 24, 0.8
 FORMING = 4  # up to so many centres of a bucket are its nodes that share most keys
+STEP = 256  # a bucket's centres in one round; rounds go on until no node is left
 _U = np.uint64
 _TOP = _U(0xFFFFFFFFFFFFFFFF)
 _SEEDS = np.random.default_rng(20240229).integers(1, 2 ** 63, (SKETCHES, 2), dtype=np.uint64) * _U(2) + _U(1)
@@ -233,12 +234,16 @@ def _links(nodes: DataFrame, texts: DataFrame, threshold: float) -> DataFrame |
             order = [F.col("__s").desc()] if centres <= FORMING else [F.col("__z"), F.col("__s").desc()]
             w = Window.partitionBy("__k").orderBy(*order, F.col("__c").desc())
             chosen = members.withColumn("__i", F.row_number().over(w)).where(F.col("__i") <= centres)
-        chosen = cut_lineage(chosen.select("__k", F.col("__c").alias("__b"), F.col("__l").alias("__lb"),
-                                           F.col("__m").alias("__mb"), F.col("__hi").alias("__hb")), "op2-centres")
-        # texts that are in one class already, or whose k-mers cannot reach the threshold, need no comparison
-        met = members.join(chosen, (members["__k"] == chosen["__k"]) & (F.col("__l") != F.col("__lb"))
-                           & (F.col("__m") <= F.col("__hb")) & (F.col("__mb") <= F.col("__hi")))
-        pairs = met.select(F.least("__c", "__b").alias("__a"), F.greatest("__c", "__b").alias("__b")).distinct()
+        chosen = cut_lineage(chosen.select("__k", F.struct(F.col("__c").alias("b"), F.col("__l").alias("l"), F.col("__m").alias("m"),
+                                                           F.col("__hi").alias("hi")).alias("__b")), "op2-centres")
+        # Texts that are in one class already, or whose k-mers cannot reach the threshold, need no
+        # comparison. A bucket's centres (at most STEP) travel as one list, a node's lists are merged:
+        # a pair that shares many buckets is one row.
+        lists = members.join(chosen.groupBy("__k").agg(F.collect_list("__b").alias("__bs")), "__k").select("__c", F.transform(F.filter(
+            "__bs", lambda x: (x["l"] != F.col("__l")) & (F.col("__m") <= x["hi"]) & (x["m"] <= F.col("__hi"))), lambda x: x["b"]).alias("__bs"))
+        met = lists.where(F.size("__bs") > 0).groupBy("__c").agg(F.array_distinct(F.flatten(F.collect_list("__bs"))).alias("__bs"))
+        pairs = (met.select("__c", F.explode("__bs").alias("__b"))
+                 .select(F.least("__c", "__b").alias("__a"), F.greatest("__c", "__b").alias("__b")).distinct())
         if tested is not None:
             pairs = pairs.join(tested, ["__a", "__b"], "left_anti")
         ga, gb = grams.select(F.col("__c").alias("__a"), F.col("__g").alias("__ga")), grams.select(F.col("__c").alias("__b"), F.col("__g").alias("__gb"))
@@ -248,13 +253,13 @@ def _links(nodes: DataFrame, texts: DataFrame, threshold: float) -> DataFrame |
         links = found if links is None else cut_lineage(links.unionByName(found), "op2-links")
         tested = done.select("__a", "__b") if tested is None else cut_lineage(tested.unionByName(done.select("__a", "__b")), "op2-tested")
         # a centre has met all its bucket and leaves it
-        left = (members.drop("__l", "__z").join(chosen.select("__k", F.col("__b").alias("__c")), ["__k", "__c"], "left_anti")
+        left = (members.drop("__l", "__z").join(chosen.select("__k", F.col("__b.b").alias("__c")), ["__k", "__c"], "left_anti")
                 .join(_classes(links), "__c", "left")
                 .withColumns({"__l": F.coalesce("__l", "__c"), "__z": F.coalesce("__z", F.lit(1).cast("long"))}))
         members = _open(left, "op2-left")
         if members.isEmpty():
             return links
-        centres *= 4
+        centres = min(centres * 4, STEP)
 
 
 def _open(members: DataFrame, tag: str) -> DataFrame:
