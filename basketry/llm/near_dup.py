@@ -41,7 +41,7 @@ from ..session import cut_lineage
 from . import textkit as tk
 
 K, ORDER, SKETCHES, THRESHOLD = 5, 4, 24, 0.8
-FORMING = 4  # up to so many centres of a bucket are its nodes that share most keys
+FORMING = 16  # up to so many centres of a bucket are its nodes that share most keys
 STEP = 256  # a bucket's centres in one round; rounds go on until no node is left
 _U = np.uint64
 _TOP = _U(0xFFFFFFFFFFFFFFFF)
@@ -223,7 +223,7 @@ def _links(nodes: DataFrame, texts: DataFrame, threshold: float) -> DataFrame |
     members = _open(members.join(able, "__c").withColumn("__l", F.col("__c")), "op2-able")
     if members.isEmpty():
         return None
-    links, tested, centres = None, None, 1
+    links, tested, classes, centres = None, None, None, 1
     while True:
         if centres == 1:
             top = members.groupBy("__k").agg(F.max(F.struct("__s", "__c", "__m", "__hi")).alias("__top")).select("__k", "__top.*")
@@ -250,16 +250,18 @@ def _links(nodes: DataFrame, texts: DataFrame, threshold: float) -> DataFrame |
         done = cut_lineage(pairs.join(ga, "__a").join(gb, "__b").mapInArrow(
             _verify(threshold), "__a binary, __b binary, __ok boolean"), "op2-verified")
         found = done.where("__ok").select("__a", "__b")
-        links = found if links is None else cut_lineage(links.unionByName(found), "op2-links")
+        if classes is None or not found.isEmpty():
+            links = found if links is None else cut_lineage(links.unionByName(found), "op2-links")
+            classes = _classes(links)
         tested = done.select("__a", "__b") if tested is None else cut_lineage(tested.unionByName(done.select("__a", "__b")), "op2-tested")
         # a centre has met all its bucket and leaves it
         left = (members.drop("__l", "__z").join(chosen.select("__k", F.col("__b.b").alias("__c")), ["__k", "__c"], "left_anti")
-                .join(_classes(links), "__c", "left")
+                .join(classes, "__c", "left")
                 .withColumns({"__l": F.coalesce("__l", "__c"), "__z": F.coalesce("__z", F.lit(1).cast("long"))}))
         members = _open(left, "op2-left")
         if members.isEmpty():
             return links
-        centres = min(centres * 4, STEP)
+        centres = min(centres * 16, STEP)
 
 
 def _open(members: DataFrame, tag: str) -> DataFrame:
@@ -276,7 +278,7 @@ def _open(members: DataFrame, tag: str) -> DataFrame:
 def _classes(links: DataFrame) -> DataFrame:
     """Rows (``__c``, class ``__l``, its size ``__z``) of linked nodes."""
     found = components(links)
-    return found.join(found.groupBy("__l").agg(F.count(F.lit(1)).alias("__z")), "__l")
+    return cut_lineage(found.join(found.groupBy("__l").agg(F.count(F.lit(1)).alias("__z")), "__l"), "op2-sizes")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
