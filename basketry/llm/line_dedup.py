@@ -34,14 +34,16 @@ from ..session import cut_lineage
 from .common import BROADCAST_BYTES
 
 DEPTH, MIN_TOKENS, MIN_DOCS, SIMILARITY = 3, 4, 5, 0.6
-_FIELD = r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*"
+# a whole token with a digit; each token is read once (no step back)
+_FIELD = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
 
 
 def masked(line: Column) -> Column:
     """The line with single blanks and ``<*>`` for tokens that hold a digit.
     Most lines need neither change; the guards spare them the rewriting."""
-    flat = F.when(line.rlike(r"[\x09-\x0D]|  |^ | $"), F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " "))).otherwise(line)
-    return F.when(line.rlike("[0-9]"), F.regexp_replace(flat, _FIELD, "<*>")).otherwise(flat)
+    blanks = line.contains("  ") | line.startswith(" ") | line.endswith(" ")
+    flat = F.when(blanks | line.rlike(r"[\x09-\x0D]"), F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " "))).otherwise(line)
+    return F.when(blanks | line.rlike(r"[0-9\x09-\x0D]"), F.regexp_replace(flat, _FIELD, "<*>")).otherwise(line)
 
 
 def _digest(c: Column) -> Column:
@@ -126,10 +128,10 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.col("__list"), F.upper(F.md5(masked(x)))))
     got = got.withColumn("__list", F.when(F.col("__drop").isNotNull(), F.regexp_extract_all(
         "__drop", F.lit(f"[0-9A-F]{{{size}}}"), F.lit(0))))
-    got = got.withColumn("__cut", F.when(F.col("__list").isNotNull(), F.array_join(cut, "\n"))
-                         .otherwise(F.col(text_col)))
+    # the kept lines are a column of their own, so that they are worked out once
+    got = got.withColumn("__kept", F.when(F.col("__list").isNotNull(), cut))
     lines = lambda c: F.coalesce(F.length(c) - F.length(F.replace(c, F.lit("\n"), F.lit(""))) + 1, F.lit(0))
-    kept = F.when(F.col("__list").isNotNull(), F.size(cut)).otherwise(lines(F.col(text_col)))
     return (got.withColumn("n_lines", lines(F.col(text_col)).cast("long"))
-            .withColumn("n_dropped", (F.col("n_lines") - kept).cast("long"))
-            .withColumn(text_col, F.col("__cut")).drop("__cut", "__list", "__drop"))
+            .withColumn("n_dropped", F.when(F.col("__kept").isNotNull(), F.col("n_lines") - F.size("__kept")).otherwise(0).cast("long"))
+            .withColumn(text_col, F.when(F.col("__kept").isNotNull(), F.array_join("__kept", "\n")).otherwise(F.col(text_col)))
+            .drop("__kept", "__list", "__drop"))
