@@ -199,8 +199,8 @@ def components(links: DataFrame) -> DataFrame:
         labels = labels.select("__c", "__l")
 
 
-def _links(nodes: DataFrame, texts: DataFrame, threshold: float) -> DataFrame | None:
-    """Verified links between different texts, or None."""
+def _links(nodes: DataFrame, texts: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame] | None:
+    """Verified links between different texts and the classes they make, or None."""
     rows = nodes.select("__c", F.explode("__keys").alias("__k"))
     shared = rows.groupBy("__k").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1)
     members = cut_lineage(rows.join(shared, "__k"), "op2-members")
@@ -260,7 +260,7 @@ def _links(nodes: DataFrame, texts: DataFrame, threshold: float) -> DataFrame |
                 .withColumns({"__l": F.coalesce("__l", "__c"), "__z": F.coalesce("__z", F.lit(1).cast("long"))}))
         members = _open(left, "op2-left")
         if members.isEmpty():
-            return links
+            return links, classes
         centres = min(centres * 16, STEP)
 
 
@@ -293,15 +293,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sketched = cut_lineage(texts.mapInArrow(_sketch_batches, schema), "op2-sketch")
     nodes = cut_lineage(sketched.where(F.col("__c").isNotNull()).groupBy("__c").agg(
         F.min("__d").alias("__rep"), F.any_value("__keys").alias("__keys")), "op2-nodes")
-    links = _links(nodes, texts, threshold)
+    found = _links(nodes, texts, threshold)
     per = nodes.select("__c", "__rep")
-    if links is None:
+    if found is None:
         per = per.select("__c", F.col("__rep").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
     else:
-        links = cut_lineage(links.distinct(), "op2-links")
+        links, classes = found
         degree = (links.select(F.explode(F.array("__a", "__b")).alias("__c"))
                   .groupBy("__c").agg(F.count(F.lit(1)).alias("n_links")))
-        lab = components(links).join(per, "__c")
+        lab = classes.select("__c", "__l").join(per, "__c")
         first = lab.groupBy("__l").agg(F.min("__rep").alias("__min"))
         lab = lab.join(first, "__l").select("__c", "__min")
         per = (per.join(lab, "__c", "left").join(degree, "__c", "left")
