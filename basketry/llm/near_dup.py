@@ -284,8 +284,9 @@ def _classes(links: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
                     threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with ``class_id`` (smallest id of the class), ``n_links``
-    (links verified on the way from the row's text to different texts) and ``text_key``
-    (digest of the word sequence, null without words)."""
+    (links verified on the way from the row's text to different texts), ``text_key``
+    (digest of the word sequence, null without words) and ``class_key`` (smallest
+    ``text_key`` of the class: ids may repeat or be null, it tells classes apart)."""
     texts = docs.select(F.col(id_col).alias("__d"), F.col(text_col).alias("__t"))
     kind = texts.schema["__d"].dataType
     schema = T.StructType([T.StructField("__d", kind), T.StructField("__c", T.BinaryType()),
@@ -296,36 +297,50 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = _links(nodes, texts, threshold)
     per = nodes.select("__c", "__rep")
     if found is None:
-        per = per.select("__c", F.col("__rep").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
+        per = per.select("__c", F.col("__rep").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.col("__c").alias("class_key"))
     else:
         links, classes = found
         degree = (links.select(F.explode(F.array("__a", "__b")).alias("__c"))
                   .groupBy("__c").agg(F.count(F.lit(1)).alias("n_links")))
         lab = classes.select("__c", "__l").join(per, "__c")
         first = lab.groupBy("__l").agg(F.min("__rep").alias("__min"))
-        lab = lab.join(first, "__l").select("__c", "__min")
+        lab = lab.join(first, "__l").select("__c", "__l", "__min")
         per = (per.join(lab, "__c", "left").join(degree, "__c", "left")
-               .select("__c", F.coalesce("__min", "__rep").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
+               .select("__c", F.coalesce("__min", "__rep").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
+                       F.coalesce("__l", "__c").alias("class_key")))
     per = cut_lineage(per, "op2-classes")
     rows = sketched.select("__d", "__c")
     return rows.join(per, "__c", "left").select(
         F.col("__d").alias(id_col), F.when(F.col("__c").isNull(), F.col("__d")).otherwise(F.col("class_id")).alias("class_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.col("__c").alias("text_key"))
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.col("__c").alias("text_key"), "class_key")
+
+
+@F.arrow_udf(T.BinaryType())
+def _text_key(texts: pa.Array) -> pa.Array:
+    batch, keys = pa.RecordBatch.from_arrays([texts], ["__t"]), []
+    for _, _, data, off in tk.pieces(batch, "__t"):
+        count, one, two, _, _ = _kmers(data, off)
+        keys.append(_digests(one, two, count > 0))
+    return pa.concat_arrays(keys) if keys else pa.array([], pa.binary())
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
-    """``docs`` with one row left of each class (the smallest id); rows whose
-    text has no words all stay. Repeated rows of the kept document are one row."""
+    """``docs`` with one row left of each class: the smallest id (null last),
+    then the smallest ``text_key``, then the smallest text. Rows whose text has
+    no words all stay."""
     found = near_duplicates(docs, id_col, text_col, **params).where(F.col("text_key").isNotNull())
-    per_id = cut_lineage(found.groupBy(id_col, "text_key").agg(
-        F.any_value("class_id").alias("__class"), F.count(F.lit(1)).alias("__n")), "op2-per-id")
-    gone = cut_lineage(per_id.where(~F.col(id_col).eqNullSafe(F.col("__class")))
-                       .select(F.col(id_col).alias("__gone")).distinct(), "op2-gone")
-    left = docs.join(gone.hint("shuffle_hash"), docs[id_col].eqNullSafe(gone["__gone"]), "left_anti")
-    again = cut_lineage(per_id.where((F.col("__n") > 1) & F.col(id_col).eqNullSafe(F.col("__class")))
-                        .select(F.col(id_col).alias("__again")).distinct(), "op2-again")
-    if again.isEmpty():
-        return left
-    twice = left[id_col].eqNullSafe(again["__again"])
-    return left.join(again, twice, "left_anti").unionByName(
-        left.join(again, twice, "left_semi").dropDuplicates([id_col, text_col]))
+    per = cut_lineage(found.groupBy(F.col(id_col).alias("__id"), F.col("text_key").alias("__key")).agg(
+        F.any_value("class_key").alias("__class"), F.count(F.lit(1)).alias("__n")), "op2-per-id")
+    # ids may be null or repeated: a row is decided on by its id and text together
+    first = F.min(F.struct(F.col("__id").isNull().alias("__null"), "__id", "__key", "__n"))
+    kept = cut_lineage(per.groupBy("__class").agg(first.alias("__x")).select("__x.__id", "__x.__key", "__x.__n"), "op2-kept")
+    keyed = docs.withColumn("__text_key", _text_key(text_col))
+    mine = keyed[id_col].eqNullSafe(kept["__id"]) & (keyed["__text_key"] == kept["__key"])
+    left = (keyed.join(kept.hint("shuffle_hash"), mine, "left")
+            .where(F.col("__text_key").isNull() | F.col("__n").isNotNull()).drop("__id", "__key"))
+    if kept.where(F.col("__n") > 1).isEmpty():
+        return left.select(docs.columns)
+    left = cut_lineage(left, "op2-kept-rows")
+    again = (left.where(F.col("__n") > 1).groupBy(id_col, "__text_key")
+             .agg(F.min_by(F.struct(*docs.columns), text_col).alias("__row")).select("__row.*"))
+    return left.where(F.col("__n").isNull() | (F.col("__n") == 1)).select(docs.columns).unionByName(again)

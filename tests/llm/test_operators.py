@@ -73,6 +73,25 @@ def test_near_duplicates(odd_docs):
     assert left.count(8) == 2 and 2 not in left and 3 not in left and {1, 4, 5, 6, 9} <= set(left)
 
 
+def test_keep_first_under_null_and_repeated_ids(spark):
+    rng = np.random.default_rng(11)
+    prose = lambda: " ".join(f"w{x}" for x in rng.integers(0, 5000, 60))
+    near = lambda t: " ".join([*t.split()[:-1], "changed"])
+    a, b, c, d, e, f = (prose() for _ in range(6))
+    rows = [(1, a), (None, a), (None, near(a)),  # a class with an id and with none
+            (None, b), (None, ""), (None, None), (None, "!!"),  # unique or without words: all stay
+            (None, c), (None, near(c)),  # a class of null ids only
+            (7, d), (7, near(d)), (7, e),  # one id, two near copies and another text
+            (8, a), (8, f), (8, f.upper())]  # an id that goes in one class and stays in another
+    df = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, m int").repartition(4)
+    assert keep_first(df).columns == df.columns
+    left = [(r[0], r[1]) for r in keep_first(df).collect()]
+    assert sum(t in (a, near(a)) for _, t in left) == 1 and (1, a) in left
+    assert {(None, b), (None, ""), (None, None), (None, "!!"), (7, e), (8, f.upper())} <= set(left)
+    assert sum(t in (c, near(c)) for _, t in left) == 1 and sum(t in (d, near(d)) for _, t in left) == 1
+    assert len(left) == 9
+
+
 def test_alignment_is_ordered():
     a = np.arange(100, dtype=np.uint64)
     assert aligned(a, a) == 1
