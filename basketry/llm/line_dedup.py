@@ -7,8 +7,13 @@ tokens, the next ``depth`` levels are the leading tokens, so one hash of
 a token at a position when more than half of the leaf's lines, each weighted by
 its documents, have it there and generalises the position to ``<*>`` otherwise; a line belongs to the leaf's
 template when at least ``similarity`` of its positions after the leading ones
-equal a kept token, else the masked line is a template of its own. The vote is
-order-free: the result does not depend on how rows arrive.
+equal a kept token. A leaf holds several templates: lines that miss it vote
+again among themselves, and a group that finds no template is split by its
+tokens at one position, that of the most frequent token not common to all, so
+that each family is judged by its own weight. This goes on until no group of
+several lines has ``min_docs`` documents; a line left over is a template of its
+own in its masked form. The vote is order-free: the result does not depend on
+how rows arrive.
 
 A template found in ``min_docs`` or more documents recurs: its lines stay in
 the document with the smallest id and are dropped from all others.
@@ -62,6 +67,42 @@ def _leaf(depth: int) -> Column:
     return F.concat_ws(" ", F.col("__n").cast("string"), F.substring_index("__m", " ", depth))
 
 
+def _templates(words: DataFrame, min_docs: int, similarity: float) -> DataFrame:
+    """Rows (``__k`` line, ``__tpl``): the lines of a leaf's templates. A leaf
+    is one group at first; lines that miss their group's template are grouped
+    anew until no group with several lines has enough documents."""
+    words = words.withColumnRenamed("__leaf", "__tpl")
+    found = None
+    while True:
+        # a token that more than half of the group's lines (weighted by documents) have at a position
+        weight = cut_lineage(words.groupBy("__tpl", "__p", "__w").agg(F.sum("__docs").alias("__v"), F.first("__sum").alias("__sum")), "op1-weight")
+        votes = weight.where(F.col("__v") * 2 > F.col("__sum")).select("__tpl", "__p", "__w", F.lit(1).alias("__hit"))
+        scored = cut_lineage(
+            words.join(votes, ["__tpl", "__p", "__w"], "left").groupBy("__tpl", "__k")
+            .agg(F.avg(F.coalesce("__hit", F.lit(0))).alias("__sim"), F.first("__docs").alias("__docs"), F.first("__sum").alias("__sum")), "op1-scored")
+        hits = scored.where(F.col("__sim") >= similarity).select("__k", "__tpl")
+        found = hits if found is None else found.unionByName(hits)
+        missed = scored.where(F.col("__sim") < similarity)
+        again = (missed.groupBy("__tpl").agg(F.sum("__docs").alias("__left"), F.count(F.lit(1)).alias("__lines"), F.first("__sum").alias("__sum"))
+                 .where((F.col("__lines") > 1) & (F.col("__left") >= min_docs))
+                 .select("__tpl", (F.col("__left") == F.col("__sum")).alias("__split")))
+        # a group without a template is split by its tokens at the position of the most frequent one that not all lines have
+        at = (weight.where(F.col("__v") < F.col("__sum")).groupBy("__tpl")
+              .agg(F.max(F.struct("__v", -F.col("__p"))).alias("__top")).select("__tpl", (-F.col("__top.col2")).alias("__at")))
+        again = again.join(at, "__tpl")
+        lines = missed.select("__tpl", "__k").join(again, "__tpl")
+        by = (words.join(lines, ["__tpl", "__k"]).where(F.col("__p") == F.col("__at"))
+              .select("__k", "__tpl", "__docs", _digest(F.concat_ws(" ", F.hex("__tpl"), F.when(F.col("__split"), F.concat_ws(
+                  " ", F.col("__at").cast("string"), F.col("__w"))))).alias("__new")))
+        total = by.groupBy("__new").agg(F.sum("__docs").alias("__sum"), F.count(F.lit(1)).alias("__lines"))
+        total = total.where((F.col("__lines") > 1) & (F.col("__sum") >= min_docs)).drop("__lines")
+        moved = by.select("__tpl", "__k", "__new").join(total, "__new")
+        words = cut_lineage(words.drop("__sum").join(moved, ["__tpl", "__k"]).drop("__tpl")
+                            .withColumnRenamed("__new", "__tpl"), "op1-words")
+        if words.isEmpty():
+            return found
+
+
 def line_templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
                    depth: int = DEPTH, min_tokens: int = MIN_TOKENS,
                    min_docs: int = MIN_DOCS, similarity: float = SIMILARITY) -> DataFrame:
@@ -92,13 +133,7 @@ def line_templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         lines.join(asked.select("__leaf", "__sum", "__k", "__docs"), "__k")
         .select("__leaf", "__sum", "__k", "__docs", F.posexplode("__ws").alias("__p", "__w"))
         .where(F.col("__p") >= depth), "op1-words")
-    # a token that more than half of the leaf's lines (weighted by documents) have at a position
-    votes = (words.groupBy("__leaf", "__p", "__w").agg(F.sum("__docs").alias("__v"), F.first("__sum").alias("__sum"))
-             .where(F.col("__v") * 2 > F.col("__sum"))
-             .select("__leaf", "__p", "__w", F.lit(1).alias("__hit")))
-    member = (words.join(votes, ["__leaf", "__p", "__w"], "left")
-              .groupBy("__leaf", "__k").agg(F.avg(F.coalesce("__hit", F.lit(0))).alias("__sim"))
-              .where(F.col("__sim") >= similarity).select("__k", F.col("__leaf").alias("__tpl")))
+    member = _templates(words, min_docs, similarity)
     # a leaf digest and a line digest never meet: the leaf's text starts with a count
     member = cut_lineage(member, "op1-member")
     tagged = (join_small(occ.select("__d", "__k"), member, "__k", "left", BROADCAST_BYTES)

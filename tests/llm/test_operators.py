@@ -34,6 +34,23 @@ def test_line_dedup_matches_sql(spark, odd_docs, duck, as_table):
     assert sum(r[2] for r in rows) > 0
 
 
+@pytest.mark.parametrize("shares", [(6, 6), (8, 8, 4), (6, 6, 6, 6), (6, 6, 60)])
+def test_line_dedup_finds_all_templates_of_a_leaf(spark, shares):
+    kinds = ["disk {} on rack {} was mounted read only", "user {} from city {} logged in again", "cron {} at host {} finished without any error",
+             "page {} in book {} could not be found"]
+    name = lambda x: "".join(chr(97 + int(c)) for c in str(x))
+    rows, first = [], set()
+    for kind, n in zip(kinds, shares):
+        first |= {len(rows)} if n >= 5 else set(range(len(rows), len(rows) + n))
+        rows += [(len(rows) + i, "system event log " + kind.format(name(len(rows) + i), name(1000 + len(rows) + i))) for i in range(n)]
+    size = {len(t.split()) for _, t in rows}
+    rows = [(i, t + " x" * (max(size) - len(t.split()))) for i, t in rows]  # one leaf
+    rows += [(500 + i, "system event log " + " ".join(f"{name(i)}{c}" for c in "abcdefghij"[:max(size) - 3])) for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    kept = {r["doc_id"] for r in line_dedup(df).collect() if not r["n_dropped"]}
+    assert kept == first | {500 + i for i in range(20)}
+
+
 def test_mixing_matches_sql(odd_docs, duck, as_table):
     as_table("documents", odd_docs)
     rows = [tuple(r) for r in mix(odd_docs).select("doc_id", "size", "source_size", "target", "taken").collect()]
