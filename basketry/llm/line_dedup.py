@@ -39,6 +39,7 @@ from ..session import cut_lineage
 from .common import BROADCAST_BYTES
 
 DEPTH, MIN_TOKENS, MIN_DOCS, SIMILARITY = 3, 4, 5, 0.6
+LONG_TOKENS, LONG_DOCS = 20, 2
 # a whole token with a digit; each token is read once (no step back)
 _FIELD = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
 
@@ -147,10 +148,32 @@ def line_templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             .select("__d", "__k"))
 
 
+def long_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
+               min_tokens: int = LONG_TOKENS, min_docs: int = LONG_DOCS) -> DataFrame:
+    """Rows (``__d``, ``__k``) as ``line_templates`` has them: masked lines of at
+    least ``min_tokens`` tokens that ``min_docs`` or more documents share."""
+    src = docs.select(F.col(id_col).alias("__d"), F.col(text_col).alias("__t"))
+    occ = cut_lineage(_lines(src, min_tokens).select("__d", _digest(F.col("__m")).alias("__k")).distinct(), "op1-long")
+    recurring = cut_lineage(occ.groupBy("__k").agg(F.count(F.lit(1)).alias("__docs"), F.min("__d").alias("__first"))
+                            .where(F.col("__docs") >= min_docs).select("__k", "__first"), "op1-long-recurring")
+    return (join_small(occ, recurring, "__k", "inner", BROADCAST_BYTES)
+            .where(F.col("__d").isNull() | (F.col("__d") != F.col("__first"))).select("__d", "__k"))
+
+
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
     """``docs`` with ``text_col`` cleared of recurring lines, plus ``n_lines``
     and ``n_dropped`` (0 for a null text)."""
-    drops = line_templates(docs, id_col, text_col, **params)
+    return _cleared(docs, line_templates(docs, id_col, text_col, **params), id_col, text_col)
+
+
+def long_line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
+    """``line_dedup`` by the rule of ``long_lines``. A copied passage recurs in
+    two documents already; near copies of whole documents should be gone
+    before, else they are left as fragments."""
+    return _cleared(docs, long_lines(docs, id_col, text_col, **params), id_col, text_col)
+
+
+def _cleared(docs: DataFrame, drops: DataFrame, id_col: str, text_col: str) -> DataFrame:
     lists = cut_lineage(
         drops.groupBy("__d").agg(F.concat_ws("", F.sort_array(F.collect_set(F.hex("__k")))).alias("__drop"))
         .withColumnRenamed("__d", "__id"), "op1-drops")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from basketry.llm import quality as rating
 from basketry.llm.common import read
 from basketry.llm.decontam import decontaminate
-from basketry.llm.line_dedup import line_dedup
+from basketry.llm.line_dedup import line_dedup, long_line_dedup
 from basketry.llm.mixing import mix
 from basketry.llm.near_dup import keep_first
 from basketry.session import cut_lineage
@@ -29,15 +29,20 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Recurring lines go from all documents but the first; no document goes."""
-    got = line_dedup(docs)
+    return _with_chars(docs, line_dedup(docs))
+
+
+def _with_chars(docs: DataFrame, got: DataFrame) -> DataFrame:
     if "n_chars" in docs.columns:
         got = got.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return got.select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class stays."""
-    return keep_first(docs).select(docs.columns)
+    """One document of each near-duplicate class stays; long lines that two or
+    more of these still share go from all but the first."""
+    left = cut_lineage(keep_first(docs).select(docs.columns), "pipeline-left")
+    return _with_chars(left, long_line_dedup(left))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

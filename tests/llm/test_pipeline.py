@@ -30,3 +30,14 @@ def test_stages(spark, duck, as_table):
         docs = got
     assert seen["lines"][0] == seen["lines"][1]
     assert all(0 < b <= a for a, b in seen.values())
+
+
+def test_long_lines_of_two_documents(spark):
+    words = lambda tag, n: " ".join(f"{tag}{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(n))
+    passage, short = words("p", 60), words("s", 12)
+    texts = {1: [words("a", 70), passage, short], 2: [words("b", 70), passage], 3: [words("c", 70), short], None: [passage, words("d", 70)], 5: [words("e", 60)]}
+    df = spark.createDataFrame([(i, "\n".join(x), len("\n".join(x))) for i, x in texts.items()], "doc_id long, text string, n_chars int")
+    docs = cut_lineage(P.lines(spark, df, SF), "test-lines")
+    got = {r[0]: (r[1], r[2]) for r in P.near_duplicates(spark, docs, SF).collect()}
+    want = {i: "\n".join(x) for i, x in texts.items()} | {2: words("b", 70), None: words("d", 70)}
+    assert got == {i: (t, len(t)) for i, t in want.items()}
