@@ -145,4 +145,26 @@ SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC,
 FROM s QUALIFY rank <= 5"""
 
 
-ORACLE = {"op1_line_dedup": OP1, "op3_mixing": OP3, "op4_decontamination": OP4, "op10_top_k": OP10}
+# Turns as given; their formatted length follows from the template: 17 characters
+# of markers, a backslash for each backslash and each control string.
+OP13 = r"""
+WITH chat AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+placed AS (
+  SELECT *, row_number() OVER w AS p, count(*) OVER (PARTITION BY conv_id) AS n,
+    17 + length(role) + length(text) + len(regexp_extract_all(role || ' ' || text, '\\|</?s>|\[/?INST\]')) AS chars
+  FROM chat WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+prefix AS (
+  SELECT *, 3 + sum(chars) OVER (PARTITION BY conv_id ORDER BY p) AS upto FROM placed)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY p)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY p) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(upto) FILTER (role = 'assistant' OR p = n)::BIGINT AS formatted_chars
+FROM prefix GROUP BY conv_id"""
+
+
+ORACLE = {"op1_line_dedup": OP1, "op3_mixing": OP3, "op4_decontamination": OP4, "op10_top_k": OP10,
+          "op13_chat_format": OP13}
