@@ -145,6 +145,37 @@ SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC,
 FROM s QUALIFY rank <= 5"""
 
 
+def _centroid_rounds(rounds: int) -> str:
+    """CTEs ``c0`` to ``c{rounds}`` (centroids) and ``a0`` to ``a{rounds}`` (assignments)."""
+    parts = []
+    for r in range(rounds + 1):
+        parts.append(f"""
+a{r} AS MATERIALIZED (
+  SELECT row, arg_min(k, d * 64 + k) AS k, min(d) AS d FROM (
+    SELECT v.row, c.k, list_sum(list_transform(range(1, 65), lambda i: (v.e[i] - c.e[i]) * (v.e[i] - c.e[i])))::BIGINT AS d
+    FROM v CROSS JOIN c{r} AS c) AS x GROUP BY row)""")
+        if r < rounds:
+            parts.append(f"""
+s{r} AS MATERIALIZED (
+  SELECT k, list(floor_sum ORDER BY i) AS e FROM (
+    SELECT a.k, i, (sum(v.e[i]) - ((sum(v.e[i]) % count(*)) + count(*)) % count(*)) // count(*) AS floor_sum
+    FROM a{r} AS a JOIN v USING (row), range(1, 65) AS g(i) GROUP BY a.k, i) AS y GROUP BY k),
+c{r + 1} AS MATERIALIZED (SELECT c.k, coalesce(s.e, c.e) AS e FROM c{r} AS c LEFT JOIN s{r} AS s USING (k))""")
+    return ",".join(parts)
+
+
+OP12 = f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), e) - 1 AS k, e FROM v WHERE vec_id IS NOT NULL
+  QUALIFY k < 40),{_centroid_rounds(5)}
+SELECT v.vec_id, a.k::INTEGER AS cluster, a.d AS distance, sum(a.d) OVER (PARTITION BY a.k)::BIGINT AS cluster_inertia,
+  sum(a.d) OVER ()::BIGINT AS inertia, sha256(array_to_string(c.e, ',')) AS centroid_sha256
+FROM a5 AS a JOIN v USING (row) JOIN c5 AS c USING (k)"""
+
+
 # Turns as given; their formatted length follows from the template: 17 characters
 # of markers, a backslash for each backslash and each control string.
 OP13 = r"""
@@ -167,4 +198,4 @@ FROM prefix GROUP BY conv_id"""
 
 
 ORACLE = {"op1_line_dedup": OP1, "op3_mixing": OP3, "op4_decontamination": OP4, "op10_top_k": OP10,
-          "op13_chat_format": OP13}
+          "op12_centroids": OP12, "op13_chat_format": OP13}
