@@ -145,6 +145,71 @@ SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC,
 FROM s QUALIFY rank <= 5"""
 
 
+def _put(x: str, cost, letters: str) -> str:
+    """A repair (nine digits of cost, then the edits) with more edits."""
+    return f"(lpad((left({x}, 9)::BIGINT + {cost})::VARCHAR, 9, '0') || substr({x}, 10) || '{letters}')"
+
+
+# Conversations step by step: x0 to x3 are the cheapest repairs of the rows so far that
+# end at the start, after s, after u, after a; p0 to p3 those with inserts behind them.
+_STAY = "CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END"
+_MAY = "fault NOT IN ('blank', 'duplicate')"
+_TO_U = "least(p0, p1, p3)"
+OP11 = f"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(list_reduce(list_prepend(b, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+              ORDER BY b) AS t FROM range(256) AS r(b)),
+given AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+hurt AS (
+  SELECT conv_id, turn, role, text, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(k, ''), lambda x: ascii(x)::BIGINT)),
+      lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 20 AS h FROM given, crc_table),
+row AS (
+  SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN h = 1 THEN '' WHEN h = 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM hurt, range(2) AS copies(c) WHERE h <> 0 AND (c = 0 OR h = 3)),
+placed AS MATERIALIZED (
+  SELECT *, row_number() OVER w AS p, left(role, 1) AS r, coalesce(left(lag(role) OVER w, 1) || left(role, 1) NOT IN ('su', 'ua', 'au'), false) AS wrong,
+    rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS cut
+  FROM row WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(role || chr(10) || text))),
+fault AS MATERIALIZED (
+  SELECT *, CASE WHEN cut = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY p) > 1 THEN 'duplicate' WHEN right(cut, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+  FROM placed),
+walk AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS p, '000000000' AS x0, NULL::VARCHAR AS x1, NULL::VARCHAR AS x2, NULL::VARCHAR AS x3 FROM fault
+  UNION ALL
+  SELECT conv_id, p, {_put('p0', 2, 'D')}, least({_put('p1', 2, 'D')}, CASE WHEN {_MAY} AND r = 's' THEN {_put('p0', _STAY, 'K')} END),
+    least({_put('p2', 2, 'D')}, CASE WHEN {_MAY} THEN {_put(_TO_U, '1 + ' + _STAY, 'R')} END, CASE WHEN {_MAY} AND r = 'u' THEN {_put(_TO_U, _STAY, 'K')} END),
+    least({_put('p3', 2, 'D')}, CASE WHEN {_MAY} THEN {_put('p2', '1 + ' + _STAY, 'R')} END, CASE WHEN {_MAY} AND r = 'a' THEN {_put('p2', _STAY, 'K')} END)
+  FROM (SELECT conv_id, p, r, fault, x0 AS p0, x1 AS p1,
+      least(x2, {_put('x0', 5, 'I')}, {_put('x1', 5, 'I')}, {_put('x3', 5, 'I')}) AS p2,
+      least(x3, {_put('x2', 5, 'I')}, {_put('x0', 10, 'II')}, {_put('x1', 10, 'II')}) AS p3
+    FROM (SELECT f.conv_id, f.p, f.r, f.fault, x0, x1, x2, x3 FROM walk AS w JOIN fault AS f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.p = w.p + 1) AS met) AS before_row),
+best AS MATERIALIZED (
+  SELECT conv_id, arg_max(least(x0, x3, {_put('x2', 5, 'I')}, {_put('x1', 10, 'II')}), p) AS x FROM walk GROUP BY conv_id),
+edit AS (
+  SELECT conv_id, unnest(string_split(substr(x, 10), '')) AS e, unnest(range(1, length(x) - 8)) AS i FROM best),
+step AS (
+  SELECT *, sum((e <> 'I')::INT) OVER w AS p, sum((e <> 'D')::INT) OVER w AS m FROM edit WINDOW w AS (PARTITION BY conv_id ORDER BY i)),
+line AS (
+  SELECT s.conv_id, s.i, s.m, s.e, f.role, f.text, max((s.m = 1 AND s.e = 'K' AND f.r = 's')::INT) OVER (PARTITION BY s.conv_id) AS s_first
+  FROM step AS s LEFT JOIN fault AS f ON f.conv_id IS NOT DISTINCT FROM s.conv_id AND f.p = s.p AND s.e <> 'I' WHERE s.e <> 'D'),
+fixed AS (
+  SELECT conv_id, string_agg(CASE WHEN e = 'K' THEN role WHEN (m - s_first) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || coalesce(text, ''), chr(10) ORDER BY i) AS whole
+  FROM line GROUP BY conv_id),
+counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (wrong) AS illegal
+  FROM fault GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(left(x, 9), '0')::BIGINT AS cost,
+  coalesce(substr(x, 10), '') AS audit, sha256(coalesce(whole, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS o
+LEFT JOIN counted AS c ON c.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN best AS b ON b.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN fixed AS f ON f.conv_id IS NOT DISTINCT FROM o.conv_id"""
+
+
 def _centroid_rounds(rounds: int) -> str:
     """CTEs ``c0`` to ``c{rounds}`` (centroids) and ``a0`` to ``a{rounds}`` (assignments)."""
     parts = []
@@ -198,4 +263,4 @@ FROM prefix GROUP BY conv_id"""
 
 
 ORACLE = {"op1_line_dedup": OP1, "op3_mixing": OP3, "op4_decontamination": OP4, "op10_top_k": OP10,
-          "op12_centroids": OP12, "op13_chat_format": OP13}
+          "op11_repair": OP11, "op12_centroids": OP12, "op13_chat_format": OP13}

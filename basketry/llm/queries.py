@@ -14,6 +14,7 @@ from .decontam import decontaminate
 from .line_dedup import line_dedup
 from .mixing import mix
 from .near_dup import near_duplicates
+from .repair import repair
 from .secrets import new_ledger, secret_scan
 from .suffix_dedup import dedup_substrings
 from .topk import top_k
@@ -81,6 +82,18 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(read(spark, sf_dir, "embeddings"), F.col("__i") % 50 == 0)
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    text_of = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    harm = F.crc32(F.concat(text_of("conv_id"), F.lit(":"), text_of("turn"))) % 20
+    harmed = given.select("conv_id", "turn", text_of("role").alias("role"), text_of("text").alias("text"), harm.alias("harm")).where("harm <> 0")
+    harmed = harmed.select(
+        "conv_id", "turn", F.when(F.col("harm") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("harm") == 1, "").when(F.col("harm") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text")).alias("text"),
+        F.explode(F.array_repeat(F.lit(0), F.when(F.col("harm") == 3, 2).otherwise(1))).alias("copy")).drop("copy")
+    return repair(harmed, given)
+
+
 def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = cluster(read(spark, sf_dir, "embeddings"))
     return got.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia",
@@ -110,4 +123,4 @@ def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY = {f.__name__: f for f in (
     op1_line_dedup, op2_minhash_near_dup, op3_mixing, op4_decontamination, op5_secret_scan,
     op6_language_id, op7_suffix_dedup, op8_quality, op9_lm_score, op10_top_k,
-    op12_centroids, op13_chat_format)}
+    op11_repair, op12_centroids, op13_chat_format)}
