@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from basketry.queries import REGISTRY
+from basketry.sql_oracle import ORACLE
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["part", "orders", "lineitem", "customer"]
@@ -33,15 +35,15 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    missing = set(E.queries()) - set(E.oracle_sql())
-    assert missing == set()
+    assert set(REGISTRY) - set(ORACLE) == set()
+    assert set(REGISTRY) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF)
+    df = REGISTRY[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
-    res = con.sql(E.oracle_sql()[name])
+    res = con.sql(ORACLE[name])
     orows = res.fetchall()
     assert sorted(df.columns) == sorted(res.columns)
     assert len(rows) == len(orows)
