@@ -166,7 +166,7 @@ class Models:
             return fn(self.customer_360, **kw)
         if name == "rpt_top_products":
             return fn(self.product_performance, **kw)
-        if name in ("rpt_departments", "rpt_top_reordered", "rpt_first_in_cart"):
+        if name in ("rpt_departments", "rpt_top_reordered", "rpt_first_in_cart", "rpt_pairs"):
             return fn(self.fact_order_products, self.dim_products, **kw)
         if name == "rpt_basket_by_segment":
             return fn(self.fact_orders, self.dim_users, **kw)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import round_n, safe_divide
 from ..operators.joins import join_small
+from ..operators.pairs import top_pairs
 
 # The limits and the popularity threshold of the dashboard.
 TOP_PRODUCTS_MIN_TIMES, TOP_PRODUCTS_LIMIT = 1000, 15
@@ -175,6 +176,26 @@ def rpt_first_in_cart(fact_order_products: DataFrame, dim_products: DataFrame,
             .limit(limit))
 
 
+PAIRS_LIMIT = 20
+
+
+def rpt_pairs(fact_order_products: DataFrame, dim_products: DataFrame, limit: int = PAIRS_LIMIT) -> DataFrame:
+    """Products most often bought together: the pairs that share most orders,
+    with the orders of each product (ties go to the smaller ids). Exact, by a
+    support bound (:mod:`basketry.operators.pairs`); only the ``limit`` pairs
+    meet the catalog. Pairs of products the catalog does not have are left out
+    beforehand, as the inner join of the other reports does."""
+    catalog = _current_products(dim_products).select("product_id", "product_name")
+    known = join_small(fact_order_products.select("order_id", "product_id"), catalog.select("product_id"), "product_id", "left_semi")
+    top = top_pairs(known, "order_id", "product_id", limit)
+    for side in ("a", "b"):
+        names = catalog.select(F.col("product_id").alias(f"item_{side}"), F.col("product_name").alias(f"product_{side}"))
+        top = names.join(F.broadcast(top), f"item_{side}")  # at most ``limit`` rows
+    return (top.select(F.col("item_a").alias("product_id_a"), "product_a", F.col("item_b").alias("product_id_b"), "product_b",
+                       F.col("baskets").alias("orders_together"), F.col("baskets_a").alias("orders_a"), F.col("baskets_b").alias("orders_b"))
+            .orderBy(F.desc("orders_together"), "product_id_a", "product_id_b"))
+
+
 def upper_columns(df: DataFrame) -> DataFrame:
     """Result columns upper-cased, as the dashboard presents them."""
     return df.toDF(*[c.upper() for c in df.columns])

@@ -92,7 +92,7 @@ for _r in ["rpt_kpi", "rpt_segments", "rpt_loyalty", "rpt_frequency", "rpt_segme
            "rpt_top_products"]:
     register(_r)(_report(_r))
 
-for _r in ["rpt_basket_by_segment", "rpt_first_in_cart"]:
+for _r in ["rpt_basket_by_segment", "rpt_first_in_cart", "rpt_pairs"]:
     register(_r)(_report(_r))
 
 
