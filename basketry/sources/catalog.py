@@ -30,7 +30,10 @@ def publish(spark: SparkSession, root: str, names: Iterable[str], schema: str) -
     ensure_schema(spark, schema)
     published = []
     for name in names:
-        parts = " UNION ALL ".join(f"SELECT * FROM parquet.`{p}`" for p in tables.paths(spark, root, name))
+        columns, folders = tables.columns_by_segment(spark, root, name)
+        parts = " UNION ALL ".join("SELECT " + ", ".join(
+            f"`{f.name}`" if f.name in have else f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in columns.fields)
+            + f" FROM parquet.`{folder}`" for folder, have in folders.items())
         spark.sql(f"CREATE OR REPLACE VIEW `{schema}`.`{name}` AS {parts}")
         published.append(f"{schema}.{name}")
     return published

@@ -2,9 +2,10 @@
 
 Layout of a table ``root/name``::
 
-    data/seg=000001/part-*.parquet   a segment: rows written by one commit
+    data/seg=000001/part-*.parquet   a segment: rows of one load
     data/seg=000003/part-*.parquet
-    _versions/000003                 marker: the segments of version 3
+    keys/seg=000003/part-*.parquet   the segment's Bloom filter, one row per word
+    _versions/000003                 marker: segments, schema and key bounds of version 3
 
 A commit writes its rows to a new segment folder (Spark's job commit makes
 it appear whole) and only then creates the version's marker, listing the
@@ -17,9 +18,20 @@ overwrites. One writer per table.
 * :func:`commit` writes a whole new version (one segment).
 * :func:`append` adds rows as one more segment: an incremental load costs
   the size of the batch, not of the table. :func:`compact` rewrites the table
-  into one segment; nothing calls it by itself.
-* :func:`upsert_commit` appends when no update key is already present (the
-  usual daily case), else writes the merged table as a new version.
+  into one segment, :func:`expire` deletes versions no longer wanted; nothing
+  calls them by itself.
+* :func:`upsert_commit` adds the updates as a segment. Where update keys are in
+  the table already, only the segments that hold them are rewritten, in one
+  write with dynamic partition overwrite of the new segments' folders; all
+  other files stay.
+* The marker keeps the *schema* of its version. Segments written before a column
+  was added are read with NULL in it; nothing is rewritten for it.
+* With ``prune`` (a column that the key determines) each segment has the bounds
+  of that column in the marker and a blocked Bloom filter next to its rows: one
+  64-bit word per :data:`KEYS_PER_WORD` keys, made and probed by joins on the
+  word, so it grows with the data and never passes through the driver.
+  :func:`holding` names the segments that may hold given keys; the others are
+  not scanned.
 
 Markers go through the Hadoop FileSystem of the path (HDFS, object store or
 local), so bookkeeping costs no Spark job.
@@ -27,11 +39,15 @@ local), so bookkeeping costs no Spark job.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+# Keys per word and bits set per key: one absent key in some 200 passes.
+KEYS_PER_WORD, BITS_PER_KEY = 4, 4
 _END = "end"  # last line of a whole marker
 
 
@@ -61,15 +77,15 @@ def _numbers(spark: SparkSession, root: str, name: str) -> list[int]:
     return sorted(int(s.getPath().getName()) for s in fs.listStatus(p) if s.getPath().getName().isdigit())
 
 
-def _marker(spark: SparkSession, root: str, name: str, version: int) -> list[int] | None:
-    """The segments a marker lists, or None when its writer crashed midway."""
+def _marker(spark: SparkSession, root: str, name: str, version: int) -> dict | None:
+    """What a marker says, or None when its writer crashed midway."""
     fs, p = _fs(spark, f"{_base(root, name)}/_versions/{version:06d}")
     stream = fs.open(p)
     try:
-        lines = _jvm(spark).org.apache.commons.io.IOUtils.toString(stream, "UTF-8").split()
+        lines = _jvm(spark).org.apache.commons.io.IOUtils.toString(stream, "UTF-8").splitlines()
     finally:
         stream.close()
-    return [int(x) for x in lines[:-1]] if lines[-1:] == [_END] else None
+    return json.loads(lines[0]) if len(lines) == 2 and lines[1] == _END else None
 
 
 def versions(spark: SparkSession, root: str, name: str) -> list[int]:
@@ -84,7 +100,11 @@ def current_version(spark: SparkSession, root: str, name: str) -> int | None:
 
 
 def _next_version(spark: SparkSession, root: str, name: str) -> int:
-    return max(_numbers(spark, root, name), default=0) + 1
+    """Above every marker and every listed segment (rewritten segments take
+    numbers behind their version's own)."""
+    numbers = _numbers(spark, root, name)
+    current = next((m for v in reversed(numbers) if (m := _marker(spark, root, name, v))), None)
+    return max([*numbers, *(s["id"] for s in current["segments"])] if current else numbers, default=0) + 1
 
 
 def exists(spark: SparkSession, root: str, name: str) -> bool:
@@ -92,15 +112,34 @@ def exists(spark: SparkSession, root: str, name: str) -> bool:
     return current_version(spark, root, name) is not None
 
 
-def segments(spark: SparkSession, root: str, name: str, version: int | None = None) -> list[int]:
-    """Segment numbers that make up a version (default: the current one)."""
+def _about(spark: SparkSession, root: str, name: str, version: int | None = None) -> dict:
+    """The marker of a version (default: the current one): its ``segments``
+    (each with ``id``, ``columns`` and, with pruning, ``keys``), ``schema`` and
+    ``properties``."""
     v = version if version is not None else current_version(spark, root, name)
     if v is None:
         raise FileNotFoundError(f"table {name} has no committed version under {root}")
-    segs = _marker(spark, root, name, v)
-    if segs is None:
+    about = _marker(spark, root, name, v)
+    if about is None:
         raise FileNotFoundError(f"version {v} of table {name} under {root} was not committed")
-    return segs
+    return about
+
+
+def segments(spark: SparkSession, root: str, name: str, version: int | None = None) -> list[int]:
+    """Segment numbers that make up a version (default: the current one)."""
+    return [s["id"] for s in _about(spark, root, name, version)["segments"]]
+
+
+def columns_by_segment(spark: SparkSession, root: str, name: str) -> tuple[T.StructType, dict[str, list[str]]]:
+    """The current schema, and the columns that each segment folder holds."""
+    about = _about(spark, root, name)
+    return (T.StructType.fromJson(about["schema"]),
+            {segment_path(root, name, s["id"]): s["columns"] for s in about["segments"]})
+
+
+def properties(spark: SparkSession, root: str, name: str) -> dict:
+    """What the writer of the current version noted with it."""
+    return _about(spark, root, name)["properties"]
 
 
 def paths(spark: SparkSession, root: str, name: str, version: int | None = None) -> list[str]:
@@ -108,43 +147,91 @@ def paths(spark: SparkSession, root: str, name: str, version: int | None = None)
     return [segment_path(root, name, s) for s in segments(spark, root, name, version)]
 
 
-def _mark(spark: SparkSession, root: str, name: str, version: int, segs: Sequence[int]) -> None:
+def _mark(spark: SparkSession, root: str, name: str, version: int, segs: Sequence[dict], schema: T.StructType,
+          notes: dict | None = None) -> None:
+    about = {"segments": list(segs), "schema": schema.jsonValue(), "properties": notes or {}}
     fs, p = _fs(spark, f"{_base(root, name)}/_versions/{version:06d}")
     out = fs.create(p, False)
     try:
-        out.write(bytearray("\n".join([*(str(s) for s in segs), _END]).encode()))
+        out.write(bytearray((json.dumps(about) + "\n" + _END).encode()))
     finally:
         out.close()
 
 
-def commit(df: DataFrame, root: str, name: str) -> str:
+# --- key bounds and Bloom filters ---------------------------------------------
+def _word_and_bits(key: Column, words: Column) -> tuple[Column, Column]:
+    """The word of a key and the bits it sets there; ``words`` is a power of two."""
+    spread = F.xxhash64(key, F.lit(1))
+    bits = F.lit(0).cast("long")
+    for i in range(BITS_PER_KEY):
+        bits = bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(spread, 6 * i).bitwiseAND(F.lit(63)).cast("int")))
+    return F.xxhash64(key).bitwiseAND(words - 1), bits
+
+
+def _describe(spark: SparkSession, root: str, name: str, segment: int, schema: T.StructType, prune: str | None) -> dict:
+    """A written segment's entry in the marker; with ``prune`` its Bloom filter
+    is written as well (columns of whole numbers or text; others go unpruned)."""
+    entry: dict = {"id": segment, "columns": schema.names}
+    if prune and isinstance(schema[prune].dataType, (T.LongType, T.IntegerType, T.StringType)):
+        rows = spark.read.schema(schema).parquet(segment_path(root, name, segment)).select(prune).where(F.col(prune).isNotNull())
+        low, high, n = rows.agg(F.min(prune), F.max(prune), F.count(prune)).first()
+        words = 1 << max(0, (n // KEYS_PER_WORD).bit_length())
+        word, bits = _word_and_bits(F.col(prune), F.lit(words).cast("long"))
+        (rows.groupBy(word.alias("word")).agg(F.bit_or(bits).alias("bits"))
+         .write.mode("overwrite").parquet(f"{_base(root, name)}/keys/seg={segment:06d}"))
+        entry["keys"] = {"column": prune, "low": low, "high": high, "words": words}
+    return entry
+
+
+def holding(keys: DataFrame, root: str, name: str, prune: str) -> list[int]:
+    """Segments of ``root/name`` that may hold one of ``keys`` (column
+    ``prune``): by their bounds, then by their Bloom filters. Segments without
+    either are always named. NULL keys are nowhere."""
+    spark = keys.sparkSession
+    entries = _about(spark, root, name)["segments"]
+    keys = keys.select(prune).where(F.col(prune).isNotNull())
+    low, high = keys.agg(F.min(prune), F.max(prune)).first()
+    if low is None:
+        return []
+    unknown = [s["id"] for s in entries if s.get("keys", {}).get("column") != prune]
+    near = [s for s in entries if s["id"] not in unknown and s["keys"]["low"] is not None
+            and s["keys"]["low"] <= high and s["keys"]["high"] >= low]
+    if not near:
+        return sorted(unknown)
+    # a row per key and segment whose bounds hold the key, met by the one word it needs
+    bounds = F.array(*[F.struct(F.lit(s["id"]).alias("seg"), F.lit(s["keys"]["low"]).alias("low"), F.lit(s["keys"]["high"]).alias("high"),
+                                F.lit(s["keys"]["words"]).cast("long").alias("words")) for s in near])
+    asked = keys.distinct().select(prune, F.explode(F.filter(bounds, lambda b: F.col(prune).between(b["low"], b["high"]))).alias("b"))
+    word, bits = _word_and_bits(F.col(prune), F.col("b.words"))
+    asked = asked.select(F.col("b.seg").alias("seg"), word.alias("word"), bits.alias("asked"))
+    base = f"{_base(root, name)}/keys"
+    filters = spark.read.option("basePath", base).parquet(*[f"{base}/seg={s['id']:06d}" for s in near])
+    met = asked.join(filters.select(F.col("seg").cast("int").alias("seg"), "word", "bits"), ["seg", "word"])
+    hit = met.where(F.col("bits").bitwiseAND(F.col("asked")) == F.col("asked")).select("seg").distinct()
+    return sorted([*unknown, *(r["seg"] for r in hit.collect())])  # at most one row per segment
+
+
+def commit(df: DataFrame, root: str, name: str, prune: str | None = None, notes: dict | None = None) -> str:
     """Write ``df`` as the whole next version of ``root/name``; returns the
     segment path."""
     spark = df.sparkSession
     version = _next_version(spark, root, name)
     path = segment_path(root, name, version)
     df.write.mode("overwrite").parquet(path)
-    _mark(spark, root, name, version, [version])
+    _mark(spark, root, name, version, [_describe(spark, root, name, version, df.schema, prune)], df.schema, notes)
     return path
 
 
-def append(df: DataFrame, root: str, name: str) -> str:
-    """Add ``df``'s rows to ``root/name`` as a new segment (same columns as
-    the table)."""
-    spark = df.sparkSession
-    current = current_version(spark, root, name)
-    if current is None:
-        return commit(df, root, name)
-    segs = segments(spark, root, name, current)
-    version = _next_version(spark, root, name)
-    path = segment_path(root, name, version)
-    df.write.mode("overwrite").parquet(path)
-    if spark.read.parquet(path).isEmpty():
-        # Nothing new: keep the current version (the unlisted folder is
-        # overwritten by the next commit).
-        return paths(spark, root, name, current)[-1]
-    _mark(spark, root, name, version, segs + [version])
-    return path
+def _widened(old: T.StructType, new: T.StructType) -> T.StructType:
+    """``old`` with the columns that only ``new`` has behind its own."""
+    have = set(old.names)
+    return T.StructType([*old.fields, *(f for f in new.fields if f.name not in have)])
+
+
+def append(df: DataFrame, root: str, name: str, prune: str | None = None, notes: dict | None = None) -> str:
+    """Add ``df``'s rows to ``root/name`` as a new segment. Columns that the
+    table has not yet join its schema, NULL in earlier rows."""
+    return upsert_commit(df, root, name, [], append_new_columns=True, prune=prune, notes=notes)
 
 
 def compact(spark: SparkSession, root: str, name: str) -> str:
@@ -180,39 +267,105 @@ def commit_bucketed(df: DataFrame, root: str, name: str, buckets: int, key: str)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {BUCKETED_DB}")
     (df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", path)
      .saveAsTable(_catalog_name(root, name, version)))
-    _mark(spark, root, name, version, [version])
+    _mark(spark, root, name, version, [_describe(spark, root, name, version, df.schema, None)], df.schema)
     return path
 
 
-def read(spark: SparkSession, root: str, name: str, version: int | None = None) -> DataFrame:
-    """The given or latest committed version of ``root/name`` (bucketed when
-    it was committed bucketed in this session)."""
+def read(spark: SparkSession, root: str, name: str, version: int | None = None, only: Sequence[int] | None = None) -> DataFrame:
+    """The given or latest committed version of ``root/name`` in its schema
+    (bucketed when it was committed bucketed in this session); with ``only``
+    these segments of it."""
     v = version if version is not None else current_version(spark, root, name)
-    if v is None:
-        raise FileNotFoundError(f"table {name} has no committed version under {root}")
-    segs = segments(spark, root, name, v)
-    if segs == [v] and spark.catalog.tableExists(_catalog_name(root, name, v)):
+    about = _about(spark, root, name, v)
+    schema = T.StructType.fromJson(about["schema"])
+    segs = [s["id"] for s in about["segments"] if only is None or s["id"] in only]
+    if segs == [v] and only is None and spark.catalog.tableExists(_catalog_name(root, name, v)):
         return spark.table(_catalog_name(root, name, v))
-    return spark.read.parquet(*[segment_path(root, name, s) for s in segs])
+    if not segs:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*[segment_path(root, name, s) for s in segs])
 
 
 def upsert_commit(updates: DataFrame, root: str, name: str, key: Sequence[str],
-                  append_new_columns: bool = False) -> str:
-    """Upsert ``updates`` into ``root/name`` on ``key``.
-
-    When no update key is in the table yet (checked with a semi join that
-    reads only the key columns) and no column is new, the updates are
-    appended as one segment; otherwise the merged table is written as a new
-    version."""
-    from ..operators.incremental import upsert
+                  append_new_columns: bool = False, prune: str | None = None, notes: dict | None = None) -> str:
+    """Upsert ``updates`` into ``root/name`` on ``key`` (none: append).
+
+    The updates are written once, as a segment of their own. The segments that
+    hold update keys (looked for only in those that :func:`holding` names, when
+    the key determines ``prune``) are rewritten without them; all others stay as
+    they are. Columns new in the updates are added to the table's schema when
+    ``append_new_columns``, otherwise left out. ``notes`` are kept with the
+    version; an empty batch makes no version unless they changed."""
     spark = updates.sparkSession
     if not exists(spark, root, name):
-        return commit(updates, root, name)
-    target = read(spark, root, name)
-    key = list(key)
-    new_cols = [c for c in updates.columns if c not in target.columns]
-    collides = not target.select(*key).join(updates.select(*key), key, "left_semi").isEmpty()
-    if collides or (new_cols and append_new_columns):
-        return commit(upsert(target, updates, key, append_new_columns), root, name)
-    return append(updates.select(*[F.col(f.name) if f.name in updates.columns else F.lit(None).cast(f.dataType).alias(f.name)
-                                   for f in target.schema.fields]), root, name)
+        return commit(updates, root, name, prune, notes)
+    about = _about(spark, root, name)
+    schema = T.StructType.fromJson(about["schema"])
+    whole = _widened(schema, updates.schema) if append_new_columns else schema
+    present = set(updates.columns)
+    version = _next_version(spark, root, name)
+    path = segment_path(root, name, version)
+    updates.select(*[F.col(f.name).cast(f.dataType) if f.name in present else F.lit(None).cast(f.dataType).alias(f.name)
+                     for f in whole.fields]).write.mode("overwrite").parquet(path)
+    fresh = spark.read.schema(whole).parquet(path)
+    if fresh.isEmpty():
+        # Nothing new: the unlisted folder is overwritten by the next commit.
+        if notes is not None and notes != about["properties"]:
+            _mark(spark, root, name, version, about["segments"], schema, notes)
+        return segment_path(root, name, about["segments"][-1]["id"])
+    entry = _describe(spark, root, name, version, whole, prune)
+    kept = {s["id"]: s for s in about["segments"]}
+    if key:
+        maybe = holding(fresh, root, name, prune) if prune else list(kept)
+        replaced = _rewrite_without(fresh, root, name, list(key), maybe, schema, version, prune)
+        kept = {i: replaced.get(i, s) for i, s in kept.items()}
+    _mark(spark, root, name, version, [*(s for s in kept.values() if s), entry], whole,
+          notes if notes is not None else about["properties"])
+    return path
+
+
+def _rewrite_without(fresh: DataFrame, root: str, name: str, key: list[str], maybe: Sequence[int], schema: T.StructType,
+                     version: int, prune: str | None) -> dict[int, dict | None]:
+    """Those of the segments ``maybe`` that hold keys of ``fresh``, written anew
+    without them: old number to the new entry, None where no row is left."""
+    spark = fresh.sparkSession
+    data = f"{_base(root, name)}/data"
+    if not maybe:
+        return {}
+    read_with_seg = lambda ids: (spark.read.schema(T.StructType([*schema.fields, T.StructField("seg", T.StringType())]))
+                                 .option("basePath", data).parquet(*[segment_path(root, name, i) for i in ids]))
+    keys = fresh.select(*key).distinct()
+    hit = sorted(int(r["seg"]) for r in read_with_seg(maybe).select(*key, "seg").join(keys, key, "left_semi").select("seg").distinct().collect())
+    if not hit:
+        return {}
+    new = {old: version + 1 + i for i, old in enumerate(hit)}
+    rename = F.create_map(*[F.lit(x) for old, to in new.items() for x in (old, f"{to:06d}")])
+    left = read_with_seg(hit).join(keys, key, "left_anti").withColumn("seg", F.element_at(rename, F.col("seg").cast("int")))
+    fs, _ = _fs(spark, data)
+    folder = lambda to: _jvm(spark).org.apache.hadoop.fs.Path(segment_path(root, name, to))
+    for to in new.values():  # what a crashed commit may have left there
+        fs.delete(folder(to), True)
+    # only the folders of the new numbers are written
+    left.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("seg").parquet(data)
+    return {old: _describe(spark, root, name, to, schema, prune) if fs.exists(folder(to)) else None for old, to in new.items()}
+
+
+def expire(spark: SparkSession, root: str, name: str, keep: int = 1) -> int:
+    """Delete all but the newest ``keep`` versions, with the segments that only
+    they list (maintenance, on request, while nothing reads or writes the
+    table). Returns the number of folders deleted."""
+    have = versions(spark, root, name)
+    wanted = have[-max(keep, 1):]
+    used = {s["id"] for v in wanted for s in _marker(spark, root, name, v)["segments"]}
+    for v in have[:-max(keep, 1)]:
+        fs, p = _fs(spark, f"{_base(root, name)}/_versions/{v:06d}")
+        fs.delete(p, False)
+    gone = 0
+    for part in ("data", "keys"):
+        fs, p = _fs(spark, f"{_base(root, name)}/{part}")
+        for s in (fs.listStatus(p) if fs.exists(p) else []):
+            number = s.getPath().getName().partition("seg=")[2]
+            if number.isdigit() and int(number) not in used:
+                fs.delete(s.getPath(), True)
+                gone += 1
+    return gone
