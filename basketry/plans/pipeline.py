@@ -14,7 +14,9 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from ..sources import tables
 from ..schemas import RAW_TABLES
 from ..sources.fixtures import DEFAULT_RUN_TS, raw_from_parquet
@@ -28,6 +30,8 @@ MATERIALIZATION = {
     "stg_orders": "view", "stg_order_products": "view", "stg_products": "view",
     "stg_aisles": "view", "stg_departments": "view",
     "customer_history": "ephemeral",
+    # our own: order-grain line totals, kept up to date so that lines are aggregated once
+    "order_line_stats": "incremental",
     "customer_360": "table", "product_performance": "table",
     "dim_dates": "table", "dim_users": "table", "dim_departments": "table", "dim_products": "table",
     "fact_orders": "incremental", "fact_order_products": "incremental",
@@ -37,11 +41,20 @@ MODEL_ORDER = list(MATERIALIZATION)
 # models of one level have no dependency on each other and build in
 # parallel (the reference builds with 4 threads).
 DEPENDS_ON = {
-    "customer_360": [], "product_performance": [], "dim_dates": [], "dim_departments": [],
-    "dim_products": [], "dim_users": ["customer_360"], "fact_orders": ["dim_users"],
+    "order_line_stats": [], "customer_360": ["order_line_stats"], "product_performance": [], "dim_dates": [], "dim_departments": [],
+    "dim_products": [], "dim_users": ["customer_360"], "fact_orders": ["dim_users", "order_line_stats"],
     "fact_order_products": ["dim_products", "dim_users"],
 }
+# The models that feed the facts, and the facts.
+DAILY_MODELS = ["stg_orders", "stg_order_products", "stg_products", "stg_aisles", "stg_departments",
+                "order_line_stats", "customer_360", "dim_users", "dim_products", "fact_orders", "fact_order_products"]
 BUILD_THREADS = 4
+# Tables whose segments are pruned by order: a key of theirs belongs to one order.
+PRUNED_BY = {name: "order_id" for name in (
+    "raw_orders", "raw_order_products_prior", "raw_order_products_train",
+    "order_line_stats", "fact_orders", "fact_order_products")}
+# What an incremental model notes with its version: the latest load time it has seen.
+LOADED_UNTIL = "loaded_until"
 
 
 def build_levels(names) -> list[list[str]]:
@@ -59,6 +72,9 @@ def build_levels(names) -> list[list[str]]:
     return levels
 
 
+LINE_TABLES = ("order_products_prior", "order_products_train")
+
+
 class Models:
     """Lazily built model graph over six raw DataFrames."""
 
@@ -66,6 +82,7 @@ class Models:
         self.spark = spark
         self.raw = raw
         self.run_ts = run_ts
+        self.root: str | None = None  # where the raw tables lie, if they are written tables
         self._overrides: dict[str, DataFrame] = {}
 
     @classmethod
@@ -76,7 +93,9 @@ class Models:
     def from_tables(cls, spark: SparkSession, root: str, run_ts: str = DEFAULT_RUN_TS) -> "Models":
         """The graph over raw tables already loaded into ``root`` (by the CSV
         loader, the streaming load or :func:`load_raw`)."""
-        return cls(spark, {t: tables.read(spark, root, f"raw_{t}") for t in RAW_TABLES}, run_ts)
+        models = cls(spark, {t: tables.read(spark, root, f"raw_{t}") for t in RAW_TABLES}, run_ts)
+        models.root = root
+        return models
 
     def use(self, name: str, df: DataFrame) -> None:
         """Replace a model by an already materialised table."""
@@ -104,9 +123,13 @@ class Models:
         return staging.stg_departments(self.raw["departments"])
 
     @cached_property
-    def line_stats(self) -> DataFrame:
+    def order_line_stats(self) -> DataFrame:
         return customers.order_line_stats(self.stg_order_products)
 
+    @property
+    def line_stats(self) -> DataFrame:
+        return self.order_line_stats
+
     @cached_property
     def customer_history(self) -> DataFrame:
         return customers.customer_history(self.stg_orders, self.stg_order_products, self.line_stats)
@@ -145,15 +168,55 @@ class Models:
         return facts.fact_order_products(self.stg_order_products, self.dim_products, self.stg_orders,
                                          self.dim_users)
 
-    def incremental(self, name: str, target: DataFrame):
-        """(update rows, key, append_new_columns) of an incremental fact given
-        its current version."""
+    # incremental ----------------------------------------------------------
+    def _of_orders(self, table: str, orders: DataFrame) -> DataFrame:
+        """Rows of a raw table of the given orders (``order_id``). Of a written
+        table only the segments that may hold them are scanned."""
+        if self.root:
+            only = tables.holding(orders, self.root, f"raw_{table}", "order_id")
+            rows = tables.read(self.spark, self.root, f"raw_{table}", only=only)
+        else:
+            rows = self.raw[table]
+        return rows.join(orders.select("order_id").distinct(), "order_id", "left_semi")
+
+    def _lines_since(self, until: str | None) -> DataFrame:
+        """Staged lines loaded after ``until`` (all, if it is None); load times
+        are constant within a load, so earlier row groups are skipped."""
+        fresh = [self.raw[t] if until is None else self.raw[t].where(F.col("_loaded_at") > F.lit(until).cast("timestamp"))
+                 for t in LINE_TABLES]
+        return staging.stg_order_products(*fresh)
+
+    def loaded_until(self, name: str) -> str | None:
+        """Latest load time among the raw rows that the model ``name`` is fed by."""
+        sources = ["orders"] if name == "fact_orders" else LINE_TABLES
+        found = [t for t in (self.raw[s].agg(F.max("_loaded_at").cast("string")).first()[0] for s in sources) if t]
+        return max(found, default=None)
+
+    def incremental(self, name: str, root: str):
+        """(update rows, key, append_new_columns) of an incremental model of
+        ``root``, given its current version there."""
+        until = tables.properties(self.spark, root, name).get(LOADED_UNTIL)
+        whole = lambda only=None: tables.read(self.spark, root, name, only=only)
+        if name == "order_line_stats":
+            # orders with new lines are aggregated anew, over all their lines
+            orders = cut_lineage(self._lines_since(until).select("order_id").where("order_id IS NOT NULL").distinct(), "stats-orders")
+            lines = staging.stg_order_products(*(self._of_orders(t, orders) for t in LINE_TABLES))
+            return customers.order_line_stats(lines), ["order_id"], True
         if name == "fact_orders":
-            return (facts.fact_orders_updates(self.stg_orders, self.stg_order_products, self.dim_users, target),
-                    facts.FACT_ORDERS_KEY, True)
+            fresh = self.stg_orders.where(F.col("loaded_at") > F.lit(until).cast("timestamp")) if until else facts.newer_than(self.stg_orders, whole(), "loaded_at")
+            fresh = cut_lineage(fresh, "fresh-orders")
+            if tables.exists(self.spark, root, "order_line_stats"):
+                only = tables.holding(fresh, root, "order_line_stats", "order_id")
+                stats = tables.read(self.spark, root, "order_line_stats", only=only)
+            else:
+                stats = customers.order_line_stats(self.stg_order_products.join(fresh.select("order_id"), "order_id", "left_semi"))
+            return facts.fact_orders_build(fresh, self.stg_order_products, self.dim_users, stats), facts.FACT_ORDERS_KEY, True
         if name == "fact_order_products":
-            return (facts.fact_order_products_updates(self.stg_order_products, self.dim_products,
-                                                      self.stg_orders, self.dim_users, target),
+            fresh = cut_lineage(self._lines_since(until), "fresh-lines")
+            only = tables.holding(fresh, root, name, "order_id")
+            lines = facts.unseen(fresh, whole(only), "order_id")
+            orders = staging.stg_orders(self._of_orders("orders", fresh))
+            return (facts.fact_order_products_build(lines, self.dim_products, orders, self.dim_users),
                     facts.FACT_ORDER_PRODUCTS_KEY, False)
         raise KeyError(name)
 
@@ -191,13 +254,14 @@ def load_raw(models: Models, root: str, threads: int = BUILD_THREADS,
     def write(table: str) -> tuple[str, str]:
         if bucket_by_order and table in ORDER_GRAIN_RAW:
             return table, tables.commit_bucketed(raw[table], root, f"raw_{table}", bucket_by_order, "order_id")
-        return table, tables.commit(raw[table], root, f"raw_{table}")
+        return table, tables.commit(raw[table], root, f"raw_{table}", prune=PRUNED_BY.get(f"raw_{table}"))
 
     with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
         if hasattr(raw, "prepare"):
             raw.prepare(pool)
         written = {f"raw_{t}": path for t, path in pool.map(write, RAW_TABLES)}
     models.raw = {t: tables.read(models.spark, root, f"raw_{t}") for t in RAW_TABLES}
+    models.root = root
     return written
 
 
@@ -231,16 +295,19 @@ def materialize(models: Models, root: str, names=MODEL_ORDER, load: bool = True,
     def build(name: str) -> tuple[str, str]:
         kind = MATERIALIZATION[name]
         exists = not full_refresh and tables.exists(models.spark, root, name)
+        prune = PRUNED_BY.get(name)
+        until = models.loaded_until(name) if kind == "incremental" else None
+        notes = {LOADED_UNTIL: until} if until else None
         if kind == "incremental" and exists:
-            updates, key, new_cols = models.incremental(name, tables.read(models.spark, root, name))
-            path = tables.upsert_commit(updates, root, name, key, append_new_columns=new_cols)
+            updates, key, new_cols = models.incremental(name, root)
+            path = tables.upsert_commit(updates, root, name, key, append_new_columns=new_cols, prune=prune, notes=notes)
         elif name == "dim_products" and scd2_products and exists:
             from ..operators.incremental import scd2_merge
             merged = scd2_merge(tables.read(models.spark, root, name), models.stg_products, "product_id",
                                 PRODUCT_TRACKED, models.run_ts[:10], models.run_ts)
             path = tables.commit(merged, root, name)
         else:
-            path = tables.commit(getattr(models, name), root, name)
+            path = tables.commit(getattr(models, name), root, name, prune, notes)
         return name, path
 
     for level in build_levels(names):

@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import RAW_FILES
-from ..session import cut_lineage
 from ..sources import tables
 from ..sources.csv_loader import _exists, csv_options, file_schema
 
@@ -64,9 +63,9 @@ def _upsert_batch(root: str, table: str, key: list[str]):
         now = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
         cols = [c for c in batch.columns if c != "_source_file"]
         stamped = batch.select(*cols, F.to_timestamp(F.lit(now)).alias("_loaded_at"), "_source_file")
-        # Read twice (key collision check, then the write): written once instead.
-        # Appended as a segment unless a key is already present.
-        tables.upsert_commit(cut_lineage(tables.one_per_key(stamped, key), f"batch-{table}"), root, table, key)
+        # Written once as a segment; only segments with colliding keys are rewritten.
+        tables.upsert_commit(tables.one_per_key(stamped, key), root, table, key,
+                             prune="order_id" if "order_id" in key else None)
     return apply
 
 

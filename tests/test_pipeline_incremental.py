@@ -34,6 +34,48 @@ def test_daily_runs_upsert_facts(spark, scratch):
     assert tables.read(spark, scratch, "fact_orders").count() == inc.count()
 
 
+def _rows(df):
+    return sorted(map(repr, (tuple(r) for r in df.select(*sorted(df.columns)).collect())))
+
+
+def test_daily_run_scans_only_segments_that_may_hold_its_orders(spark, scratch):
+    """Four loads of order ids in ascending ranges: the plans of the last build's
+    line and order rows name the files of the last load alone, and every fact
+    row equals a full build's."""
+    from basketry.plans.pipeline import DAILY_MODELS, Models, PRUNED_BY
+    raw = raw_from_parquet(spark, SF)
+    for t in ("products", "aisles", "departments"):
+        tables.commit(raw[t], scratch, f"raw_{t}")
+    high = raw["orders"].agg(F.max("order_id")).first()[0]
+    step, plans = high // 4 + 1, []
+    for load in range(4):
+        ts = F.to_timestamp(F.lit(f"2024-01-0{load + 1} 06:00:00"))
+        for t in ("orders", "order_products_prior", "order_products_train"):
+            part = raw[t].where(F.col("order_id").between(load * step, (load + 1) * step - 1)).withColumn("_loaded_at", ts)
+            tables.append(part, scratch, f"raw_{t}", prune=PRUNED_BY[f"raw_{t}"])
+        m = Models.from_tables(spark, scratch)
+        if load == 3:
+            m.use("dim_users", tables.read(spark, scratch, "dim_users"))
+            m.use("dim_products", tables.read(spark, scratch, "dim_products"))
+            for name in ("order_line_stats", "fact_orders", "fact_order_products"):
+                if name == "fact_orders":  # reads the order totals, which its build has brought up to date
+                    rows, key, new = m.incremental("order_line_stats", scratch)
+                    tables.upsert_commit(rows, scratch, "order_line_stats", key, new, prune="order_id")
+                plans.append((name, m.incremental(name, scratch)[0].inputFiles()))
+        materialize(Models.from_tables(spark, scratch), scratch, DAILY_MODELS, load=False)
+    for name, files in plans:
+        incremental = [f for f in files if any(f"/{t}/" in f for t in PRUNED_BY)]
+        assert all(f"seg=00000{s}" not in f for f in incremental for s in (1, 2, 3)), (name, incremental)
+        assert files
+    full = Models.from_tables(spark, scratch)
+    assert _rows(tables.read(spark, scratch, "order_line_stats")) == _rows(full.order_line_stats)
+    facts_now = tables.read(spark, scratch, "fact_orders")
+    same = ["order_id", "total_items", "unique_items", "order_reorder_rate", "first_item_cart_pos", "loaded_at"]
+    assert _rows(facts_now.select(*same)) == _rows(full.fact_orders.select(*same))
+    lines = tables.read(spark, scratch, "fact_order_products")
+    assert _rows(lines.drop("user_key")) == _rows(full.fact_order_products.drop("user_key"))
+
+
 def test_scd2_product_dimension_across_runs(spark, scratch):
     raw = raw_from_parquet(spark, SF)
     base = {t: raw[t] for t in raw.keys()}

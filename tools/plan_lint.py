@@ -12,7 +12,7 @@ import re
 import sys
 
 sys.path.insert(0, __file__.rsplit("/tools/", 1)[0])
-import __spark_entry__ as E  # noqa: E402
+from basketry.queries import REGISTRY  # noqa: E402
 from basketry.session import get_session  # noqa: E402
 
 BOUNDED_FEEDERS = ("HashAggregate", "ObjectHashAggregate", "SortAggregate", "TakeOrderedAndProject")
@@ -38,11 +38,11 @@ def single_partition_feeders(plan: str):
 
 def main() -> int:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001"
-    names = sys.argv[2:] or list(E.queries())
+    names = sys.argv[2:] or list(REGISTRY)
     spark = get_session("local[4]")
     bad = 0
     for name in names:
-        plan = E.queries()[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+        plan = REGISTRY[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
         issues = []
         if "CartesianProduct" in plan:
             issues.append("cartesian product")
