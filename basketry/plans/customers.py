@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import (DAY_NAMES, count_if, customer_segment, loyalty_tier,
                                 order_frequency_bucket, rfm_average, round_n, safe_divide)
-from ..operators.ranking import global_ntile, sort_key
+from ..operators.histograms import Order, ntiles
 from ..session import cut_lineage
 
 NTILE_BUCKETS = 4
@@ -122,35 +122,35 @@ def order_modes(stg_orders: DataFrame) -> DataFrame:
                          first_most("h", hours).alias("most_common_order_hour_mode"))
 
 
-def rfm_scores(history: DataFrame) -> DataFrame:
-    """(user_id, recency_score, frequency_score, monetary_score): quartiles
-    (NTILE 4) over all users.
+_RFM = [Order("avg_days_between_orders", "recency_score", ascending=False),
+        Order("total_orders", "frequency_score"),
+        Order("total_items_ordered", "monetary_score")]
+
+
+def with_rfm_scores(history: DataFrame) -> DataFrame:
+    """``history`` (a written table) with recency_score, frequency_score and
+    monetary_score: quartiles (NTILE 4) over all users.
 
     Recency: shorter average gap scores higher (DESC, NULLs last); frequency
     and monetary: ascending, NULLs last. Ties are broken by ``user_id``. The
-    three distributed NTILE passes run on the four key columns only.
+    nine quartile ends are found together in value histograms, and scores are a
+    projection: no user row is sorted, shuffled or joined.
     """
-    keys = history.select("user_id", "avg_days_between_orders", "total_orders", "total_items_ordered")
-    scored = global_ntile(keys, NTILE_BUCKETS,
-                          [sort_key("avg_days_between_orders", False, True), sort_key("user_id")],
-                          "recency_score")
-    scored = global_ntile(scored, NTILE_BUCKETS,
-                          [sort_key("total_orders", True, True), sort_key("user_id")],
-                          "frequency_score")
-    scored = global_ntile(scored, NTILE_BUCKETS,
-                          [sort_key("total_items_ordered", True, True), sort_key("user_id")],
-                          "monetary_score")
-    return scored.select("user_id", "recency_score", "frequency_score", "monetary_score")
+    return ntiles(history, NTILE_BUCKETS, _RFM, "user_id")
+
+
+def rfm_scores(history: DataFrame) -> DataFrame:
+    """(user_id, recency_score, frequency_score, monetary_score)."""
+    keys = history.select("user_id", *[o.col for o in _RFM])
+    return with_rfm_scores(cut_lineage(keys, "rfm-keys")).select("user_id", *[o.out for o in _RFM])
 
 
 def customer_360(history: DataFrame) -> DataFrame:
-    """RFM mart: one row per user of ``history`` (scores joined 1:1 on
-    user_id).
+    """RFM mart: one row per user of ``history``.
 
-    The history is read twice (scores, join back); it is written once at
-    user grain, so the orders and lines behind it are aggregated once."""
-    history = cut_lineage(history, "history")
-    s = history.join(rfm_scores(history), "user_id", "left")
+    The history is read several times (quartile ends, result); it is written
+    once at user grain, so the orders and lines behind it are aggregated once."""
+    s = with_rfm_scores(cut_lineage(history, "history"))
     return s.select(
         "user_id",
         "total_orders",

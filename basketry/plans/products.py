@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import count_if, popularity_tier, reorder_tier, round_n, safe_divide
 from ..operators.joins import join_small
-from ..operators.ranking import global_rank, group_rank
+from ..operators.histograms import histogram_rank
 from ..session import cut_lineage
 
 
@@ -35,10 +35,8 @@ def product_ranks(joined: DataFrame) -> DataFrame:
     """(product_id, dept_reorder_rank, overall_popularity_rank), computed on
     the four key columns only and joined back 1:1 by the caller."""
     keys = joined.select("product_id", "department_id", "reorder_rate", "times_ordered")
-    ranked = group_rank(keys, ["department_id"], "reorder_rate", ascending=False,
-                        tie_cols=["product_id"], out="dept_reorder_rank")
-    ranked = global_rank(ranked, "times_ordered", ascending=False, tie_cols=["product_id"],
-                         out="overall_popularity_rank")
+    ranked = histogram_rank(keys, ["department_id"], "reorder_rate", "dept_reorder_rank")
+    ranked = histogram_rank(ranked, [], "times_ordered", "overall_popularity_rank")
     return ranked.select("product_id", "dept_reorder_rank", "overall_popularity_rank")
 
 
@@ -47,7 +45,7 @@ def product_performance(stg_order_products: DataFrame, stg_products: DataFrame)
 
     ``dept_reorder_rank`` = RANK within department by reorder rate (DESC);
     ``overall_popularity_rank`` = RANK over all products by times ordered
-    (DESC). Both are exact and distributed (see operators.ranking). Tiers use
+    (DESC). Both are exact and distributed (see operators.histograms). Tiers use
     the unrounded rate.
     """
     metrics = product_metrics(stg_order_products)
