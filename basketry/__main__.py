@@ -49,6 +49,7 @@ def _run(argv=None) -> int:
     p = sub.add_parser("stream"); p.add_argument("landing"); p.add_argument("root"); p.add_argument("checkpoint")
     p = sub.add_parser("build"); p.add_argument("root"); p.add_argument("--full-refresh", action="store_true")
     p.add_argument("--scd2-products", action="store_true")
+    p.add_argument("--no-gate", action="store_true", help="build even if a check on the raw tables or staging views fails")
     p.add_argument("--threads", type=int, default=4, help="models built at the same time (default 4)")
     p.add_argument("--run-ts", help="time stamped on the models, 'YYYY-MM-DD HH:MM:SS' in UTC (default: now)")
     p = sub.add_parser("test"); p.add_argument("root"); p.add_argument("--now")
@@ -69,7 +70,7 @@ def _run(argv=None) -> int:
     m = Models.from_tables(spark, args.root, run_ts)
     if args.cmd == "build":
         written = materialize(m, args.root, load=False, full_refresh=args.full_refresh,
-                              scd2_products=args.scd2_products, threads=args.threads)
+                              scd2_products=args.scd2_products, threads=args.threads, gate=not args.no_gate)
         for name, path in written.items():
             print(f"{name}\t{path}")
         return 0

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import surrogate_key
@@ -121,3 +121,43 @@ def scd2_as_of(dim: DataFrame, as_of) -> DataFrame:
     """Versions valid on ``as_of``: valid_from <= d < valid_to (open end)."""
     d = F.to_date(F.lit(as_of)) if isinstance(as_of, str) else as_of
     return dim.filter((F.col("valid_from") <= d) & (F.col("valid_to").isNull() | (d < F.col("valid_to"))))
+
+
+AS_OF_ROWS = 1_000_000  # rows of a key that meet its versions in one group
+
+
+def as_of_join(rows: DataFrame, versions: DataFrame, key: str, at: str, columns: Sequence[str],
+               valid_from: str = "valid_from", valid_to: str = "valid_to", group_rows: int = AS_OF_ROWS) -> DataFrame:
+    """``rows`` with ``columns`` of the version of ``key`` that is valid at
+    ``at`` (valid_from <= at < valid_to, an open end never passes); NULL where
+    there is none, or the key or time is NULL.
+
+    Rows and versions of a key are put in one order of time, versions first, and
+    the last version seen is carried forward: one shuffle by key, no range
+    predicate and no pair of a row with a version that is not its own. A key
+    with more than ``group_rows`` rows is dealt to that many groups by a hash
+    of the row, each with a copy of the key's versions.
+    """
+    names = rows.columns
+    plain = rows.select(F.col(key).alias("__key"), F.col(at).alias("__at"), F.struct(*names).alias("__row"))
+    timed = F.col("__key").isNotNull() & F.col("__at").isNotNull()
+    groups = (plain.where(timed).groupBy("__key").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > group_rows)
+              .select("__key", F.ceil(F.col("__n") / group_rows).cast("int").alias("__groups")))
+    dealt = plain.where(timed).join(groups, "__key", "left").select(
+        "__key", "__at", F.coalesce(F.pmod(F.xxhash64("__row"), F.col("__groups")), F.lit(0)).cast("int").alias("__group"), F.lit(1).alias("__kind"),
+        "__row", F.lit(None).cast(_payload(versions, columns, valid_to)).alias("__version"))
+    held = (versions.where(F.col(key).isNotNull()).select(F.col(key).alias("__key"), F.col(valid_from).cast(plain.schema["__at"].dataType).alias("__at"),
+                                                         F.struct(F.col(valid_to).alias("__to"), *columns).alias("__version"))
+            .join(groups, "__key", "left")
+            .select("__key", "__at", F.explode(F.sequence(F.lit(0), F.coalesce("__groups", F.lit(1)) - 1)).alias("__group"), F.lit(0).alias("__kind"),
+                    F.lit(None).cast(plain.schema["__row"].dataType).alias("__row"), "__version"))
+    order = Window.partitionBy("__key", "__group").orderBy("__at", "__kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = held.unionByName(dealt).withColumn("__version", F.last("__version", ignorenulls=True).over(order)).where(F.col("__kind") == 1)
+    valid = F.col("__version.__to").isNull() | (F.col("__at") < F.col("__version.__to"))
+    found = seen.select("__row.*", *[F.when(valid, F.col(f"__version.{c}")).alias(f"__v_{c}") for c in columns])
+    untimed = plain.where(~timed).select("__row.*", *[F.lit(None).cast(versions.schema[c].dataType).alias(f"__v_{c}") for c in columns])
+    return found.unionByName(untimed).withColumnsRenamed({f"__v_{c}": c for c in columns})
+
+
+def _payload(versions: DataFrame, columns: Sequence[str], valid_to: str):
+    return versions.select(F.struct(F.col(valid_to).alias("__to"), *columns).alias("v")).schema["v"].dataType

@@ -7,7 +7,7 @@ child rows with a non-NULL key missing from the parent; a range assertion
 counts violating rows. A check passes with zero failures.
 
 The suite runs all NULL and accepted-value checks of one table in a single
-aggregation pass and all uniqueness checks of one table in a single
+aggregation pass and all uniqueness checks of one value type in a single
 shuffle; foreign keys are anti joins (AQE broadcasts a small parent).
 """
 
@@ -156,21 +156,29 @@ def _tag(df: DataFrame, check: Check) -> DataFrame:
                      F.lit(check.kind).alias("check_name"), F.col("failures").cast("long"))
 
 
-def _unique_failures(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """Every uniqueness check of one table in one shuffle: rows are expanded
-    to (check, value-as-text) pairs, duplicated pairs are counted per check.
-    The text form is exact for the key types used (integers, dates, text)."""
-    pairs = df.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("check"), F.col(c.column).cast("string").alias("value"))
-        for i, c in enumerate(checks)])).alias("p")).select("p.*").filter(F.col("value").isNotNull())
-    dups = (pairs.groupBy("check", "value").agg(F.count(F.lit(1)).alias("n"))
-            .groupBy("check").agg(F.count_if(F.col("n") > 1).alias("failures")))
-    labels = df.sparkSession.createDataFrame(
-        [(i, c.table, c.column, c.kind) for i, c in enumerate(checks)],
-        "check int, table_name string, column_name string, check_name string")
-    return (labels.join(dups, "check", "left")
-            .select("table_name", "column_name", "check_name",
-                    F.coalesce(F.col("failures"), F.lit(0)).cast("long").alias("failures")))
+def _unique_failures(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> list[DataFrame]:
+    """Every uniqueness check, those of one value type in one shuffle: each
+    column is scanned alone, as (check, value) with the value as it is, and
+    counted with the other columns of its type. Check numbers are constants, so
+    nothing is repeated or cast."""
+    by_type: dict[str, list[tuple[int, Check]]] = {}
+    for i, c in enumerate(checks):
+        by_type.setdefault(tables[c.table].schema[c.column].dataType.simpleString(), []).append((i, c))
+    reports = []
+    for group in by_type.values():
+        values, labels = None, []
+        for i, c in group:
+            one = tables[c.table].select(F.lit(i).alias("check"), F.col(c.column).alias("value")).where(F.col(c.column).isNotNull())
+            values = one if values is None else values.unionByName(one)
+            labels.append(F.struct(F.lit(i).alias("check"), F.lit(c.table).alias("table_name"), F.lit(c.column).alias("column_name"),
+                                   F.lit(c.kind).alias("check_name")))
+        repeated = (values.groupBy("check", "value").agg(F.count(F.lit(1)).alias("n"))
+                    .groupBy("check").agg(F.count_if(F.col("n") > 1).alias("failures")))
+        # tables without rows have no group: the map of the few counts is read for each check
+        counts = repeated.agg(F.map_from_entries(F.collect_list(F.struct("check", "failures"))).alias("m"))
+        reports.append(counts.select("m", F.explode(F.array(*labels)).alias("c")).select(
+            "c.table_name", "c.column_name", "c.check_name", F.coalesce(F.col("m")[F.col("c.check")], F.lit(0)).cast("long").alias("failures")))
+    return reports
 
 
 # Source tables with a freshness rule on their load time.
@@ -198,9 +206,6 @@ def dq_parts(tables: Mapping[str, DataFrame], checks: Sequence[Check] = CHECKS)
                 F.struct(F.lit(c.table).alias("table_name"), F.lit(c.column).alias("column_name"),
                          F.lit(c.kind).alias("check_name"), F.col(f"c{i}").cast("long").alias("failures"))
                 for i, c in enumerate(scans)])).alias("r")).select("r.*"))
-        uniques = [c for c in tchecks if c.kind == "unique"]
-        if uniques:
-            parts.append(_unique_failures(df, uniques))
         for c in tchecks:
             if c.kind == "relationships":
                 parent, parent_col = c.arg
@@ -208,7 +213,18 @@ def dq_parts(tables: Mapping[str, DataFrame], checks: Sequence[Check] = CHECKS)
             elif c.kind == "range":
                 lo, hi = c.arg
                 parts.append(_tag(dq_range(df, c.column, lo, hi).agg(F.count(F.lit(1)).alias("failures")), c))
-    return parts
+    return parts + _unique_failures(tables, [c for c in checks if c.kind == "unique"])
+
+
+class FailedChecks(RuntimeError):
+    """Checks that must pass before anything is built on their tables."""
+
+
+def gate(tables: Mapping[str, DataFrame], checks: Sequence[Check], threads: int = 4) -> None:
+    """Raise :class:`FailedChecks`, naming them, unless all ``checks`` pass."""
+    failed = run_dq_suite(tables, checks, threads=threads).where("status = 'fail'").orderBy("table_name", "column_name", "check_name").collect()
+    if failed:
+        raise FailedChecks("; ".join(f"{r.table_name}.{r.column_name} {r.check_name}: {r.failures}" for r in failed))
 
 
 def dq_suite(tables: Mapping[str, DataFrame], checks: Sequence[Check] = CHECKS, now=None) -> DataFrame:

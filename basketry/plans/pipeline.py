@@ -16,6 +16,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import quality
 from ..session import cut_lineage
 from ..sources import tables
 from ..schemas import RAW_TABLES
@@ -271,7 +272,7 @@ PRODUCT_TRACKED = ["product_name", "aisle_id", "aisle_name", "department_id", "d
 
 def materialize(models: Models, root: str, names=MODEL_ORDER, load: bool = True,
                 full_refresh: bool = False, scd2_products: bool = False,
-                threads: int = BUILD_THREADS) -> dict[str, str]:
+                threads: int = BUILD_THREADS, gate: bool = False) -> dict[str, str]:
     """Build the models in dependency order (after writing the raw tables
     when ``load``): views are registered as temp views, ephemeral models
     stay inline, tables are written as the next version of ``root/<name>``
@@ -282,11 +283,16 @@ def materialize(models: Models, root: str, names=MODEL_ORDER, load: bool = True,
     a new version, effective on the run date) instead of rebuilt. Models of
     one dependency level are built concurrently on ``threads`` threads (Spark
     runs their jobs side by side); later levels read the written tables.
-    Returns the written paths."""
+    With ``gate`` the checks declared on the raw tables and the staging views run
+    first, and a failing one stops the build (:class:`quality.FailedChecks`)
+    before any model is written. Returns the written paths."""
     written = load_raw(models, root) if load else {}
     for name in names:
         if MATERIALIZATION[name] == "view":
             getattr(models, name).createOrReplaceTempView(name)
+    if gate:
+        upstream = {**models.raw, **{n: getattr(models, n) for n, kind in MATERIALIZATION.items() if kind == "view"}}
+        quality.gate(upstream, [c for c in quality.CHECKS if c.table in upstream], threads)
     # Shared lazy inputs are built once on this thread before any worker
     # touches them.
     for name in ("stg_orders", "stg_order_products", "stg_products", "stg_departments"):

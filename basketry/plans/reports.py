@@ -23,13 +23,21 @@ HOUR_LABEL_SUFFIX = ":00"
 
 def rpt_kpi(fact_orders: DataFrame) -> DataFrame:
     """Orders, customers (NULL user keys ignored), average basket (1 dp) and
-    average order reorder rate (3 dp)."""
-    return fact_orders.agg(
-        F.countDistinct("order_id").alias("total_orders"),
-        F.countDistinct("user_key").alias("total_users"),
-        round_n(F.avg("total_items"), 1).alias("avg_basket_size"),
-        round_n(F.avg("order_reorder_rate"), 3).alias("avg_reorder_rate"),
-    )
+    average order reorder rate (3 dp).
+
+    The two distinct counts come from two partial states that add up, one row
+    per order and one per user (map-side combined); together in one aggregation
+    Spark would expand every order to a row per count."""
+    measures = ["total_items", "order_reorder_rate"]
+    state = [f(c).alias(f"{c}_{n}") for c in measures for n, f in (("sum", F.sum), ("n", F.count))]
+    added = [F.sum(f"{c}_{n}").alias(f"{c}_{n}") for c in measures for n in ("sum", "n")]
+    per_order = fact_orders.groupBy("order_id").agg(*state).agg(F.count("order_id").alias("orders"), *added)
+    per_user = fact_orders.select("user_key").groupBy("user_key").agg(F.lit(1).alias("one")).agg(F.count("user_key").alias("users"))
+    both = per_order.unionByName(per_user, allowMissingColumns=True)
+    return both.agg(F.sum("orders").alias("total_orders"), F.sum("users").alias("total_users"), *added).select(
+        "total_orders", "total_users",
+        round_n(safe_divide("total_items_sum", "total_items_n"), 1).alias("avg_basket_size"),
+        round_n(safe_divide("order_reorder_rate_sum", "order_reorder_rate_n"), 3).alias("avg_reorder_rate"))
 
 
 def _by_customer_attribute(customer_360: DataFrame, col: str) -> DataFrame:

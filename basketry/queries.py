@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .plans.dims import dim_dates_for
 from .plans.pipeline import Models
+from .session import anchors_generation
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -38,7 +39,7 @@ def models(spark: SparkSession, sf_dir: str, second_load=None) -> Models:
     session share the load step instead of re-deriving it.
     """
     from .sources.fixtures import DEFAULT_RUN_TS, raw_from_parquet
-    key = (spark.conf.get("spark.app.id", None) or id(spark), sf_dir, second_load)
+    key = (spark.conf.get("spark.app.id", None) or id(spark), sf_dir, second_load, anchors_generation())
     if key not in _GRAPHS:
         _GRAPHS[key] = Models(spark, raw_from_parquet(spark, sf_dir, DEFAULT_RUN_TS, second_load),
                               DEFAULT_RUN_TS)
@@ -342,6 +343,40 @@ def dim_products_as_of(spark, sf_dir):
     return scd2_as_of(dim_products_scd2(spark, sf_dir), SCD2_AS_OF)
 
 
+# Catalog snapshots of the history scenario, each (effective date,
+# least size of the products that move, department they move to); a snapshot
+# without them has the products back in their own department.
+HISTORY_FROM = "1992-01-01"
+HISTORY = [("1994-01-01", 45, 1), ("1996-01-01", 40, 2), ("1997-06-01", 48, 3)]
+
+
+@register("dim_products_history")
+def dim_products_history(spark, sf_dir):
+    """The product dimension after three type-2 merges of later snapshots."""
+    from .operators.incremental import scd2_merge
+    from .plans.dims import dim_products
+    from .session import cut_lineage
+    m = models(spark, sf_dir)
+    part = spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_partkey").cast("long").alias("product_id"), "p_size")
+    catalog = cut_lineage(m.stg_products.join(part, "product_id", "left"), "history-catalog")
+    dim = dim_products(m.stg_products, HISTORY_FROM, m.run_ts)
+    for date, size, department in HISTORY:
+        moved = catalog.withColumn("department_id", F.when(F.col("p_size") >= size, F.lit(department).cast("long")).otherwise(F.col("department_id")))
+        snapshot = moved.drop("department_name", "p_size").join(m.stg_departments, "department_id", "left").select("product_id", *PRODUCT_TRACKED)
+        dim = cut_lineage(scd2_merge(dim, snapshot, "product_id", PRODUCT_TRACKED, date, m.run_ts), "history")
+    return dim
+
+
+@register("line_department_as_of")
+def line_department_as_of(spark, sf_dir):
+    """The department of every order line's product on the order's date."""
+    from .operators.incremental import as_of_join
+    m = models(spark, sf_dir)
+    dates = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").cast("long").alias("order_id"), F.col("o_orderdate").cast("date").alias("order_date"))
+    lines = m.stg_order_products.select("order_id", "product_id").join(dates, "order_id", "left")
+    return as_of_join(lines, dim_products_history(spark, sf_dir), "product_id", "order_date", ["product_key", "department_name"])
+
+
 __all__ = ["REGISTRY", "register", "models", "customer_360"]
 
 
@@ -401,3 +436,23 @@ def src_load_summary(spark, sf_dir):
     write_raw_csv(m.raw, f"{base}/landing")
     _, summary = load_raw_csv(spark, f"{base}/landing", f"{base}/warehouse", m.run_ts)
     return summary
+
+
+@register("src_load_data")
+def src_load_data(spark, sf_dir):
+    """The order lines as the typed loader stores them from CSV files, with both
+    audit columns (the part number and id of the file name left out)."""
+    import uuid
+
+    from .plans.pipeline import LINE_TABLES
+    from .schemas import RAW_FILES
+    from .session import shared_path
+    from .sources.csv_loader import load_raw_csv, write_raw_csv
+
+    m = models(spark, sf_dir)
+    files = {t: RAW_FILES[t] for t in LINE_TABLES}
+    base = shared_path(spark, "basketry-csv", uuid.uuid4().hex)
+    write_raw_csv(m.raw, f"{base}/landing", files)
+    loaded, _ = load_raw_csv(spark, f"{base}/landing", f"{base}/warehouse", m.run_ts, files)
+    both = [loaded[t].withColumn("table_name", F.lit(t)) for t in LINE_TABLES]
+    return both[0].unionByName(both[1]).withColumn("_source_file", F.regexp_replace("_source_file", "^part-.*[.]csv$", "part.csv"))

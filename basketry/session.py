@@ -98,6 +98,13 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
 
 
 _ANCHORS: list[str] = []
+_RELEASED = [0]
+
+
+def anchors_generation() -> int:
+    """Number of times the anchors have been released: frames that read
+    anchors, kept by a caller, are good within one generation."""
+    return _RELEASED[0]
 
 
 def cut_lineage(df, label: str = "anchor"):
@@ -121,6 +128,7 @@ def release_anchors(spark) -> int:
     with the checkpoint folder. Returns the count."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     n = 0
+    _RELEASED[0] += 1
     while _ANCHORS:
         p = jvm.org.apache.hadoop.fs.Path(_ANCHORS.pop())
         p.getFileSystem(conf).delete(p, True)

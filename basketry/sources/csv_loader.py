@@ -15,7 +15,7 @@ from __future__ import annotations
 import datetime as dt
 import logging
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -93,9 +93,12 @@ def load_raw_csv(spark: SparkSession, data_dir: str, root: str, run_ts=None,
             summary.append((table, file_name, None, "missing", None))
             continue
         try:
-            tables.commit(read_raw_csv(spark, path, schema, run_ts), root, f"raw_{table}")
+            # rows are counted while they are written: the file is scanned once
+            seen = Observation(f"load_{table}")
+            data = read_raw_csv(spark, path, schema, run_ts).observe(seen, F.count(F.lit(1)).alias("rows"))
+            tables.commit(data, root, f"raw_{table}")
             loaded[table] = tables.read(spark, root, f"raw_{table}")
-            rows = loaded[table].count()
+            rows = seen.get["rows"]
             summary.append((table, file_name, rows, "loaded", None))
             log.info("%s: %d rows loaded into %s", file_name, rows, table)
         except Exception as e:  # noqa: BLE001 - a failing file is reported, others go on
