@@ -3,18 +3,25 @@
 Grades: 0 toxic, 1 not toxic but of low quality, 2 neither. One score
 ``w . x`` with weights shared by all grades meets ordered thresholds:
 ``P(grade > k) = sigmoid(w . x - cut_k)``, ``cut_0 < cut_1``. The thresholds
-and weights are fit together by Adam on the penalised likelihood. ``x`` holds
-for each word ``log(1 + occurrences)`` at two hashed places, so that a word
-that shares one place with another still differs, and a few shares of
-character kinds.
-
-The fit sees a sample of labelled rows of at most about ``FIT_ROWS`` (a hash of
-the id picks them); features are made by Spark, the sample's non-zero entries
-are bounded by ``FIT_ENTRIES``. Every row is scored over its whole text.
+and weights are fit together on the penalised likelihood. ``x`` holds for each
+word ``log(1 + occurrences)`` at two hashed places, so that a word that shares
+one place with another still differs, and a few shares of character kinds.
+
+The fit sees a sample of labelled rows of about ``FIT_ROWS`` at most (a hash of
+the id picks them, whatever their texts; fewer labels are all used). The
+sample's entries are written once. Each round sends the weights to the tasks,
+which return the likelihood and its gradient summed by place, in whole numbers
+of 2 ** -40, so that the sum does not depend on its order; Spark adds the tasks
+up. The driver holds vectors of ``2 * DIMS`` places (L-BFGS with ``MEMORY``
+pairs), never an entry of a row, however many or long the texts are. Places
+that fewer than ``MIN_ROWS`` sample rows use keep no weight: a word of a few
+rows teaches those rows alone. Every row is scored over its whole text.
 
 Results: ``expected_grade`` (0 to 2), ``p_clean`` = P(grade > 0), ``p_good`` =
 P(grade > 1) and ``keep`` (both at least 0.5).
 
+Columns of the input that bear a result's name are replaced by it.
+
 Defined cases: null, empty and wordless texts have grade features of an empty
 text and are scored; several labels of one id are combined (worst grade wins);
 labels with a null id or no rating are not used; without any label
@@ -25,15 +32,16 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut_lineage
 from . import textkit as tk
 
-FIT_ROWS, FIT_ENTRIES, DIMS, ROUNDS, MIN_ROWS = 9_000, 4_000_000, 1 << 18, 120, 10
+FIT_ROWS, DIMS, ROUNDS, MIN_ROWS, RIDGE, MEMORY = 14_000, 1 << 17, 40, 10, 1e-3, 6
 GRADES = 3
+UNIT = 2.0 ** 40  # gradients are added up as whole numbers of this fraction
 _U = np.uint64
 _EXTRA = 8
 _UPPER = np.zeros(256, bool)
@@ -86,42 +94,51 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def fit_ordinal(row: np.ndarray, place: np.ndarray, value: np.ndarray, grade: np.ndarray, *,
-                rounds: int = ROUNDS, rate: float = 0.05, ridge: float = 3e-3) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and ordered cuts of the cumulative-link model."""
-    used, column = np.unique(place, return_inverse=True)
-    column = column.astype(np.int32)
+def likelihood(row: np.ndarray, place: np.ndarray, value: np.ndarray, grade: np.ndarray, each: np.ndarray,
+               weights: np.ndarray, cuts: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """Weighted negative log likelihood of rows, and its slopes by the weights
+    and by the two cuts. ``each`` weighs the rows."""
     n = len(grade)
-    weights = np.bincount(grade, minlength=GRADES)
-    balance = (n / (GRADES * np.maximum(weights, 1.0))) ** 0.5
-    each = balance[grade] / balance[grade].sum()
-    theta = np.zeros(len(used) + 2)  # weights, first cut, log of the distance to the second
-    theta[-2] = -1.0
-    m, v = np.zeros_like(theta), np.zeros_like(theta)
-    for t in range(1, rounds + 1):
-        s = np.bincount(row, weights=value * theta[column], minlength=n)
-        cuts = np.array([theta[-2], theta[-2] + np.exp(theta[-1])])
-        p = _sigmoid(s[:, None] - cuts)
-        high = np.where(grade == 0, 1.0, p[np.arange(n), np.maximum(grade - 1, 0)])
-        low = np.where(grade == GRADES - 1, 0.0, p[np.arange(n), np.minimum(grade, GRADES - 2)])
-        mass = np.maximum(high - low, 1e-9)
-        slope = p * (1 - p)
-        # d log(mass) / d (s - cut_k)
-        d = np.zeros((n, GRADES - 1))
-        for k in range(GRADES - 1):
-            d[:, k] = (np.where(grade - 1 == k, slope[:, k], 0) - np.where(grade == k, slope[:, k], 0)) / mass
-        d = -d * each[:, None]
-        ds = d.sum(axis=1)
-        g = np.empty_like(theta)
-        g[:-2] = np.bincount(column, weights=value * ds[row], minlength=len(used)) + ridge * theta[:-2]
-        g[-2] = -d.sum()
-        g[-1] = -d[:, 1].sum() * np.exp(theta[-1])
-        m = 0.9 * m + 0.1 * g
-        v = 0.999 * v + 0.001 * g * g
-        theta = theta - rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
-    out = np.zeros(2 * DIMS + _EXTRA, np.float32)
-    out[used] = theta[:-2]
-    return out, np.array([theta[-2], theta[-2] + np.exp(theta[-1])])
+    s = np.bincount(row, weights=value * weights[place], minlength=n)
+    p = _sigmoid(s[:, None] - cuts)
+    high = np.where(grade == 0, 1.0, p[np.arange(n), np.maximum(grade - 1, 0)])
+    low = np.where(grade == GRADES - 1, 0.0, p[np.arange(n), np.minimum(grade, GRADES - 2)])
+    mass = np.maximum(high - low, 1e-9)
+    slope = p * (1 - p)
+    by_cut = np.stack([(np.where(grade - 1 == k, slope[:, k], 0) - np.where(grade == k, slope[:, k], 0)) / mass
+                       for k in range(GRADES - 1)], axis=1) * each[:, None]
+    return (-float((each * np.log(mass)).sum()), np.bincount(place, weights=-value * by_cut.sum(axis=1)[row], minlength=len(weights)),
+            by_cut.sum(axis=0))
+
+
+def minimise(f, x: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
+    """L-BFGS with halved steps; ``f`` gives value and slope."""
+    pairs: list[tuple[np.ndarray, np.ndarray]] = []
+    now, g = f(x)
+    for _ in range(rounds):
+        d, kept = -g, []
+        for s, y in reversed(pairs):
+            a = s @ d / (s @ y)
+            d = d - a * y
+            kept.append(a)
+        d *= (pairs[-1][0] @ pairs[-1][1]) / (pairs[-1][1] @ pairs[-1][1]) if pairs else 1 / max(np.abs(g).sum(), 1e-12)
+        for (s, y), a in zip(pairs, reversed(kept)):
+            d = d + (a - y @ d / (s @ y)) * s
+        step, fall = 1.0, g @ d
+        while step > 1e-4:
+            then, slope = f(x + step * d)
+            if then <= now + 1e-4 * step * fall:
+                break
+            step /= 2
+        else:
+            return x
+        s, y = step * d, slope - g
+        if s @ y > 1e-12:
+            pairs = [*pairs, (s, y)][-MEMORY:]
+        x, g, gain, now = x + s, slope, now - then, then
+        if gain < 1e-6 * max(now, 1e-12):
+            return x
+    return x
 
 
 def grades(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -138,9 +155,9 @@ def _entries(batches):
             order = np.argsort(row, kind="stable")
             bounds = np.searchsorted(row[order], np.arange(hi - lo + 1))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("__id")[lo:hi], batch.column("__grade")[lo:hi], tk.lists(tk.as_long(h[order]), bounds),
+                [batch.column("__grade")[lo:hi], tk.lists(tk.as_long(h[order]), bounds),
                  tk.lists(value[order], bounds), tk.lists(extra.reshape(-1), np.arange(hi - lo + 1) * _EXTRA)],
-                ["__id", "__grade", "__h", "__v", "__x"])
+                ["__grade", "__h", "__v", "__x"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
@@ -153,30 +170,89 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     pick = F.pmod(F.xxhash64(F.lit("quality-sample"), F.col("__lid").cast("string")), F.lit(1 << 20)) / F.lit(float(1 << 20))
     # the sample of labels is bounded by fit_rows; texts are read for these ids only
     sample = F.broadcast(graded.where(pick < min(1.0, fit_rows / n)).limit(fit_rows * 2))
-    known = docs.join(sample, docs[id_col] == F.col("__lid")).select(
-        F.col("__lid").cast("string").alias("__id"), F.col("__grade"), F.col(text_col).alias("__t"))
-    rows = known.mapInArrow(_entries, "__id string, __grade int, __h array<bigint>, __v array<float>, __x array<float>")
-    table = rows.toArrow()
-    if not table.num_rows:
+    known = docs.join(sample, docs[id_col] == F.col("__lid")).select("__grade", F.col(text_col).alias("__t"))
+    rows = cut_lineage(known.mapInArrow(_entries, "__grade int, __h array<bigint>, __v array<float>, __x array<float>"), "op8-sample")
+    count = {r["__grade"]: r["n"] for r in rows.groupBy("__grade").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not count:
         return None
-    # rows in a fixed order, so that reruns agree
-    table = table.take(pc.sort_indices(table, [("__id", "ascending"), ("__grade", "ascending")])).combine_chunks()
-    lists = table.column("__h").chunk(0)
-    size = np.diff(lists.offsets.to_numpy())
-    n = max(1, int(np.searchsorted(np.cumsum(size), FIT_ENTRIES, "right")))
-    h = lists.flatten().to_numpy().view(_U)[:size[:n].sum()]
-    value = table.column("__v").chunk(0).flatten().to_numpy()[:len(h)]
-    extra = table.column("__x").chunk(0).flatten().to_numpy()[:n * _EXTRA].reshape(n, _EXTRA)
-    grade = table.column("__grade").to_numpy()[:n].astype(np.int64)
-    del table, lists
-    # words of a few rows only teach the rows themselves
-    _, back, seen = np.unique(h, return_inverse=True, return_counts=True)
-    common = seen[back] >= MIN_ROWS
-    row = np.repeat(np.arange(n, dtype=np.int32), size[:n])[common]
-    h, value = h[common], value[common]
-    del back, seen, common
-    weights, cuts = fit_ordinal(*design(row, h, value, extra), grade)
-    return {"weights": weights, "cuts": cuts}
+    # rarer grades count more, by the root of their share; all rows weigh 1 together
+    total = sum(count.values())
+    share = np.array([(total / (GRADES * max(count.get(k, 0), 1))) ** 0.5 for k in range(GRADES)])
+    share /= sum(share[k] * n for k, n in count.items())
+    size = 2 * DIMS + _EXTRA
+    # one aggregated row per place: at most ``size``
+    used = _summed(rows, _places_used, "n bigint")
+    seen = np.zeros(size, np.int64)
+    seen[used.column("place").to_numpy()] = used.column("n").to_numpy()
+    free = seen >= MIN_ROWS
+    free[2 * DIMS:] = True
+    sc = rows.sparkSession.sparkContext
+
+    def value(theta: np.ndarray) -> tuple[float, np.ndarray]:
+        weights = np.zeros(size)
+        weights[free] = theta[:-2]
+        held = sc.broadcast((weights, _cuts(theta), share))
+        got = _summed(rows, _slopes(held), "n bigint")
+        held.destroy()
+        sums = np.zeros(size + 3)
+        sums[got.column("place").to_numpy()] = got.column("n").to_numpy() / UNIT
+        loss, (first, second) = sums[size + 2], sums[size:size + 2]
+        slope = np.append(sums[:size][free] + RIDGE * theta[:-2], [first + second, second * np.exp(theta[-1])])
+        return loss + RIDGE / 2 * float(theta[:-2] @ theta[:-2]), slope
+
+    theta = minimise(value, np.append(np.zeros(int(free.sum())), [-1.0, 0.0]))
+    weights = np.zeros(size, np.float32)
+    weights[free] = theta[:-2]
+    return {"weights": weights, "cuts": _cuts(theta)}
+
+
+def _cuts(theta: np.ndarray) -> np.ndarray:
+    """The ordered thresholds: the first, and the log of the distance to the second."""
+    return np.array([theta[-2], theta[-2] + np.exp(theta[-1])])
+
+
+def _design(batch: pa.RecordBatch):
+    """(row, place, value), grades and number of rows of a batch of the sample."""
+    h = batch.column("__h")
+    row = np.repeat(np.arange(len(batch), dtype=np.int32), np.diff(h.offsets.to_numpy()))
+    extra = batch.column("__x").flatten().to_numpy().reshape(len(batch), _EXTRA)
+    return design(row, h.flatten().to_numpy().view(_U), batch.column("__v").flatten().to_numpy(), extra)
+
+
+def _told(place: np.ndarray, n: np.ndarray):
+    for lo in range(0, len(place), 100_000):
+        yield pa.RecordBatch.from_arrays([pa.array(place[lo:lo + 100_000].astype(np.int32)), pa.array(n[lo:lo + 100_000].astype(np.int64))], ["place", "n"])
+
+
+def _places_used(batches):
+    total = np.zeros(2 * DIMS + _EXTRA, np.int64)
+    for batch in batches:
+        for lo in range(0, len(batch), 512):
+            total += np.bincount(_design(batch.slice(lo, 512))[1], minlength=len(total))
+    at = np.flatnonzero(total)
+    yield from _told(at, total[at])
+
+
+def _slopes(held):
+    """Tasks: slopes by place, then by the cuts, then the value, as whole numbers."""
+    def run(batches):
+        weights, cuts, share = held.value
+        total = np.zeros(len(weights) + 3)
+        for batch in batches:
+            for lo in range(0, len(batch), 512):
+                part = batch.slice(lo, 512)
+                grade = part.column("__grade").to_numpy().astype(np.int64)
+                loss, by_weight, by_cut = likelihood(*_design(part), grade, share[grade], weights, cuts)
+                total[:-3] += by_weight
+                total[-3:-1] += by_cut
+                total[-1] += loss
+        at = np.flatnonzero(total)
+        yield from _told(at, np.rint(total[at] * UNIT))
+    return run
+
+
+def _summed(rows: DataFrame, run, column: str) -> pa.Table:
+    return rows.mapInArrow(run, "place int, " + column).groupBy("place").agg(F.sum("n").alias("n")).toArrow().combine_chunks()
 
 
 def score_rows(model: dict, data: np.ndarray, off: np.ndarray) -> np.ndarray:
