@@ -14,7 +14,12 @@
    first, until no node is left, so no bucket is cut off. Only nodes of
    different classes meet, and only if their k-mers can reach the threshold:
    a k-mer that occurs in no other node is in no chain, so a node with c others of its m
-   k-mers links only with nodes of at most c * (1 + t) / t - m k-mers (exact).
+   k-mers links only with nodes of at most c * (1 + t) / t - m k-mers (exact). Of these, a
+   pair is compared only if its signatures fit the threshold: ``BITS`` bits, each of the least
+   k-mer by one more hash function. Two nodes of similarity t differ in (1 - t) / 2 of them on
+   average; pairs that differ in more than ``SPREAD`` standard deviations above that are set
+   aside (at the threshold one pair in 300,000, fewer above it). They are told apart inside the
+   lists of a bucket, before a row is made for a pair.
 4. *Banded alignment.* A pair's labelled k-mers are matched inside a diagonal
    band whose width follows from the lengths and the threshold; the longest
    increasing chain L of matches gives the similarity L / (m + n - L), an order-aware
@@ -41,10 +46,12 @@ from ..session import cut_lineage
 from . import textkit as tk
 
 K, ORDER, SKETCHES, THRESHOLD = 5, 4, 24, 0.8
+BITS, SPREAD = 1024, 4.5
 FORMING = 16  # up to so many centres of a bucket are its nodes that share most keys
 STEP = 256  # a bucket's centres in one round; rounds go on until no node is left
 _U = np.uint64
 _TOP = _U(0xFFFFFFFFFFFFFFFF)
+_FLIPS = np.random.default_rng(20240301).integers(1, 2 ** 63, (BITS, 2), dtype=np.uint64) * _U(2) + _U(1)
 _SEEDS = np.random.default_rng(20240229).integers(1, 2 ** 63, (SKETCHES, 2), dtype=np.uint64) * _U(2) + _U(1)
 
 
@@ -121,6 +128,26 @@ def _sketch(grams: np.ndarray, at: np.ndarray, rows: int) -> np.ndarray:
     return keys
 
 
+def _signature(grams: np.ndarray, at: np.ndarray, rows: int) -> np.ndarray:
+    """One bit of each hash function's least k-mer, rows x BITS / 64 words."""
+    size = np.bincount(at, minlength=rows)
+    have = np.flatnonzero(size)
+    words = np.zeros((rows, BITS // 64), _U)
+    if len(have):
+        start = np.zeros(len(have), np.int64)
+        np.cumsum(size[have][:-1], out=start[1:])
+        for i, (flip, factor) in enumerate(_FLIPS):
+            least = np.minimum.reduceat((grams ^ flip) * factor, start)
+            words[have, i // 64] |= (tk.mix(least) & _U(1)) << _U(i % 64)
+    return words
+
+
+def allowed_bits(threshold: float) -> int:
+    """Bits in which the signatures of a pair to compare may differ."""
+    p = (1 - threshold) / 2
+    return int(BITS * p + SPREAD * (BITS * p * (1 - p)) ** 0.5)
+
+
 def _digests(one: np.ndarray, two: np.ndarray, some: np.ndarray) -> pa.Array:
     raw = np.stack([one, two], axis=1).tobytes()
     return pa.array([raw[16 * i:16 * i + 16] if some[i] else None for i in range(len(one))], pa.binary())
@@ -141,8 +168,10 @@ def _kmer_batches(batches):
         for lo, hi, data, off in tk.pieces(batch, "__t"):
             count, one, two, grams, at = _kmers(data, off)
             bounds = np.searchsorted(at, np.arange(hi - lo + 1))
+            words = tk.as_long(_signature(grams, at, hi - lo))
             yield pa.RecordBatch.from_arrays(
-                [_digests(one, two, count > 0), tk.lists(tk.as_long(grams), bounds)], ["__c", "__g"])
+                [_digests(one, two, count > 0), tk.lists(tk.as_long(grams), bounds),
+                 tk.lists(words.reshape(-1), np.arange(hi - lo + 1) * (BITS // 64))], ["__c", "__g", "__sig"])
 
 
 def aligned(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> float:
@@ -211,7 +240,7 @@ def _links(nodes: DataFrame, texts: DataFrame, threshold: float) -> tuple[DataFr
     asked = cut_lineage(rank.select("__c").join(nodes.select("__c", F.col("__rep").alias("__id")), "__c"), "op2-asked")
     # each text moves once, at every size
     found = texts.join(asked.select("__id").distinct().hint("shuffle_hash"), texts["__d"].eqNullSafe(F.col("__id"))).select("__t")
-    grams = found.mapInArrow(_kmer_batches, "__c binary, __g array<bigint>")
+    grams = found.mapInArrow(_kmer_batches, "__c binary, __g array<bigint>, __sig array<bigint>")
     grams = cut_lineage(grams.join(asked.select("__c").hint("shuffle_hash"), "__c", "left_semi").dropDuplicates(["__c"]), "op2-grams")
     # a node links only if threshold of its k-mers occur in some other node at all
     kmers = grams.select("__c", F.size("__g").alias("__m"), F.explode("__g").alias("__g"))
@@ -220,13 +249,14 @@ def _links(nodes: DataFrame, texts: DataFrame, threshold: float) -> tuple[DataFr
     able = (kmers.join(often, "__g").groupBy("__c").agg(F.count(F.lit(1)).alias("__n"), F.first("__m").alias("__m"))
             .select("__c", "__m", (F.col("__n") * ((1 + threshold) / threshold) - F.col("__m") + 1e-6).alias("__hi"))
             .where(F.col("__hi") >= threshold * F.col("__m")))
+    able = able.join(grams.select("__c", "__sig"), "__c")
     members = _open(members.join(able, "__c").withColumn("__l", F.col("__c")), "op2-able")
     if members.isEmpty():
         return None
     links, tested, classes, centres = None, None, None, 1
     while True:
         if centres == 1:
-            top = members.groupBy("__k").agg(F.max(F.struct("__s", "__c", "__m", "__hi")).alias("__top")).select("__k", "__top.*")
+            top = members.groupBy("__k").agg(F.max(F.struct("__s", "__c", "__m", "__hi", "__sig")).alias("__top")).select("__k", "__top.*")
             members = members.withColumn("__z", F.lit(1).cast("long"))
             chosen = top.withColumn("__l", F.col("__c"))
         else:
@@ -235,12 +265,13 @@ def _links(nodes: DataFrame, texts: DataFrame, threshold: float) -> tuple[DataFr
             w = Window.partitionBy("__k").orderBy(*order, F.col("__c").desc())
             chosen = members.withColumn("__i", F.row_number().over(w)).where(F.col("__i") <= centres)
         chosen = cut_lineage(chosen.select("__k", F.struct(F.col("__c").alias("b"), F.col("__l").alias("l"), F.col("__m").alias("m"),
-                                                           F.col("__hi").alias("hi")).alias("__b")), "op2-centres")
+                                                           F.col("__hi").alias("hi"), F.col("__sig").alias("sig")).alias("__b")), "op2-centres")
         # Texts that are in one class already, or whose k-mers cannot reach the threshold, need no
         # comparison. A bucket's centres (at most STEP) travel as one list, a node's lists are merged:
         # a pair that shares many buckets is one row.
         lists = members.join(chosen.groupBy("__k").agg(F.collect_list("__b").alias("__bs")), "__k").select("__c", F.transform(F.filter(
-            "__bs", lambda x: (x["l"] != F.col("__l")) & (F.col("__m") <= x["hi"]) & (x["m"] <= F.col("__hi"))), lambda x: x["b"]).alias("__bs"))
+            "__bs", lambda x: (x["l"] != F.col("__l")) & (F.col("__m") <= x["hi"]) & (x["m"] <= F.col("__hi")) & _alike(x["sig"], threshold)),
+            lambda x: x["b"]).alias("__bs"))
         met = lists.where(F.size("__bs") > 0).groupBy("__c").agg(F.array_distinct(F.flatten(F.collect_list("__bs"))).alias("__bs"))
         pairs = (met.select("__c", F.explode("__bs").alias("__b"))
                  .select(F.least("__c", "__b").alias("__a"), F.greatest("__c", "__b").alias("__b")).distinct())
@@ -264,6 +295,12 @@ def _links(nodes: DataFrame, texts: DataFrame, threshold: float) -> tuple[DataFr
         centres = min(centres * 16, STEP)
 
 
+def _alike(other, threshold: float):
+    """Whether a signature and ``__sig`` fit the threshold."""
+    differing = F.aggregate(F.zip_with(other, "__sig", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda n, x: n + x)
+    return differing <= allowed_bits(threshold)
+
+
 def _open(members: DataFrame, tag: str) -> DataFrame:
     """``members`` without buckets of one class and without nodes that can
     reach the threshold with no size in their bucket."""
