@@ -3,12 +3,16 @@ benchmark leaks, mix sources. Each stage is written as Parquet to the shared
 folder and read again as the next one's documents.
 
 Stages take ``(spark, docs, sf_dir)``; all but the last return the columns of
-``docs`` (any extra columns pass through; ``n_chars``, where present, follows a
-changed text).
+``docs``. Extra columns pass through whatever their names are: an operator never
+sees them under a name that it uses itself. ``n_chars``, where present, follows a
+changed text.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,12 +25,27 @@ from basketry.llm.near_dup import keep_first
 from basketry.session import cut_lineage
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _keeping_columns(stage: Stage) -> Stage:
+    """``stage`` with columns that are not the documents' own under private names."""
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        names = [c if c in DOCUMENT else f"__extra_{i}" for i, c in enumerate(docs.columns)]
+        return stage(spark, docs.toDF(*names), sf_dir).select(*names).toDF(*docs.columns)
+    return run_stage
+
+
+@_keeping_columns
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the ordinal classifier keeps (P(not toxic) and P(good) at least 0.5)."""
     model = rating.fit(docs, read(spark, sf_dir, "labels"))
     return rating.rate(docs, model).where("keep").select(docs.columns)
 
 
+@_keeping_columns
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Recurring lines go from all documents but the first; no document goes."""
     return _with_chars(docs, line_dedup(docs))
@@ -38,6 +57,7 @@ def _with_chars(docs: DataFrame, got: DataFrame) -> DataFrame:
     return got.select(docs.columns)
 
 
+@_keeping_columns
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate class stays; long lines that two or
     more of these still share go from all but the first."""
@@ -45,6 +65,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return _with_chars(left, long_line_dedup(left))
 
 
+@_keeping_columns
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a benchmark passage go."""
     return decontaminate(docs, read(spark, sf_dir, "benchmark")).where(~F.col("contaminated")).select(docs.columns)
