@@ -41,3 +41,18 @@ def test_long_lines_of_two_documents(spark):
     got = {r[0]: (r[1], r[2]) for r in P.near_duplicates(spark, docs, SF).collect()}
     want = {i: "\n".join(x) for i, x in texts.items()} | {2: words("b", 70), None: words("d", 70)}
     assert got == {i: (t, len(t)) for i, t in want.items()}
+
+
+def test_extra_columns_with_the_operators_names(spark):
+    names = ["keep", "expected_grade", "n_lines", "n_dropped", "n_hit", "items", "contaminated", "class_id", "__t", "m"]
+    words = lambda tag, n: " ".join(f"{tag}{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(n))
+    rows = [(i, words(f"t{i}", 40), "en", "s", 5, *[f"{c} of {i}" for c in names]) for i in range(6)]
+    columns = ["doc_id", "text", "lang", "source", "n_chars", *names]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int, " + ", ".join(f"{c} string" for c in names))
+    for name, stage in P.STAGES[:-1]:
+        got = stage(spark, docs, SF)
+        assert got.dtypes == docs.dtypes, name
+        for r in got.collect():
+            assert [r[c] for c in names] == [f"{c} of {r['doc_id']}" for c in names], name
+    assert P.mixing(spark, docs, SF).columns == ["doc_id", "source", "size", "source_size", "target", "taken"]
+    assert columns == docs.columns
