@@ -20,13 +20,16 @@ the document with the smallest id and are dropped from all others.
 
 Shape of the job: only digests of lines (16 bytes) are shuffled; tokens are
 exploded just for leaves that hold several different lines and enough
-documents. Document texts meet the drop lists in one join on the id. Hot lines
-are pre-aggregated map-side.
+documents. Document texts meet the drop lists in one join on the id, rows
+without an id on a hash of their text too, so that many of them are neither one
+task nor one long list. Hot lines are pre-aggregated map-side.
 
 Defined cases: null text stays null and has no line; an empty text or line is
 never dropped; lines under ``min_tokens`` tokens are never dropped; rows with
-the same id are one document (null is one id, ordered last); repeated rows are
-all kept, with the same decisions; extra columns pass through.
+the same id are one document (null is one id, ordered last); rows that repeat an
+id share its drop list; repeated rows are all kept, with the same decisions;
+extra columns pass through, but for ``n_lines`` and ``n_dropped``, which the
+results replace.
 """
 
 from __future__ import annotations
@@ -56,12 +59,26 @@ def _digest(c: Column) -> Column:
     return F.unhex(F.md5(c))
 
 
+def _text_key(id_: Column, text: Column) -> Column:
+    """Tells rows without an id apart; 0 for all others."""
+    return F.when(id_.isNull(), F.xxhash64(text)).otherwise(F.lit(0).cast("long"))
+
+
+def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).alias("__d"), _text_key(F.col(id_col), F.col(text_col)).alias("__x"), F.col(text_col).alias("__t"))
+
+
+def _documents() -> Column:
+    """Documents among rows of one line, one row an id and text key."""
+    return F.count("__d") + F.max(F.col("__d").isNull().cast("long"))
+
+
 def _lines(src: DataFrame, min_tokens: int) -> DataFrame:
-    """Rows (``__d``, position ``__p``, masked line ``__m``, tokens ``__n``);
-    masking inside the generated array runs once for each line."""
-    m = src.select("__d", F.posexplode(F.transform(F.split("__t", "\n"), masked)).alias("__p", "__m"))
+    """Rows (``__d``, ``__x``, position ``__p``, masked line ``__m``, tokens
+    ``__n``); masking inside the generated array runs once for each line."""
+    m = src.select("__d", "__x", F.posexplode(F.transform(F.split("__t", "\n"), masked)).alias("__p", "__m"))
     n = F.length("__m") - F.length(F.replace(F.col("__m"), F.lit(" "), F.lit(""))) + 1
-    return m.select("__d", "__p", "__m", n.alias("__n")).where(F.col("__n") >= min_tokens)
+    return m.select("__d", "__x", "__p", "__m", n.alias("__n")).where(F.col("__n") >= min_tokens)
 
 
 def _leaf(depth: int) -> Column:
@@ -107,25 +124,26 @@ def _templates(words: DataFrame, min_docs: int, similarity: float) -> DataFrame:
 def line_templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
                    depth: int = DEPTH, min_tokens: int = MIN_TOKENS,
                    min_docs: int = MIN_DOCS, similarity: float = SIMILARITY) -> DataFrame:
-    """Lines to drop: rows (``__d`` document id, ``__k`` digest of the masked
-    line), one per document and distinct masked line."""
+    """Lines to drop: rows (``__d`` document id, ``__x`` text key of a row without
+    id, ``__k`` digest of the masked line), each once."""
     if not 0 < depth < min_tokens:
         raise ValueError("min_tokens must exceed depth, depth must be positive")
-    src = docs.select(F.col(id_col).alias("__d"), F.col(text_col).alias("__t"))
+    src = _source(docs, id_col, text_col)
     occ = cut_lineage(
         _lines(src, min_tokens)
-        .select("__d", "__p", _digest(_leaf(depth)).alias("__leaf"), _digest(F.col("__m")).alias("__k"))
-        .groupBy("__d", "__leaf", "__k").agg(F.min("__p").alias("__p")), "op1-lines")
-    # where: one place to read a line's text from again
+        .select("__d", "__x", "__p", _digest(_leaf(depth)).alias("__leaf"), _digest(F.col("__m")).alias("__k"))
+        .groupBy("__d", "__x", "__leaf", "__k").agg(F.min("__p").alias("__p")), "op1-lines")
+    # where: one place to read a line's text from again, in a row with an id if there is one
     per_line = cut_lineage(occ.groupBy("__leaf", "__k").agg(
-        F.count(F.lit(1)).alias("__docs"), F.min(F.struct("__d", "__p")).alias("__where")), "op1-distinct")
+        _documents().alias("__docs"), F.min(F.struct(F.col("__d").isNull().alias("__no"), "__d", "__x", "__p")).alias("__where")), "op1-distinct")
     # leaves with several lines and enough documents to recur
     contested = (per_line.groupBy("__leaf").agg(F.sum("__docs").alias("__sum"), F.count(F.lit(1)).alias("__lines"))
                  .where((F.col("__lines") > 1) & (F.col("__sum") >= min_docs)).select("__leaf", "__sum"))
     asked = cut_lineage(per_line.join(contested, "__leaf").select(
-        "__leaf", "__sum", "__k", "__docs", F.col("__where.__d").alias("__id"), F.col("__where.__p").alias("__p")), "op1-asked")
-    places = cut_lineage(asked.groupBy("__id").agg(F.concat_ws(",", F.collect_set("__p")).alias("__ps")), "op1-places")
-    there = join_small(src, places, src["__d"].eqNullSafe(places["__id"]), "inner", BROADCAST_BYTES)
+        "__leaf", "__sum", "__k", "__docs", F.col("__where.__d").alias("__id"),
+        F.col("__where.__x").alias("__ix"), F.col("__where.__p").alias("__p")), "op1-asked")
+    places = cut_lineage(asked.groupBy("__id", "__ix").agg(F.concat_ws(",", F.collect_set("__p")).alias("__ps")), "op1-places")
+    there = join_small(src, places, src["__d"].eqNullSafe(places["__id"]) & (src["__x"] == places["__ix"]), "inner", BROADCAST_BYTES)
     wanted = F.transform(F.split("__ps", ","), lambda p: F.get(F.split("__t", "\n"), p.cast("int")))
     lines = (there.select(F.explode(wanted).alias("__l")).where(F.col("__l").isNotNull())
              .select(masked(F.col("__l")).alias("__m")).distinct()
@@ -137,7 +155,7 @@ def line_templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     member = _templates(words, min_docs, similarity)
     # a leaf digest and a line digest never meet: the leaf's text starts with a count
     member = cut_lineage(member, "op1-member")
-    tagged = (join_small(occ.select("__d", "__k"), member, "__k", "left", BROADCAST_BYTES)
+    tagged = (join_small(occ.select("__d", "__x", "__k"), member, "__k", "left", BROADCAST_BYTES)
               .withColumn("__tpl", F.coalesce("__tpl", "__k")))
     recurring = cut_lineage(
         tagged.select("__d", "__tpl").distinct()
@@ -145,19 +163,19 @@ def line_templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .where(F.col("__docs") >= min_docs).select("__tpl", "__first"), "op1-recurring")
     return (join_small(tagged, recurring, "__tpl", "inner", BROADCAST_BYTES)
             .where(F.col("__d").isNull() | (F.col("__d") != F.col("__first")))
-            .select("__d", "__k"))
+            .select("__d", "__x", "__k"))
 
 
 def long_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
                min_tokens: int = LONG_TOKENS, min_docs: int = LONG_DOCS) -> DataFrame:
-    """Rows (``__d``, ``__k``) as ``line_templates`` has them: masked lines of at
+    """Rows (``__d``, ``__x``, ``__k``) as ``line_templates`` has them: masked lines of at
     least ``min_tokens`` tokens that ``min_docs`` or more documents share."""
-    src = docs.select(F.col(id_col).alias("__d"), F.col(text_col).alias("__t"))
-    occ = cut_lineage(_lines(src, min_tokens).select("__d", _digest(F.col("__m")).alias("__k")).distinct(), "op1-long")
-    recurring = cut_lineage(occ.groupBy("__k").agg(F.count(F.lit(1)).alias("__docs"), F.min("__d").alias("__first"))
+    src = _source(docs, id_col, text_col)
+    occ = cut_lineage(_lines(src, min_tokens).select("__d", "__x", _digest(F.col("__m")).alias("__k")).distinct(), "op1-long")
+    recurring = cut_lineage(occ.groupBy("__k").agg(_documents().alias("__docs"), F.min("__d").alias("__first"))
                             .where(F.col("__docs") >= min_docs).select("__k", "__first"), "op1-long-recurring")
     return (join_small(occ, recurring, "__k", "inner", BROADCAST_BYTES)
-            .where(F.col("__d").isNull() | (F.col("__d") != F.col("__first"))).select("__d", "__k"))
+            .where(F.col("__d").isNull() | (F.col("__d") != F.col("__first"))).select("__d", "__x", "__k"))
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
@@ -175,12 +193,12 @@ def long_line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def _cleared(docs: DataFrame, drops: DataFrame, id_col: str, text_col: str) -> DataFrame:
     lists = cut_lineage(
-        drops.groupBy("__d").agg(F.concat_ws("", F.sort_array(F.collect_set(F.hex("__k")))).alias("__drop"))
-        .withColumnRenamed("__d", "__id"), "op1-drops")
-    mark = docs.drop("n_lines", "n_dropped").withColumn("__id", F.col(id_col))
-    on = mark["__id"].eqNullSafe(lists["__id"])
+        drops.groupBy("__d", "__x").agg(F.concat_ws("", F.sort_array(F.collect_set(F.hex("__k")))).alias("__drop"))
+        .withColumnsRenamed({"__d": "__id", "__x": "__ix"}), "op1-drops")
+    mark = docs.drop("n_lines", "n_dropped").withColumns({"__id": F.col(id_col), "__ix": _text_key(F.col(id_col), F.col(text_col))})
+    on = mark["__id"].eqNullSafe(lists["__id"]) & (mark["__ix"] == lists["__ix"])
     # texts meet their lists by a shuffle at every size: the lists grow with the documents
-    got = mark.join(lists.hint("shuffle_hash"), on, "left").drop("__id")
+    got = mark.join(lists.hint("shuffle_hash"), on, "left").drop("__id", "__ix")
     size = 32  # hex digits of a digest
     cut = F.filter(F.split(text_col, "\n"), lambda x: ~F.array_contains(
         F.col("__list"), F.upper(F.md5(masked(x)))))

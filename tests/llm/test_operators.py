@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from basketry.llm import lang_id, lm_score, oracle, quality, secrets
 from basketry.llm.decontam import decontaminate
-from basketry.llm.line_dedup import line_dedup
+from basketry.llm.line_dedup import line_dedup, line_templates
 from basketry.llm.mixing import mix
 from basketry.llm.near_dup import aligned, keep_first, near_duplicates
 from basketry.llm.suffix_dedup import deep_shallow, dedup_substrings
@@ -34,6 +34,23 @@ def test_line_dedup_matches_sql(spark, odd_docs, duck, as_table):
     assert sum(r[2] for r in rows) > 0
 
 
+def test_line_dedup_of_many_rows_without_id(spark, duck, as_table):
+    shared = [f"shared line of group {chr(97 + g)} {chr(98 + g)} with words" for g in range(6)]
+    rows = []
+    for i in range(120):
+        own = [f"own line {chr(97 + i % 26)}{chr(97 + i // 26)} number{j} here it stands" for j in range(3)]
+        rows.append((None if i % 3 == 0 else i, "\n".join([own[0], shared[i % 6], *own[1:], shared[(i * 5) % 6]])))
+    rows += [rows[0], rows[1], (None, None), (None, ""), (7, "another text under the same id\n" + shared[0])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    as_table("documents", df)
+    got = line_dedup(df).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256)).collect()
+    _same([tuple(r) for r in got], duck.sql(oracle.OP1).fetchall())
+    assert sum(r["n_dropped"] for r in got if r["doc_id"] is None) > 40
+    # a row without id has the lines of its own text to drop, not those of all such rows
+    lists = line_templates(df).where("__d is null").groupBy("__x").count().collect()
+    assert len(lists) > 30 and max(r["count"] for r in lists) <= 5
+
+
 @pytest.mark.parametrize("shares", [(6, 6), (8, 8, 4), (6, 6, 6, 6), (6, 6, 60)])
 def test_line_dedup_finds_all_templates_of_a_leaf(spark, shares):
     kinds = ["disk {} on rack {} was mounted read only", "user {} from city {} logged in again", "cron {} at host {} finished without any error",
