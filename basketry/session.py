@@ -10,10 +10,11 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
-# Settings every job relies on. Applied with ``setIfMissing`` semantics so a
-# cluster's own configuration always wins.
+# Settings every job relies on. What the launcher was given (``--conf``, its
+# defaults file) wins over them.
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -34,10 +35,20 @@ LOCAL_CONF = {
 }
 
 
+def launcher_conf() -> dict[str, str]:
+    """What ``spark-submit`` was given for this application; nothing where the
+    session is started by this process itself."""
+    if "PYSPARK_GATEWAY_PORT" not in os.environ:
+        return {}
+    SparkContext._ensure_initialized()  # joins the launcher's JVM, whose properties hold the settings
+    return dict(SparkConf().getAll())
+
+
 def get_session(master: str | None = None, app_name: str = "basketry",
                 shuffle_partitions: int | None = None,
                 extra: dict[str, str] | None = None) -> SparkSession:
     """Return the active session, creating one with :data:`DEFAULT_CONF`.
+    Settings of the launcher win over the defaults, arguments over both.
 
     ``master`` is only used when no session exists yet (tests, bench); on a
     cluster the submitter decides.
@@ -52,6 +63,8 @@ def get_session(master: str | None = None, app_name: str = "basketry",
     conf = dict(DEFAULT_CONF)
     if master and master.startswith("local"):
         conf.update(LOCAL_CONF)
+    given = launcher_conf()
+    conf = {k: v for k, v in conf.items() if k not in given}
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

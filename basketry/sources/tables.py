@@ -239,11 +239,13 @@ def compact(spark: SparkSession, root: str, name: str) -> str:
     return commit(read(spark, root, name), root, name)
 
 
-def one_per_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """One row per ``key``: of several the greatest, compared column by column
-    in table order (nulls first)."""
-    rest = [c for c in df.columns if c not in key]
-    return (df.groupBy(*key).agg(F.max(F.struct(*rest)).alias("__row"))
+def one_per_key(df: DataFrame, key: Sequence[str], latest: Sequence[str] = ()) -> DataFrame:
+    """One row per ``key``: of several the one with the greatest ``latest``
+    columns, then the greatest of the others, compared column by column in
+    table order (nulls first)."""
+    first = [c for c in latest if c not in key]
+    rest = [c for c in df.columns if c not in key and c not in first]
+    return (df.groupBy(*key).agg(F.max(F.struct(*first, *rest)).alias("__row"))
             .select(*key, "__row.*").select(*df.columns))
 
 

@@ -7,6 +7,9 @@ table (``foreachBatch``); ``trigger(availableNow=True)`` processes what has
 arrived and stops, which is the scheduled daily run. The stream's checkpoint
 records processed files, so a restarted or retried run neither skips nor
 double-loads a file, and the key upsert makes a replayed batch idempotent.
+Of several rows of one key in a micro-batch the one in the file written last
+stays (then by file name; within a file, whose rows have no order in Spark, the
+greatest), so a correction that arrives with what it corrects is not lost.
 """
 
 from __future__ import annotations
@@ -48,7 +51,8 @@ def start_daily_load(spark: SparkSession, landing_dir: str, root: str, checkpoin
               .option("maxFilesPerTrigger", FILES_PER_BATCH)
               .csv(path)
               .select(*[F.col(f"`{named[f.name.lower()]}`").alias(f.name) for f in schema.fields],
-                      F.col("_metadata.file_name").alias("_source_file")))
+                      F.col("_metadata.file_name").alias("_source_file"),
+                      F.col("_metadata.file_modification_time").alias("_file_time")))
     # Raw tables keep the audit columns last, as the batch loader writes them.
     writer = (source.writeStream
               .foreachBatch(_upsert_batch(root, f"raw_{table}", RAW_KEYS[table]))
@@ -61,10 +65,11 @@ def _upsert_batch(root: str, table: str, key: list[str]):
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         now = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
-        cols = [c for c in batch.columns if c != "_source_file"]
-        stamped = batch.select(*cols, F.to_timestamp(F.lit(now)).alias("_loaded_at"), "_source_file")
+        cols = [c for c in batch.columns if c not in ("_source_file", "_file_time")]
+        newest = tables.one_per_key(batch, key, ["_file_time", "_source_file"])
+        stamped = newest.select(*cols, F.to_timestamp(F.lit(now)).alias("_loaded_at"), "_source_file")
         # Written once as a segment; only segments with colliding keys are rewritten.
-        tables.upsert_commit(tables.one_per_key(stamped, key), root, table, key,
+        tables.upsert_commit(stamped, root, table, key,
                              prune="order_id" if "order_id" in key else None)
     return apply
 
