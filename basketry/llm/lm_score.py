@@ -9,6 +9,13 @@ behind the common dish is drawn from a restaurant of the other tokens alone, ove
 a uniform base with one place for all unknown ones. So all probabilities of a
 context sum to one, over the event space of an add-one unigram.
 
+Pairs with one of the other tokens are kept as well (``other_pairs``, as the query
+does): of every such token as a context there is a restaurant of its own, below
+the common one, and of every frequent context one of the other tokens behind it,
+below their restaurant without context. Their pairs, by 64-bit hash, are counted
+by Spark, a table a dish; what each adds meets the texts in a join, so that no
+token goes without its pairs however many there are.
+
 Seating is sampled by blocked Gibbs sweeps: given the tables of all other dishes
 and of the parent in the sweep before, the customers of a dish in a restaurant
 take their seats anew, one after the other (blocks of customers for very frequent
@@ -103,14 +110,23 @@ class Names:
         at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
         return np.where(self.keys[at] == h, at, self.rare)
 
-    def steps(self, x: np.ndarray, row: np.ndarray, rows: int):
+    def steps(self, x: np.ndarray, row: np.ndarray, rows: int, end=None):
         """(row, context, dish) of all tokens and of the rows' ends."""
-        before = np.full(len(x), self.end)
-        before[1:] = np.where(row[1:] == row[:-1], x[:-1], self.end)
+        end = self.end if end is None else end
+        before = np.full(len(x), end, x.dtype)
+        before[1:] = np.where(row[1:] == row[:-1], x[:-1], end)
         count = np.bincount(row, minlength=rows)
-        last = np.full(rows, self.end)
+        last = np.full(rows, end, x.dtype)
         last[count > 0] = x[np.cumsum(count)[count > 0] - 1]
-        return (np.concatenate([row, np.arange(rows)]), np.concatenate([before, last]), np.concatenate([x, np.full(rows, self.end)]))
+        return (np.concatenate([row, np.arange(rows)]), np.concatenate([before, last]), np.concatenate([x, np.full(rows, end, x.dtype)]))
+
+    def other_steps(self, h: np.ndarray, row: np.ndarray, rows: int):
+        """(row, context, dish, pair) by hash of the steps with a token that is not frequent."""
+        x = self.of(h)
+        _, context, dish = self.steps(x, row, rows)
+        other = (context == self.rare) | (dish == self.rare)
+        at, c, d = (v[other] for v in self.steps(h, row, rows, _U(_END)))
+        return at, c, d, tk.mix(tk.mix(c) + d * _U(0x9E3779B97F4A7C15))
 
     def pairs(self, context: np.ndarray, dish: np.ndarray) -> np.ndarray:
         return context.astype(np.int64) * self.step + dish
@@ -295,6 +311,78 @@ def _hot(names: Names, least: float):
     return run
 
 
+def _other_pairs(held):
+    """Tasks: pairs of training rows with a token that is not frequent, with their number in a piece."""
+    def run(batches):
+        names = held.value
+        for batch in batches:
+            train = ~batch.column("__held").to_numpy(zero_copy_only=False)
+            for lo, hi, data, off in tk.pieces(batch, "__t", _PIECE):
+                _, _, _, row, h = _tokens(data, off)
+                at, c, d, pair = names.other_steps(h, row, hi - lo)
+                use = train[lo:hi][at]
+                pair, first, n = np.unique(pair[use], return_index=True, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(tk.as_long(v)) for v in (pair, c[use][first], d[use][first], n)], ["p", "context", "dish", "n"])
+    return run
+
+
+def _behind_rare(names: Names):
+    """Tasks: what the pairs of the common context add."""
+    def run(batches):
+        for batch in batches:
+            for b, k, x in _each(batch, "bucket", "k", "x"):
+                _, context, dish = names.split(b, np.frombuffer(k, np.uint32))
+                own = context == names.rare
+                yield pa.RecordBatch.from_arrays([pa.array(dish[own]), pa.array(np.frombuffer(x, np.float32)[own])], ["dish", "x"])
+    return run
+
+
+def _gains(held):
+    """Tasks: what each pair with an other token adds to the log10 probability without it."""
+    def run(batches):
+        names, behind = held.value
+        for batch in batches:
+            context, dish = (names.of(batch.column(c).to_numpy().view(_U)) for c in ("context", "dish"))
+            n, seats, tables = (batch.column(c).to_numpy() for c in ("n", "seats", "tables"))
+            base = np.where(context == names.rare, behind[dish], 0.0) + np.where(dish == names.rare, batch.column("lp").to_numpy(zero_copy_only=False), 0.0)
+            x = np.log10(1 + (n - DISCOUNT[1]) / ((STRENGTH[1] + DISCOUNT[1] * tables) * 10 ** base))
+            yield pa.RecordBatch.from_arrays([batch.column("p"), pa.array(x)], ["p", "x"])
+    return run
+
+
+def _frequent(keys):
+    """Tasks: contexts that are among ``keys``."""
+    def run(batches):
+        own = keys.value
+        for batch in batches:
+            h = batch.column("context").to_numpy().view(_U)
+            at = np.minimum(np.searchsorted(own, h), len(own) - 1)
+            yield batch.filter(pa.array(own[at] == h))
+    return run
+
+
+def _with_other_pairs(src: DataFrame, names: Names, states, extra: DataFrame, others: DataFrame):
+    """``others`` with ``g``, what an own restaurant takes from all that follows
+    the token; the same of frequent contexts; what each pair adds (``p``, ``x``)."""
+    sc = src.sparkSession.sparkContext
+    pairs = cut_lineage(src.mapInArrow(_other_pairs(sc.broadcast(names)), "p bigint, context bigint, dish bigint, n bigint")
+                        .groupBy("p", "context", "dish").agg(F.sum("n").alias("n")), "op9-others")
+    _release(sc)
+    kept = F.log10((F.lit(STRENGTH[1]) + F.lit(DISCOUNT[1]) * F.col("tables")) / (F.lit(STRENGTH[1]) + F.col("seats")))
+    rooms = cut_lineage(pairs.groupBy("context").agg(F.sum("n").alias("seats"), F.count(F.lit(1)).alias("tables")).withColumn("g", kept), "op9-rooms")
+    mine = rooms.mapInArrow(_frequent(sc.broadcast(names.keys)), rooms.schema).toArrow()  # at most a row per frequent token
+    gains = np.zeros(names.size)
+    gains[names.of(mine.column("context").to_numpy().view(_U))] = mine.column("g").to_numpy()
+    behind = np.log10(sum(factor[names.rare] * parent for factor, parent in states) / len(states))
+    seen = extra.mapInArrow(_behind_rare(names), "dish bigint, x float").toArrow()  # at most a row per frequent token
+    behind[seen.column("dish").to_numpy()] += seen.column("x").to_numpy()
+    met = (pairs.join(rooms.drop("g"), "context").join(others.select(F.col("h").alias("dish"), "lp"), "dish", "left")
+           .select("p", "context", "dish", "n", "seats", "tables", F.coalesce("lp", F.lit(0.0)).alias("lp")))
+    added = cut_lineage(met.mapInArrow(_gains(sc.broadcast((names, behind))), "p bigint, x double"), "op9-gains")
+    others = others.join(rooms.select(F.col("context").alias("h"), "g"), "h", "left").withColumn("g", F.coalesce("g", F.lit(0.0)))
+    return cut_lineage(others, "op9-model"), gains, added
+
+
 def _rare_tables(totals, sweep):
     """(customers, dishes, tables) of the restaurant of other tokens."""
     def run(batches):
@@ -358,12 +446,15 @@ def _release(sc) -> None:
     sc._jvm.System.gc()
 
 
-def fit(docs: DataFrame, text_col: str = "text", held: Column | None = None) -> dict | None:
+def fit(docs: DataFrame, text_col: str = "text", held: Column | None = None, other_pairs: bool = False) -> dict | None:
     """``n`` (training tokens), ``v`` (distinct ones), ``names`` of frequent
     tokens, ``tokens`` (the others: hash ``h``, count ``c``, log10 probability
     behind the common dish ``lp``), ``states`` (per sample: log-free factor of
     each context and probability of each dish without context) and ``pairs``
-    (what seen pairs add), ``hot`` ones among them; None for an empty table."""
+    (what seen pairs add), ``hot`` ones among them; with ``other_pairs`` also what
+    the pairs with other tokens add (``others``: by hash ``p``, ``x``) and their
+    contexts take (``g`` of ``tokens``, ``gains`` of frequent ones). None for an
+    empty table."""
     sc = docs.sparkSession.sparkContext
     src = docs.select(F.col(text_col).alias("__t"), (F.lit(False) if held is None else F.coalesce(held, F.lit(False))).alias("__held"))
     tokens = cut_lineage(src.mapInArrow(_count, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("c")), "op9-tokens")
@@ -393,14 +484,27 @@ def fit(docs: DataFrame, text_col: str = "text", held: Column | None = None) ->
     others = cut_lineage(rare.mapInArrow(_rare_logs(rare_samples), "h bigint, c bigint, lp double"), "op9-model")
     unknown = np.mean([(RARE_STRENGTH + RARE_DISCOUNT * t) / (k + 1) / (RARE_STRENGTH + m) for _, _, (m, k, t) in rare_samples])
     states = [((STRENGTH[1] + DISCOUNT[1] * t) / (STRENGTH[1] + customers), p) for _, _, t, p in samples]
-    return {"tokens": others, "n": int(n), "v": int(v), "names": names, "unknown": float(np.log10(unknown)), "states": states, "pairs": extra.select("bucket", "k", "x"),
+    gains, added = None, None
+    if other_pairs and totals[1]:  # without other tokens in training there are no such pairs
+        others, gains, added = _with_other_pairs(src, names, states, extra, others)
+    return {"others": added, "gains": gains, "tokens": others, "n": int(n), "v": int(v), "names": names, "unknown": float(np.log10(unknown)), "states": states, "pairs": extra.select("bucket", "k", "x"),
             "hot": (hot.column("k").to_numpy(), hot.column("x").to_numpy())}
 
 
+def _once(r: np.ndarray, t: np.ndarray, rows: int):
+    """Lists of the different ``t`` of each row and of how often it has them."""
+    both = tk.mix(t ^ ((r + 1).astype(_U) * _U(0x9E3779B97F4A7C15)))
+    _, one, n = np.unique(both, return_index=True, return_counts=True)
+    order = np.argsort(r[one], kind="stable")
+    one, n = one[order], n[order]
+    bounds = np.searchsorted(r[one], np.arange(rows + 1))
+    return tk.lists(tk.as_long(t[one]), bounds), tk.lists(n.astype(np.int64), bounds)
+
+
 def _rows(held, down):
     """Tasks: rows of texts (``bucket`` null), and rows of pairs for the buckets."""
     def run(batches):
-        names, states, (hot_key, hot_x) = held.value
+        names, states, (hot_key, hot_x), gains = held.value
         rng = np.random.default_rng(int.from_bytes(os.urandom(8), "little"))
         base_of = np.log10((names.counts + 1) / down)
         for batch in batches:
@@ -416,6 +520,8 @@ def _rows(held, down):
                 place = np.minimum(np.searchsorted(hot_key, key), max(len(hot_key) - 1, 0))
                 is_hot = hot_key[place] == key if len(hot_key) else np.zeros(len(key), bool)
                 step[is_hot] += hot_x[place[is_hot]]
+                if gains is not None:
+                    step += np.where(dish == names.rare, gains[context], 0.0)
                 log = np.bincount(at, weights=step, minlength=rows)
                 own = dish != names.rare
                 base = np.bincount(at[own], weights=base_of[dish[own]], minlength=rows)
@@ -423,17 +529,17 @@ def _rows(held, down):
                 words = np.bincount(at, minlength=rows)
                 # other tokens, once per text
                 other = x == names.rare
-                r, t = row[other], h[other]
-                both = tk.mix(t ^ ((r + 1).astype(_U) * _U(0x9E3779B97F4A7C15)))
-                _, one, n = np.unique(both, return_index=True, return_counts=True)
-                order = np.argsort(r[one], kind="stable")
-                one, n = one[order], n[order]
-                bounds = np.searchsorted(r[one], np.arange(rows + 1))
+                lists = [*_once(row[other], h[other], rows)]
+                if gains is None:
+                    lists += _once(row[:0], h[:0], rows)
+                else:
+                    who, _, _, pair = names.other_steps(h, row, rows)
+                    lists += _once(who, pair, rows)
                 nothing = lambda m, kind: pa.nulls(m, kind)
                 yield pa.RecordBatch.from_arrays(
                     [nothing(rows, pa.int32()), nothing(rows, pa.binary()), nothing(rows, pa.binary()),
                      batch.column("__d")[lo:hi], batch.column("__held")[lo:hi], pa.array(piece + np.arange(rows)), pa.array(words.astype(np.int64)),
-                     pa.array(known), pa.array(base), pa.array(log), tk.lists(tk.as_long(t[one]), bounds), tk.lists(n.astype(np.int64), bounds)], _ROW)
+                     pa.array(known), pa.array(base), pa.array(log), *lists], _ROW)
                 send = np.flatnonzero(~is_hot)
                 if len(send):
                     parts = list(names.dealt(key[send]))
@@ -443,11 +549,11 @@ def _rows(held, down):
                          pa.array([(key[send[i]] // names.buckets).astype(np.uint32).tobytes() for _, i in parts], pa.binary()),
                          pa.array([at[send[i]].astype(np.uint16 if rows <= 1 << 16 else np.uint32).tobytes() for _, i in parts], pa.binary()),
                          nothing(m, batch.schema.field("__d").type), nothing(m, pa.bool_()), pa.array(np.full(m, piece)), *[nothing(m, pa.int64())] * 2,
-                         *[nothing(m, pa.float64())] * 2, *[nothing(m, pa.list_(pa.int64()))] * 2], _ROW)
+                         *[nothing(m, pa.float64())] * 2, *[nothing(m, pa.list_(pa.int64()))] * 4], _ROW)
     return run
 
 
-_ROW = ["bucket", "k", "at", "__d", "__held", "__r", "n_tokens", "__known", "__base", "__lp", "__hs", "__ns"]
+_ROW = ["bucket", "k", "at", "__d", "__held", "__r", "n_tokens", "__known", "__base", "__lp", "__hs", "__ns", "__ps", "__pn"]
 
 
 def _met(batches):
@@ -500,16 +606,23 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
     src = docs.select(F.col(id_col).alias("__d"), F.col(text_col).alias("__t"),
                       (F.lit(False) if held is None else F.coalesce(held, F.lit(False))).alias("__held"))
     kinds = [T.IntegerType(), T.BinaryType(), T.BinaryType(), src.schema["__d"].dataType, T.BooleanType(), T.LongType(), T.LongType(), T.LongType(),
-             T.DoubleType(), T.DoubleType(), T.ArrayType(T.LongType()), T.ArrayType(T.LongType())]
+             T.DoubleType(), T.DoubleType(), *[T.ArrayType(T.LongType())] * 4]
     schema = T.StructType([T.StructField(c, kind) for c, kind in zip(_ROW, kinds)])
-    both = cut_lineage(src.mapInArrow(_rows(sc.broadcast((model["names"], model["states"], model["hot"])), down), schema), "op9-rows")
+    both = cut_lineage(src.mapInArrow(_rows(sc.broadcast((model["names"], model["states"], model["hot"], model["gains"])), down), schema), "op9-rows")
     _release(sc)
     rows = both.where(F.col("bucket").isNull())
-    rare = rows.select("__r", F.explode(F.arrays_zip("__hs", "__ns")).alias("__x")).select("__r", F.col("__x.__hs").alias("h"), F.col("__x.__ns").alias("__n"))
-    # a token that the model has not met at all is unknown like one of no training row
-    add = (rare.join(model["tokens"], "h", "left").groupBy("__r").agg(
-        F.sum(F.col("__n") * F.log10((F.coalesce("c", F.lit(0)) + 1) / F.lit(down))).alias("__b"),
-        F.sum(F.col("__n") * F.coalesce("lp", F.lit(model["unknown"]))).alias("__l"),
+    each = lambda t, n: rows.select("__r", F.explode(F.arrays_zip(t, n)).alias("__x")).select("__r", F.col(f"__x.{t}").alias("h"), F.col(f"__x.{n}").alias("__n"))
+    asked, known = each("__hs", "__ns").withColumn("__pair", F.lit(False)), model["tokens"].withColumn("__pair", F.lit(False))
+    more_lp = F.lit(0.0)
+    if model["others"] is not None:  # pairs with other tokens go the same way, by their hashes
+        asked = asked.unionByName(each("__ps", "__pn").withColumn("__pair", F.lit(True)))
+        known = known.unionByName(model["others"].select(F.col("p").alias("h"), F.col("x").alias("lp"), F.lit(True).alias("__pair")), allowMissingColumns=True)
+        more_lp = F.coalesce("g", F.lit(0.0))
+    # a token that the model has not met at all is unknown like one of no training row; a pair adds nothing then
+    token = ~F.col("__pair")
+    add = (asked.join(known, ["h", "__pair"], "left").groupBy("__r").agg(
+        F.sum(F.when(token, F.col("__n") * F.log10((F.coalesce("c", F.lit(0)) + 1) / F.lit(down))).otherwise(0.0)).alias("__b"),
+        F.sum(F.col("__n") * (F.coalesce("lp", F.when(token, F.lit(model["unknown"])).otherwise(0.0)) + more_lp)).alias("__l"),
         F.sum(F.when(F.col("c") > 0, F.col("__n")).otherwise(0)).alias("__k")))
     # a bucket's pairs come first, then what the pieces ask of them
     told = model["pairs"].select("bucket", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("piece"), "k", "x").unionByName(
@@ -517,7 +630,7 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
     met = told.repartition("bucket").sortWithinPartitions("bucket", "kind").mapInArrow(_met, "piece bigint, at array<int>, x array<float>")
     more = met.repartition("piece").sortWithinPartitions("piece").mapInArrow(_by_text, "__r bigint, __x double")
     zero = F.lit(0)
-    got = rows.drop("bucket", "k", "at", "__hs", "__ns").join(add, "__r", "left").join(more, "__r", "left")
+    got = rows.drop("bucket", "k", "at", "__hs", "__ns", "__ps", "__pn").join(add, "__r", "left").join(more, "__r", "left")
     total = F.col("__lp") + F.coalesce("__l", zero) + F.coalesce("__x", zero)
     return got.select(
         F.col("__d").alias(id_col), F.col("__held").alias("held_out"), "n_tokens",

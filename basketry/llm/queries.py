@@ -71,7 +71,7 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    model = lm_score.fit(docs, "text", held)
+    model = lm_score.fit(docs, "text", held, other_pairs=True)
     if model is None:
         return docs.select("doc_id", F.lit(False).alias("held_out"), *[F.lit(0).cast("long").alias(c) for c in ("n_tokens", "n_known", "train_tokens")],
                            F.lit(0.0).alias("base_score"), F.lit(0.0).alias("score"))
