@@ -6,10 +6,11 @@ import random
 
 from basketry import queries as Q
 from basketry import session
+from basketry.operators.incremental import upsert
 from basketry.plans import facts
 from basketry.plans.pipeline import Models
 from basketry.plans.staging import stg_order_products
-from basketry.session import ensure_checkpoint_dir, write_shares
+from basketry.session import cut_lineage, ensure_checkpoint_dir, write_shares
 from basketry.sources import tables
 
 LINES = "order_id long, product_id long, add_to_cart_order int, reordered int"
@@ -64,6 +65,17 @@ def test_written_shares_hold_each_row_once(spark, tmp_path):
     assert _rows(spark.read.parquet(f"{tmp_path}/t")) == _rows(df)
 
 
+def test_incremental_lines_are_written_once(spark, tmp_path, monkeypatch):
+    """The result of the incremental line fact reads what is written, in shares: nothing is shuffled for it."""
+    src = _input(spark, tmp_path)
+    monkeypatch.setattr(session, "SHARE_ROWS", 3000)
+    got = Q.fact_order_products_incremental(spark, src)
+    assert _rows(got) == _rows(Q.REGISTRY["fact_order_products"](spark, src).where("order_id IS NOT NULL"))
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    files = [f.replace("file:", "").replace("//", "/") for f in got.inputFiles()]
+    assert sum(map(os.path.getsize, files)) < 60 * got.count()
+
+
 def test_line_keys_are_made_behind_the_joins_and_others_kept(spark):
     staged = stg_order_products(spark.createDataFrame([(1, 2, 1, 1), (None, 3, None, None), (4, None, 9, 0), (1, 2, 1, 1)], LINES),
                                 spark.createDataFrame([(5, 2, 1, 0)], LINES))
@@ -78,6 +90,13 @@ def test_line_keys_are_made_behind_the_joins_and_others_kept(spark):
     assert {(r.order_id, r.product_key, r.user_key, r.date_key) for r in got.collect()} == {(1, "p2", "u8", 3), (None, None, None, None), (4, None, None, None), (5, "p2", None, 4)}
 
 
+def test_upsert_of_written_rows(spark):
+    target = cut_lineage(spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, v long"))
+    new, again = (cut_lineage(spark.createDataFrame(rows, "k string, v long")) for rows in ([("c", 4), (None, 5)], [("b", 6)]))
+    for updates in (new, again):
+        assert _rows(upsert(target, updates, ["k"], written=True)) == _rows(upsert(target, updates, ["k"]))
+
+
 def test_upsert_replaces_rows_of_orders_that_both_have(spark, scratch, monkeypatch):
     monkeypatch.setattr(session, "SHARE_ROWS", 2)
     frame = lambda rows: spark.createDataFrame(rows, "k string, order_id long, v int")
